@@ -1 +1,333 @@
-"""Registered queries."""
+"""Registered text queries (T*, A11, A14, S7, S8, S14, S20) over all documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tessera.functions import text as TX
+from tessera.operators import summarize as SM
+from tessera.operators import text as TO
+from tessera.plans.catalog import query
+from tessera.plans.text_sql import (ALPHA_LIST, WORD_PUNCT_LIST, LANGS, base_ctes, textrank_ctes,
+                                    top_summary_body, with_ctes)
+from tessera.sources import tables as T
+
+
+def r6(c):
+    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+
+
+def _docs(spark, sf):
+    return T.table(spark, sf, "documents").select("doc_id", "text")
+
+
+def _clean(spark, sf):
+    return TO.clean_sentence_tokens(_docs(spark, sf))
+
+
+# ------------------------------------------------------------ tokenizers
+
+@query("T1_whitespace_tokens", r"""
+SELECT doc_id, CAST(i - 1 AS BIGINT) AS pos, tok AS token FROM documents,
+  unnest(list_filter(string_split_regex(lower(text), '\s+'), lambda x: x <> ''))
+  WITH ORDINALITY AS t(tok, i)""")
+def t1(spark, sf):
+    return TO.ws_tokens(_docs(spark, sf))
+
+
+@query("T2_alpha_tokens", "SELECT doc_id, CAST(i - 1 AS BIGINT) AS pos, tok AS token "
+       "FROM documents, unnest(" + ALPHA_LIST.format(c="text") + ") WITH ORDINALITY AS t(tok, i)")
+def t2(spark, sf):
+    return TO.alpha_tokens(_docs(spark, sf))
+
+
+@query("T3_word_tokens_per_doc", r"""
+SELECT doc_id, count(*) AS n_tokens, count(DISTINCT tok) AS n_distinct FROM documents,
+  unnest(regexp_extract_all(lower(text), '([\p{L}\p{N}_]+)', 1)) AS t(tok) GROUP BY doc_id""")
+def t3(spark, sf):
+    return (TO.word_tokens(_docs(spark, sf)).groupBy("doc_id")
+            .agg(F.count(F.lit(1)).alias("n_tokens"), F.countDistinct("token").alias("n_distinct")))
+
+
+@query("T4_word_punct_tokens_per_doc", "SELECT doc_id, count(*) AS n_tokens, "
+       "count(DISTINCT tok) AS n_distinct FROM documents, unnest("
+       + WORD_PUNCT_LIST.format(c="text") + ") AS t(tok) GROUP BY doc_id")
+def t4(spark, sf):
+    return (TO.word_punct_tokens(_docs(spark, sf)).groupBy("doc_id")
+            .agg(F.count(F.lit(1)).alias("n_tokens"), F.countDistinct("token").alias("n_distinct")))
+
+
+@query("T5_sentences", lambda: with_ctes(base_ctes("sents"),
+                                         "SELECT doc_id, sent_id, sentence FROM sents"))
+def t5(spark, sf):
+    return TO.sentences(_docs(spark, sf))
+
+
+@query("A11_max_tokens_per_doc", "SELECT max(len(" + ALPHA_LIST.format(c="text")
+       + ")) AS max_size FROM documents")
+def a11(spark, sf):
+    d = _docs(spark, sf).select(TX.alpha_tokens(F.col("text")).alias("tokens"))
+    return d.agg(F.max(F.size("tokens")).alias("max_size"))
+
+
+# ------------------------------------------------------------ language, stop words
+
+@query("T7_detect_language", lambda: with_ctes(base_ctes("langs"),
+                                               "SELECT doc_id, lang, hits FROM langs"))
+def t7(spark, sf):
+    docs = _docs(spark, sf)
+    toks = TO.sentence_tokens(TO.sentences(docs))
+    return TO.detect_language(toks, docs=docs)
+
+
+def _lang_case():
+    return "CASE l.lang " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TX.LANG_CODES.items()) \
+        + " END"
+
+
+@query("T7_language_accuracy", lambda: with_ctes(base_ctes("langs"), f"""
+SELECT d.lang, count(*) AS n,
+       CAST(sum(CASE WHEN {_lang_case()} = d.lang THEN 1 ELSE 0 END) AS BIGINT) AS correct
+FROM documents d JOIN langs l ON d.doc_id = l.doc_id GROUP BY d.lang"""))
+def t7b(spark, sf):
+    docs = T.table(spark, sf, "documents")
+    toks = TO.sentence_tokens(TO.sentences(docs.select("doc_id", "text")))
+    det = TO.detect_language(toks, docs=docs)
+    codes = spark.createDataFrame(list(TX.LANG_CODES.items()), "lang string, code string")
+    j = (docs.select("doc_id", "lang").join(det.withColumnRenamed("lang", "det"), "doc_id")
+         .join(F.broadcast(codes).withColumnRenamed("lang", "det"), "det", "left"))
+    return j.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum((F.col("code") == F.col("lang")).cast("bigint")).alias("correct"))
+
+
+@query("T6_stop_word_removal", lambda: with_ctes(base_ctes("clean"), """
+SELECT s.doc_id, count(*) AS n_tokens, count(c.token) AS n_clean
+FROM stoks s LEFT JOIN clean c ON s.doc_id = c.doc_id AND s.sent_id = c.sent_id AND s.pos = c.pos
+GROUP BY s.doc_id"""))
+def t6(spark, sf):
+    sents, clean, langs = _clean(spark, sf)
+    toks = TO.sentence_tokens(sents)
+    c = clean.select("doc_id", "sent_id", "pos", F.lit(1).alias("kept"))
+    return (toks.join(c, ["doc_id", "sent_id", "pos"], "left").groupBy("doc_id")
+            .agg(F.count(F.lit(1)).alias("n_tokens"), F.count("kept").alias("n_clean")))
+
+
+# ------------------------------------------------------------ frequencies, weights
+
+@query("A14_token_frequency", lambda: with_ctes(base_ctes("clean"), """
+SELECT token AS term, count(DISTINCT doc_id) AS df, count(*) AS cf FROM clean GROUP BY 1"""))
+def a14(spark, sf):
+    _, clean, _ = _clean(spark, sf)
+    return TO.token_frequency(clean)
+
+
+@query("T9_frequency_filter", lambda: with_ctes(base_ctes("clean"), """
+SELECT term, df FROM (SELECT token AS term, count(DISTINCT doc_id) AS df FROM clean GROUP BY 1) f
+WHERE df BETWEEN 10 AND 500"""))
+def t9(spark, sf):
+    _, clean, _ = _clean(spark, sf)
+    kept = TO.filter_frequency(clean, 10, 500)
+    return TO.token_frequency(kept).select("term", "df")
+
+
+@query("T10_dictionary", lambda: with_ctes(base_ctes("clean"), """
+SELECT CAST(row_number() OVER (ORDER BY term) - 1 AS BIGINT) AS term_id, term, df FROM (
+  SELECT token AS term, count(DISTINCT doc_id) AS df FROM clean GROUP BY 1) f WHERE df >= 2"""))
+def t10(spark, sf):
+    _, clean, _ = _clean(spark, sf)
+    d = TO.dictionary(clean, 2)
+    return d.select(F.col("term_id").cast("bigint").alias("term_id"), "term", "df")
+
+
+@query("T11_bag_of_words", lambda: with_ctes(base_ctes("clean"), """
+SELECT doc_id, token AS term, count(*) AS cnt FROM clean GROUP BY 1, 2"""))
+def t11(spark, sf):
+    _, clean, _ = _clean(spark, sf)
+    return TO.bag_of_words(clean)
+
+
+def _maxtf_sql(a):
+    return with_ctes(base_ctes("clean"), f"""
+WITH b AS (SELECT doc_id, token AS term, count(*) AS cnt FROM clean GROUP BY 1, 2),
+m AS (SELECT doc_id, max(cnt) AS mx FROM b GROUP BY 1),
+w AS (SELECT b.doc_id, b.term, {a} + {1 - a} * (b.cnt / m.mx) AS w
+      FROM b JOIN m ON b.doc_id = m.doc_id)
+SELECT doc_id, term, round(w, 6) AS w FROM w WHERE w < 0.9 AND w > 0.1""")
+
+
+@query("T12_max_tf_normalised", lambda: _maxtf_sql(0.5))
+def t12(spark, sf):
+    _, clean, _ = _clean(spark, sf)
+    return TO.max_tf(clean, a=0.5).withColumn("w", r6("w"))
+
+
+@query("T13_max_tf_plain", lambda: _maxtf_sql(0.0))
+def t13(spark, sf):
+    _, clean, _ = _clean(spark, sf)
+    return TO.max_tf(clean, a=0.0).withColumn("w", r6("w"))
+
+
+@query("T14_tfidf_smooth_sentences", lambda: with_ctes(base_ctes("tfidf"), """
+SELECT doc_id, sent_id, term, round(w, 6) AS w FROM tfidf"""))
+def t14(spark, sf):
+    sents, clean, _ = _clean(spark, sf)
+    w = TO.tfidf_smooth(clean, sents.select("doc_id", "sent_id"))
+    return w.withColumn("w", r6("w"))
+
+
+@query("T15_tfidf_log2_documents", lambda: with_ctes(base_ctes("clean"), """
+WITH b AS (SELECT doc_id, token AS term, count(*) AS cnt FROM clean GROUP BY 1, 2),
+n AS (SELECT count(DISTINCT doc_id) AS n FROM b),
+df AS (SELECT term, count(DISTINCT doc_id) AS df FROM b GROUP BY 1),
+w AS (SELECT b.doc_id, b.term, b.cnt * log2(n.n / df.df) AS w
+      FROM b JOIN df ON b.term = df.term CROSS JOIN n),
+w2 AS (SELECT * FROM w WHERE w <> 0),
+nm AS (SELECT doc_id, sqrt(sum(w * w)) AS nrm FROM w2 GROUP BY 1)
+SELECT w2.doc_id, w2.term, round(w2.w / nm.nrm, 6) AS w FROM w2 JOIN nm ON w2.doc_id = nm.doc_id"""))
+def t15(spark, sf):
+    _, clean, _ = _clean(spark, sf)
+    return TO.tfidf_log2(TO.bag_of_words(clean)).withColumn("w", r6("w"))
+
+
+@query("T16_idf_ranking", lambda: with_ctes(base_ctes("clean"), """
+WITH df AS (SELECT doc_id, token AS term, count(DISTINCT sent_id) AS df FROM clean GROUP BY 1, 2),
+n AS (SELECT doc_id, count(*) AS n FROM sents GROUP BY 1)
+SELECT df.doc_id, df.term, round(ln((n.n + 1.0) / (df.df + 1.0)) + 1, 6) AS idf
+FROM df JOIN n ON df.doc_id = n.doc_id"""))
+def t16(spark, sf):
+    sents, clean, _ = _clean(spark, sf)
+    return TO.idf_smooth(clean, sents.select("doc_id", "sent_id")).withColumn("idf", r6("idf"))
+
+
+# ------------------------------------------------------------ pairwise measures
+
+@query("T17_edit_distance_next_word", "WITH t AS (SELECT doc_id, CAST(i - 1 AS BIGINT) AS pos, "
+       "tok AS token FROM documents, unnest(" + ALPHA_LIST.format(c="text")
+       + r""") WITH ORDINALITY AS u(tok, i)),
+p AS (SELECT token, lead(token) OVER (PARTITION BY doc_id ORDER BY pos) AS nxt FROM t)
+SELECT levenshtein(token, nxt) AS d, count(*) AS n FROM p
+WHERE regexp_full_match(token, '[a-z]+') AND regexp_full_match(nxt, '[a-z]+') GROUP BY 1""")
+def t17(spark, sf):
+    t = TO.alpha_tokens(_docs(spark, sf))
+    p = t.withColumn("nxt", F.lead("token").over(Window.partitionBy("doc_id").orderBy("pos")))
+    p = p.filter(F.col("token").rlike("^[a-z]+$") & F.col("nxt").rlike("^[a-z]+$"))
+    return TO.edit_distance(p, "token", "nxt").groupBy("d").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("T18_token_overlap_halves", lambda: with_ctes(base_ctes("clean"), """
+WITH a AS (SELECT doc_id, token FROM clean WHERE sent_id % 2 = 0),
+b AS (SELECT doc_id, token FROM clean WHERE sent_id % 2 = 1),
+la AS (SELECT doc_id, count(*) AS len_a, count(DISTINCT token) AS set_a FROM a GROUP BY 1),
+lb AS (SELECT doc_id, count(*) AS len_b, count(DISTINCT token) AS set_b FROM b GROUP BY 1),
+c AS (SELECT x.doc_id, count(*) AS common FROM (SELECT DISTINCT doc_id, token FROM a) x
+      JOIN (SELECT DISTINCT doc_id, token FROM b) y ON x.doc_id = y.doc_id AND x.token = y.token
+      GROUP BY 1)
+SELECT la.doc_id, coalesce(c.common, 0) AS common,
+       round(coalesce(c.common, 0) / (len_a + len_b - coalesce(c.common, 0)), 6) AS overlap,
+       round(coalesce(c.common, 0) / (set_a + set_b - coalesce(c.common, 0)), 6) AS jaccard
+FROM la JOIN lb ON la.doc_id = lb.doc_id LEFT JOIN c ON la.doc_id = c.doc_id"""))
+def t18(spark, sf):
+    _, clean, _ = _clean(spark, sf)
+    a = clean.filter(F.col("sent_id") % 2 == 0)
+    b = clean.filter(F.col("sent_id") % 2 == 1)
+    o = TO.token_overlap(a, b)
+    return o.select("doc_id", "common", r6("overlap").alias("overlap"),
+                    r6("jaccard").alias("jaccard"))
+
+
+@query("T19_keyword_dispersion", lambda: with_ctes(base_ctes("clean"), """
+WITH b AS (SELECT doc_id, token AS term, count(*) AS cnt FROM clean GROUP BY 1, 2),
+m AS (SELECT doc_id, max(cnt) AS mx FROM b GROUP BY 1),
+w AS (SELECT b.doc_id, b.term, 0.5 + 0.5 * (b.cnt / m.mx) AS w
+      FROM b JOIN m ON b.doc_id = m.doc_id),
+k AS (SELECT doc_id, term,
+             row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, term) - 1 AS kw_index
+      FROM w WHERE w < 0.9 AND w > 0.1),
+t AS (SELECT doc_id, CAST(i - 1 AS BIGINT) AS pos, tok AS token FROM documents,
+      unnest(""" + ALPHA_LIST.format(c="text") + """) WITH ORDINALITY AS u(tok, i))
+SELECT t.doc_id, t.pos, CAST(k.kw_index AS INTEGER) AS kw_index
+FROM t JOIN k ON t.doc_id = k.doc_id AND t.token = k.term WHERE k.kw_index < 15"""))
+def t19(spark, sf):
+    docs = _docs(spark, sf)
+    sents, clean, _ = TO.clean_sentence_tokens(docs)
+    w = TO.max_tf(clean, a=0.5)
+    win = Window.partitionBy("doc_id").orderBy(F.desc("w"), F.asc("term"))
+    kw = (w.withColumn("kw_index", F.row_number().over(win) - 1).filter("kw_index < 15")
+          .select("doc_id", F.col("term").alias("word"), "kw_index"))
+    return TO.dispersion(TO.alpha_tokens(docs), kw)
+
+
+@query("T20_main_text")
+def t20(spark, sf):
+    return TO.main_text(T.table(spark, sf, "pages"))
+
+
+# ------------------------------------------------------------ summaries
+
+def _s7_sql():
+    wptoks = ("SELECT doc_id, sent_id, CAST(j - 1 AS BIGINT) AS pos, tok AS token FROM sents, "
+              "unnest(" + WORD_PUNCT_LIST.format(c="sentence") + ") WITH ORDINALITY AS t(tok, j)")
+    punct = ",".join("('" + c.replace("'", "''") + "')" for c in SM.PUNCTUATION)
+    ctes = base_ctes("sents") + [
+        ("stoks", wptoks), ("langs", LANGS),
+        ("punct", f"SELECT * FROM (VALUES {punct}) p(token)"),
+        ("wclean", """SELECT t.doc_id, t.token FROM stoks t JOIN langs l ON t.doc_id = l.doc_id
+                      WHERE NOT EXISTS (SELECT 1 FROM sw WHERE sw.lang = l.lang AND sw.word = t.token)
+                        AND NOT EXISTS (SELECT 1 FROM punct p WHERE p.token = t.token)"""),
+        ("freq", """WITH b AS (SELECT doc_id, token AS term, count(*) AS cnt FROM wclean GROUP BY 1, 2),
+                    m AS (SELECT doc_id, max(cnt) AS mx FROM b GROUP BY 1)
+                    SELECT * FROM (SELECT b.doc_id, b.term, b.cnt / m.mx AS w FROM b
+                                   JOIN m ON b.doc_id = m.doc_id) x WHERE w < 0.9 AND w > 0.1"""),
+        ("scores", """SELECT t.doc_id, t.sent_id, sum(f.w) AS score FROM stoks t
+                      JOIN freq f ON t.doc_id = f.doc_id AND t.token = f.term GROUP BY 1, 2"""),
+    ]
+    return with_ctes(ctes, top_summary_body(3))
+
+
+@query("S7_frequency_summary", _s7_sql)
+def s7(spark, sf):
+    return SM.summarize_freq(_docs(spark, sf), n=3)
+
+
+@query("S8_textrank_summary", lambda: with_ctes(textrank_ctes(60), top_summary_body(3)))
+def s8(spark, sf):
+    return SM.summarize_textrank(_docs(spark, sf), n=3)
+
+
+LUHN_SCORES = """
+WITH tf AS (SELECT doc_id, token, count(*) AS cnt FROM clean GROUP BY 1, 2),
+nt AS (SELECT doc_id, count(*) AS nt FROM tf GROUP BY 1),
+sig AS (SELECT doc_id, token FROM (
+          SELECT tf.doc_id, tf.token, nt.nt,
+                 row_number() OVER (PARTITION BY tf.doc_id ORDER BY cnt DESC, token) AS r
+          FROM tf JOIN nt ON tf.doc_id = nt.doc_id) x
+        WHERE r <= greatest(1, ceil(nt * 0.1))),
+h AS (SELECT c.doc_id, c.sent_id, c.pos FROM clean c
+      WHERE EXISTS (SELECT 1 FROM sig WHERE sig.doc_id = c.doc_id AND sig.token = c.token)),
+g AS (SELECT *, CASE WHEN pos - lag(pos) OVER w IS NULL OR pos - lag(pos) OVER w > 4
+                     THEN 1 ELSE 0 END AS nw
+      FROM h WINDOW w AS (PARTITION BY doc_id, sent_id ORDER BY pos)),
+k AS (SELECT *, sum(nw) OVER (PARTITION BY doc_id, sent_id ORDER BY pos
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS chunk FROM g),
+ch AS (SELECT doc_id, sent_id, chunk, count(*) AS h, max(pos) - min(pos) + 1 AS span
+       FROM k GROUP BY 1, 2, 3)
+SELECT doc_id, sent_id, max(CAST(h * h AS DOUBLE) / span) AS score FROM ch GROUP BY 1, 2"""
+
+
+@query("S14_luhn_summary", lambda: with_ctes(base_ctes("clean") + [("scores", LUHN_SCORES)],
+                                             top_summary_body(3)))
+def s14(spark, sf):
+    return SM.summarize_luhn(_docs(spark, sf), n=3)
+
+
+@query("S20_summary_evaluation")
+def s20(spark, sf):
+    docs = _docs(spark, sf)
+    ideal = SM.summarize_textrank(docs, n=3)
+    models = (SM.summarize_freq(docs, n=3).withColumn("model", F.lit("frequency"))
+              .unionByName(SM.summarize_luhn(docs, n=3).withColumn("model", F.lit("luhn"))))
+    out = SM.evaluate(models, ideal)
+    return out.select("model", r6("cosine").alias("cosine"),
+                      r6("unit_overlap").alias("unit_overlap"), "n_docs")
