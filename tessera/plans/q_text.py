@@ -291,7 +291,7 @@ def s7(spark, sf):
     return SM.summarize_freq(_docs(spark, sf), n=3)
 
 
-@query("S8_textrank_summary", lambda: with_ctes(textrank_ctes(60), top_summary_body(3)))
+@query("S8_textrank_summary", lambda: with_ctes(textrank_ctes(100), top_summary_body(3)))
 def s8(spark, sf):
     return SM.summarize_textrank(_docs(spark, sf), n=3)
 

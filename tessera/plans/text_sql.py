@@ -66,7 +66,7 @@ def with_ctes(ctes: list[tuple[str, str]], body: str) -> str:
     return head + "\n" + body
 
 
-def textrank_ctes(iters: int = 60, alpha: float = 0.85) -> list[tuple[str, str]]:
+def textrank_ctes(iters: int = 100, alpha: float = 0.85, tol: float = 1e-6) -> list[tuple[str, str]]:
     """Power iteration of the factorised complete-distance-graph PageRank."""
     ctes = base_ctes("tfidf")
     ctes += [
@@ -79,11 +79,11 @@ SELECT u.doc_id, u.sent_id, CAST(n.n AS DOUBLE) AS n,
        n.n - 1 - (coalesce(d.dot, 0.0) - CASE WHEN d.dot IS NULL THEN 0.0 ELSE 1.0 END) AS wout
 FROM sents u JOIN (SELECT doc_id, count(*) AS n FROM sents GROUP BY 1) n ON u.doc_id = n.doc_id
 LEFT JOIN tr_dot d ON u.doc_id = d.doc_id AND u.sent_id = d.sent_id"""),
-        ("x0", "SELECT doc_id, sent_id, 1.0 / n AS x FROM tr_nodes"),
+        ("x0", "SELECT doc_id, sent_id, 1.0 / n AS x, false AS fz FROM tr_nodes"),
     ]
     for k in range(iters):
         ctes += [
-            (f"y{k}", f"SELECT nd.doc_id, nd.sent_id, nd.n, nd.has, nd.wout, x.x, "
+            (f"y{k}", f"SELECT nd.doc_id, nd.sent_id, nd.n, nd.has, nd.wout, x.x, x.fz, "
                       f"CASE WHEN nd.wout > 1e-12 THEN x.x / nd.wout ELSE 0.0 END AS y "
                       f"FROM tr_nodes nd JOIN x{k} x ON nd.doc_id = x.doc_id "
                       f"AND nd.sent_id = x.sent_id"),
@@ -93,11 +93,15 @@ LEFT JOIN tr_dot d ON u.doc_id = d.doc_id AND u.sent_id = d.sent_id"""),
                       f"ON a.doc_id = y.doc_id AND a.sent_id = y.sent_id GROUP BY 1, 2"),
             (f"v{k}", f"SELECT a.doc_id, a.sent_id, sum(a.w * u.u) AS v FROM tfidf a "
                       f"JOIN u{k} u ON a.doc_id = u.doc_id AND a.term = u.term GROUP BY 1, 2"),
-            (f"x{k + 1}", f"SELECT y.doc_id, y.sent_id, "
-                          f"{alpha} * ((g.ytot - y.y) - (coalesce(v.v, 0.0) - y.y * y.has) "
-                          f"+ g.dtot / y.n) + {1 - alpha} / y.n AS x "
-                          f"FROM y{k} y JOIN g{k} g ON y.doc_id = g.doc_id "
-                          f"LEFT JOIN v{k} v ON y.doc_id = v.doc_id AND y.sent_id = v.sent_id"),
+            (f"n{k}", f"SELECT y.doc_id, y.sent_id, y.n, y.x, y.fz, "
+                      f"{alpha} * ((g.ytot - y.y) - (coalesce(v.v, 0.0) - y.y * y.has) "
+                      f"+ g.dtot / y.n) + {1 - alpha} / y.n AS xn "
+                      f"FROM y{k} y JOIN g{k} g ON y.doc_id = g.doc_id "
+                      f"LEFT JOIN v{k} v ON y.doc_id = v.doc_id AND y.sent_id = v.sent_id"),
+            (f"e{k}", f"SELECT doc_id, sum(abs(xn - x)) < max(n) * {tol} AS ok FROM n{k} GROUP BY 1"),
+            (f"x{k + 1}", f"SELECT nn.doc_id, nn.sent_id, "
+                          f"CASE WHEN nn.fz THEN nn.x ELSE nn.xn END AS x, nn.fz OR e.ok AS fz "
+                          f"FROM n{k} nn JOIN e{k} e ON nn.doc_id = e.doc_id"),
         ]
     ctes.append(("scores", f"SELECT doc_id, sent_id, x AS score FROM x{iters}"))
     return ctes
@@ -108,7 +112,7 @@ def top_summary_body(n: int) -> str:
 SELECT s.doc_id, string_agg(s.sentence, ' ' ORDER BY s.sent_id) AS summary
 FROM (SELECT doc_id, sent_id FROM (
         SELECT doc_id, sent_id,
-               row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, sent_id) AS rn
+               row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 12) DESC, sent_id) AS rn
         FROM scores) r WHERE rn <= {n}) b
 JOIN sents s ON s.doc_id = b.doc_id AND s.sent_id = b.sent_id
 GROUP BY s.doc_id"""
