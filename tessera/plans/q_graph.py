@@ -1 +1,297 @@
-"""Registered queries."""
+"""Registered graph queries (G*) on graphs derived from the order tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.operators import graph as G
+from tessera.plans.catalog import query
+from tessera.plans.views_sql import VIEWS, with_views
+from tessera.sources import tables as T
+
+
+def r6(c):
+    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+
+
+def _e(view):
+    return [("e", f"SELECT src, dst FROM {view} WHERE src <> dst")]
+
+
+DEG = ("deg", "SELECT id, count(*) AS degree FROM (SELECT src AS id FROM e UNION ALL "
+              "SELECT dst FROM e) t GROUP BY id")
+ADJ = ("adj", "SELECT src AS a, dst AS b FROM e UNION ALL SELECT dst, src FROM e")
+TRI = ("tri", "SELECT a.src AS p, a.dst AS q, b.dst AS r FROM e a "
+              "JOIN e b ON a.src = b.src AND a.dst < b.dst "
+              "JOIN e c ON c.src = a.dst AND c.dst = b.dst")
+
+
+def _sql(view, extra, body):
+    return with_views([view], body, _e(view) + extra)
+
+
+@query("G1_trade_edges", with_views(["actor_events"], """
+SELECT DISTINCT actor1_country AS src, actor2_country AS dst FROM actor_events
+WHERE actor1_country IS NOT NULL AND actor2_country IS NOT NULL"""))
+def g1(spark, sf):
+    return G.graph_from(T.actor_events(spark, sf), "actor1_country", "actor2_country")
+
+
+@query("G2_degree_centrality", _sql("copurchase", [DEG], """
+SELECT id, degree, round(degree / (SELECT count(*) - 1 FROM deg), 6) AS centrality FROM deg"""))
+def g2(spark, sf):
+    d = G.degrees(T.copurchase(spark, sf))
+    return d.withColumn("centrality", r6("centrality"))
+
+
+@query("G3_degree_histogram", _sql("copurchase", [DEG], """
+SELECT CAST(g.degree AS BIGINT) AS degree, coalesce(c.n, 0) AS n
+FROM (SELECT unnest(range(0, (SELECT max(degree) FROM deg) + 1)) AS degree) g
+LEFT JOIN (SELECT degree, count(*) AS n FROM deg GROUP BY 1) c ON c.degree = g.degree"""))
+def g3(spark, sf):
+    return G.degree_histogram(T.copurchase(spark, sf))
+
+
+@query("G5_graph_stats", _sql("copurchase_sparse", [DEG], """
+SELECT n, m, round(m / n, 6) AS m_per_n, round(2 * m / n, 6) AS avg_degree,
+       round(2 * m / (n * (n - 1)), 6) AS density
+FROM (SELECT count(*) AS n FROM deg) a, (SELECT count(*) AS m FROM e) b"""))
+def g5(spark, sf):
+    s = G.graph_stats(T.copurchase_sparse(spark, sf))
+    return s.select("n", "m", *[r6(c).alias(c) for c in ("m_per_n", "avg_degree", "density")])
+
+
+CLUST = ("clust", """
+SELECT d.id, d.degree, coalesce(t.t, 0) AS triangles,
+       CASE WHEN d.degree > 1 THEN 2.0 * coalesce(t.t, 0) / (d.degree * (d.degree - 1))
+            ELSE 0.0 END AS coeff
+FROM deg d LEFT JOIN (SELECT id, count(*) AS t FROM (
+    SELECT p AS id FROM tri UNION ALL SELECT q FROM tri UNION ALL SELECT r FROM tri) x
+  GROUP BY id) t ON d.id = t.id""")
+
+
+@query("G6_local_clustering", _sql("copurchase", [DEG, TRI, CLUST], """
+SELECT id, degree, triangles, round(coeff, 6) AS coeff FROM clust"""))
+def g6(spark, sf):
+    return G.clustering(T.copurchase(spark, sf)).withColumn("coeff", r6("coeff"))
+
+
+@query("G6_transitivity", _sql("copurchase", [DEG, TRI, CLUST], """
+SELECT round(avg(coeff), 6) AS avg_clustering,
+       round(sum(triangles) / sum(degree * (degree - 1) / 2), 6) AS transitivity,
+       CAST(sum(triangles) / 3 AS BIGINT) AS n_triangles FROM clust"""))
+def g6b(spark, sf):
+    s = G.clustering_summary(T.copurchase(spark, sf))
+    return s.select(r6("avg_clustering").alias("avg_clustering"),
+                    r6("transitivity").alias("transitivity"), "n_triangles")
+
+
+def _kcore_sql(k=4, rounds=40):
+    ctes = [("c0", "SELECT src, dst FROM e")]
+    for i in range(rounds):
+        low = (f"SELECT id FROM (SELECT src AS id FROM c{i} UNION ALL SELECT dst FROM c{i}) t "
+               f"GROUP BY id HAVING count(*) < {k}")
+        ctes.append((f"c{i + 1}", f"SELECT src, dst FROM c{i} WHERE src NOT IN ({low}) "
+                                  f"AND dst NOT IN ({low})"))
+    return _sql("copurchase", ctes, f"SELECT src, dst FROM c{rounds}")
+
+
+@query("G4_k_core", _kcore_sql)
+def g4(spark, sf):
+    return G.k_core(T.copurchase(spark, sf), 4)
+
+
+def _core_sql(rounds=40):
+    ctes = [DEG, ADJ, ("h0", "SELECT id, degree AS c FROM deg")]
+    for i in range(rounds):
+        ctes.append((f"h{i + 1}", f"""
+SELECT p.id, least(p.c, hh.h) AS c FROM h{i} p JOIN (
+  SELECT id, max(least(cb, atleast)) AS h FROM (
+    SELECT id, cb, sum(m) OVER (PARTITION BY id ORDER BY cb DESC
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS atleast
+    FROM (SELECT adj.a AS id, h.c AS cb, count(*) AS m FROM adj JOIN h{i} h ON adj.b = h.id
+          GROUP BY 1, 2) x) y GROUP BY id) hh ON p.id = hh.id"""))
+    return _sql("copurchase", ctes, f"SELECT id, c AS core FROM h{rounds}")
+
+
+@query("G4_core_numbers", _core_sql)
+def g4b(spark, sf):
+    return G.core_numbers(T.copurchase(spark, sf))
+
+
+def _bfs_sql(body, extra=""):
+    return f"""WITH RECURSIVE e AS (SELECT src, dst FROM ({VIEWS['copurchase_sparse']}) v
+                                    WHERE src <> dst),
+und AS (SELECT src AS a, dst AS b FROM e UNION SELECT dst, src FROM e),
+nodes AS (SELECT DISTINCT a AS id FROM und),
+walk(source, id, dist) AS (
+  SELECT id, id, 0 FROM nodes
+  UNION
+  SELECT w.source, u.b, w.dist + 1 FROM walk w JOIN und u ON w.id = u.a
+  WHERE w.dist + 1 < (SELECT count(*) FROM nodes)),
+paths AS (SELECT source, id, min(dist) AS dist FROM walk GROUP BY 1, 2){extra}
+{body}"""
+
+
+@query("G7_shortest_paths", _bfs_sql("SELECT source, id, dist FROM paths"))
+def g7(spark, sf):
+    return G.shortest_paths(T.copurchase_sparse(spark, sf))
+
+
+@query("G8_distance_summary", _bfs_sql("""
+SELECT max(ecc) AS diameter, min(ecc) AS radius,
+       CAST(sum(CASE WHEN ecc = (SELECT min(ecc) FROM ecc) THEN 1 ELSE 0 END) AS INTEGER) AS n_center,
+       CAST(sum(CASE WHEN ecc = (SELECT max(ecc) FROM ecc) THEN 1 ELSE 0 END) AS INTEGER)
+         AS n_periphery,
+       round((SELECT avg(dist) FROM paths WHERE dist > 0), 6) AS avg_path_length
+FROM ecc""", """,
+ecc AS (SELECT source AS id, max(dist) AS ecc FROM paths GROUP BY 1)"""))
+def g8(spark, sf):
+    s = G.distance_summary(G.shortest_paths(T.copurchase_sparse(spark, sf)))
+    return s.withColumn("avg_path_length", r6("avg_path_length"))
+
+
+@query("G9_closeness", _bfs_sql("""
+SELECT id, round(CASE WHEN tot > 0 THEN (r - 1) / tot * ((r - 1) / (n - 1)) ELSE 0.0 END, 6)
+         AS closeness
+FROM (SELECT source AS id, count(*) AS r, sum(dist) AS tot FROM paths GROUP BY 1) p,
+     (SELECT count(DISTINCT source) AS n FROM paths) c"""))
+def g9(spark, sf):
+    return G.closeness(G.shortest_paths(T.copurchase_sparse(spark, sf))).withColumn(
+        "closeness", r6("closeness"))
+
+
+def _eig_sql(iters=100, tol=1e-6):
+    ctes = [ADJ, ("nodes", "SELECT DISTINCT a AS id FROM adj"),
+            ("x0", "SELECT id, 1.0 / (SELECT count(*) FROM nodes) AS x, false AS fz FROM nodes")]
+    for k in range(iters):
+        ctes += [
+            (f"y{k}", f"SELECT x.id, x.x, x.fz, x.x + coalesce(s.s, 0.0) AS y FROM x{k} x "
+                      f"LEFT JOIN (SELECT adj.a AS id, sum(x.x) AS s FROM adj JOIN x{k} x "
+                      f"ON adj.b = x.id GROUP BY 1) s ON x.id = s.id"),
+            (f"z{k}", f"SELECT id, x, fz, y / (SELECT sqrt(sum(y * y)) FROM y{k}) AS xn FROM y{k}"),
+            (f"x{k + 1}", f"SELECT id, CASE WHEN fz THEN x ELSE xn END AS x, "
+                          f"fz OR (SELECT sum(abs(xn - x)) FROM z{k}) < "
+                          f"(SELECT count(*) FROM nodes) * {tol} AS fz FROM z{k}"),
+        ]
+    return _sql("copurchase_sparse", ctes, f"SELECT id, round(x, 6) AS eigenvector FROM x{iters}")
+
+
+@query("G11_eigenvector_centrality", _eig_sql)
+def g11(spark, sf):
+    return G.eigenvector(T.copurchase_sparse(spark, sf)).withColumn("eigenvector",
+                                                                    r6("eigenvector"))
+
+
+def _pr_sql(edges_sql, iters=100, alpha=0.85, tol=1e-6):
+    ctes = [
+        ("e2", f"SELECT src, dst, w FROM ({edges_sql}) t UNION ALL "
+               f"SELECT dst, src, w FROM ({edges_sql}) t WHERE src <> dst"),
+        ("nodes", "SELECT DISTINCT id FROM (SELECT src AS id FROM e2 UNION ALL "
+                  "SELECT dst FROM e2) t"),
+        ("wo", "SELECT src AS id, sum(w) AS wo FROM e2 GROUP BY 1"),
+        ("nd", "SELECT n.id, coalesce(wo.wo, 0.0) AS wo, "
+               "CAST((SELECT count(*) FROM nodes) AS DOUBLE) AS n "
+               "FROM nodes n LEFT JOIN wo ON n.id = wo.id"),
+        ("en", "SELECT e2.src, e2.dst, e2.w / wo.wo AS p FROM e2 JOIN wo ON e2.src = wo.id "
+               "WHERE e2.w / wo.wo > 0"),
+        ("x0", "SELECT id, 1.0 / n AS x, false AS fz FROM nd"),
+    ]
+    for k in range(iters):
+        ctes += [
+            (f"q{k}", f"""
+SELECT nd.id, nd.n, x.x, x.fz,
+       {alpha} * (coalesce(i.inflow, 0.0)
+         + (SELECT sum(CASE WHEN nd2.wo <= 0 THEN x2.x ELSE 0.0 END)
+            FROM nd nd2 JOIN x{k} x2 ON nd2.id = x2.id) / nd.n) + {1 - alpha} / nd.n AS xn
+FROM nd JOIN x{k} x ON nd.id = x.id
+LEFT JOIN (SELECT en.dst AS id, sum(en.p * x.x) AS inflow FROM en JOIN x{k} x ON en.src = x.id
+           GROUP BY 1) i ON nd.id = i.id"""),
+            (f"x{k + 1}", f"SELECT id, CASE WHEN fz THEN x ELSE xn END AS x, "
+                          f"fz OR (SELECT sum(abs(xn - x)) < max(n) * {tol} FROM q{k}) AS fz "
+                          f"FROM q{k}"),
+        ]
+    return ctes, f"x{iters}"
+
+
+def _pr_unweighted():
+    ctes, last = _pr_sql("SELECT src, dst, 1.0 AS w FROM e")
+    return _sql("copurchase_sparse", ctes, f"SELECT id, round(x, 6) AS rank FROM {last}")
+
+
+@query("G12_pagerank", _pr_unweighted)
+def g12(spark, sf):
+    return G.pagerank(T.copurchase_sparse(spark, sf)).withColumn("rank", r6("rank"))
+
+
+def _pr_weighted():
+    ctes, last = _pr_sql("SELECT cust AS src, -supp AS dst, CAST(weight AS DOUBLE) AS w "
+                         "FROM cust_supp")
+    return with_views(["cust_supp"], f"SELECT id, round(x, 6) AS rank FROM {last}", ctes)
+
+
+@query("G12_pagerank_weighted_bipartite", _pr_weighted)
+def g12b(spark, sf):
+    cs = T.cust_supp(spark, sf).select(F.col("cust").alias("src"),
+                                       (-F.col("supp")).alias("dst"), "weight")
+    return G.pagerank(cs, weight="weight").withColumn("rank", r6("rank"))
+
+
+@query("G13_clique_counts", _sql("copurchase", [TRI], """
+SELECT 3 AS k, count(*) AS n FROM tri
+UNION ALL
+SELECT 4, count(*) FROM tri t JOIN e e1 ON e1.src = t.p JOIN e e2 ON e2.src = t.q AND e2.dst = e1.dst
+  JOIN e e3 ON e3.src = t.r AND e3.dst = e1.dst"""))
+def g13(spark, sf):
+    e = T.copurchase(spark, sf)
+    c3 = G.k_cliques(e, 3).agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit(3))
+    c4 = G.k_cliques(e, 4).agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit(4))
+    return c3.unionByName(c4).select("k", "n")
+
+
+@query("G15_compare_metrics", _bfs_sql("""
+SELECT 'degree' AS a, 'closeness' AS b, round(corr(degree, closeness), 6) AS corr FROM m""", """,
+clo AS (SELECT source AS id, CASE WHEN sum(dist) > 0 THEN (count(*) - 1) / sum(dist)
+               * ((count(*) - 1) / ((SELECT count(*) FROM nodes) - 1)) ELSE 0.0 END AS c
+        FROM paths GROUP BY 1),
+dg AS (SELECT a AS id, count(*) AS d FROM und GROUP BY a),
+m AS (SELECT dg.id, CAST(dg.d AS DOUBLE) AS degree, clo.c AS closeness
+      FROM dg JOIN clo ON dg.id = clo.id)"""))
+def g15(spark, sf):
+    e = T.copurchase_sparse(spark, sf)
+    d = G.degrees(e).select("id", F.col("degree").cast("double").alias("degree"))
+    c = G.closeness(G.shortest_paths(e))
+    m = d.join(c, "id")
+    return m.agg(r6(F.corr("degree", "closeness")).alias("corr")).select(
+        F.lit("degree").alias("a"), F.lit("closeness").alias("b"), "corr")
+
+
+@query("G16_top_nodes", _sql("copurchase", [DEG], """
+SELECT d.id, d.degree, p.p_name FROM (SELECT * FROM deg ORDER BY degree DESC, id LIMIT 5) d
+LEFT JOIN part p ON p.p_partkey = d.id"""))
+def g16(spark, sf):
+    d = G.degrees(T.copurchase(spark, sf)).select("id", "degree")
+    parts = T.table(spark, sf, "part").select(F.col("p_partkey").alias("id"), "p_name")
+    return G.top_nodes(d, parts, "degree", 5)
+
+
+@query("G18_bipartite_sides", with_views(["cust_supp"], """
+SELECT 0 AS side, count(DISTINCT cust) AS n FROM cust_supp
+UNION ALL SELECT 1, count(DISTINCT supp) FROM cust_supp"""))
+def g18(spark, sf):
+    _, nodes = G.bipartite(T.cust_supp(spark, sf), "cust", "supp", "weight")
+    return nodes.groupBy("side").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("G19_greedy_matching")
+def g19(spark, sf):
+    return G.greedy_matching(T.cust_supp(spark, sf).select(
+        F.col("cust").alias("src"), F.col("supp").alias("dst"), "weight"))
+
+
+@query("G21_interactions_by_class", with_views(["actor_events"], """
+SELECT actor1_country, actor2_country, quad_class, count(*) AS n FROM actor_events
+GROUP BY 1, 2, 3"""))
+def g21(spark, sf):
+    return G.interactions(T.actor_events(spark, sf), ["actor1_country", "actor2_country"],
+                          "quad_class")
