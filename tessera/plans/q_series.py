@@ -1 +1,85 @@
-"""Registered queries."""
+"""Registered time-series queries (Z*) on the monthly order series."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.operators import series as Z
+from tessera.plans.catalog import query
+from tessera.plans.views_sql import with_views
+from tessera.sources import tables as T
+
+
+def r6(c):
+    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+
+
+TREND = ("tr", """
+SELECT series_id, pos, x,
+       CASE WHEN count(x) OVER (PARTITION BY series_id ORDER BY pos
+                                ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) = 13
+            THEN (avg(x) OVER (PARTITION BY series_id ORDER BY pos
+                              ROWS BETWEEN 6 PRECEDING AND 5 FOLLOWING)
+                + avg(x) OVER (PARTITION BY series_id ORDER BY pos
+                              ROWS BETWEEN 5 PRECEDING AND 6 FOLLOWING)) / 2 END AS trend
+FROM monthly""")
+DECOMP = ("dec", """
+SELECT tr.series_id, tr.pos, tr.x, tr.trend, s.seasonal, tr.x - tr.trend - s.seasonal AS resid
+FROM tr JOIN (SELECT series_id, ph, pm - avg(pm) OVER (PARTITION BY series_id) AS seasonal
+              FROM (SELECT series_id, pos % 12 AS ph, avg(x - trend) AS pm FROM tr
+                    GROUP BY 1, 2) a) s
+  ON tr.series_id = s.series_id AND tr.pos % 12 = s.ph""")
+
+
+@query("Z2_seasonal_decompose", with_views(["monthly"], """
+SELECT series_id, pos, round(trend, 6) AS trend, round(seasonal, 6) AS seasonal,
+       round(resid, 6) AS resid FROM dec""", [TREND, DECOMP]))
+def z2(spark, sf):
+    d = Z.decompose(T.monthly(spark, sf))
+    return d.select("series_id", "pos", *[r6(c).alias(c) for c in ("trend", "seasonal", "resid")])
+
+
+@query("Z7_residual_t_test", with_views(["monthly"], """
+SELECT series_id, count(resid) AS n,
+       round(avg(resid) / (stddev_samp(resid) / sqrt(count(resid))), 6) AS t
+FROM dec GROUP BY 1""", [TREND, DECOMP]))
+def z7(spark, sf):
+    t = Z.t_test(Z.decompose(T.monthly(spark, sf)))
+    return t.select("series_id", "n", r6("t").alias("t"))
+
+
+@query("Z3_box_cox_lambda", with_views(["monthly"], """
+WITH lam AS (SELECT i / 10.0 AS lam FROM range(-20, 21) t(i)),
+g AS (SELECT m.series_id, lam.lam, count(*) AS n, sum(ln(m.x + 1)) AS sl,
+             var_pop(CASE WHEN lam.lam = 0 THEN ln(m.x + 1)
+                          ELSE (pow(m.x + 1, lam.lam) - 1) / lam.lam END) AS v
+      FROM monthly m CROSS JOIN lam GROUP BY 1, 2),
+l AS (SELECT series_id, lam, (lam - 1) * sl - n / 2 * ln(v) AS llf FROM g)
+SELECT series_id, lam AS "lambda", round(llf, 6) AS llf FROM (
+  SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY llf DESC, lam) AS r FROM l) x
+WHERE r = 1"""))
+def z3(spark, sf):
+    m = T.monthly(spark, sf).withColumn("x", F.col("x") + 1)
+    best = Z.box_cox_best(Z.box_cox_grid(m))
+    return best.select("series_id", "lambda", r6("llf").alias("llf"))
+
+
+@query("Z4_acf", with_views(["monthly"], """
+WITH st AS (SELECT series_id, avg(x) AS m, count(*) AS n FROM monthly GROUP BY 1),
+c AS (SELECT mo.series_id, mo.pos, mo.x - st.m AS c, st.n FROM monthly mo
+      JOIN st ON mo.series_id = st.series_id),
+den AS (SELECT series_id, sum(c * c) AS den FROM c GROUP BY 1),
+num AS (SELECT a.series_id, CAST(k.lag AS INTEGER) AS lag, sum(a.c * b.c) AS num, max(a.n) AS n
+        FROM c a CROSS JOIN (SELECT i AS lag FROM range(0, 51) t(i)) k
+        JOIN c b ON b.series_id = a.series_id AND b.pos = a.pos + k.lag
+        GROUP BY 1, 2)
+SELECT num.series_id, lag, round(num / den, 6) AS acf, round(1.96 / sqrt(n), 6) AS band
+FROM num JOIN den ON num.series_id = den.series_id"""))
+def z4(spark, sf):
+    a = Z.acf(T.monthly(spark, sf), lags=50)
+    return a.select("series_id", "lag", r6("acf").alias("acf"), r6("band").alias("band"))
+
+
+@query("Z1_adf")
+def z1(spark, sf):
+    return Z.adf(T.monthly(spark, sf), max_lag=12)
