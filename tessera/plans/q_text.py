@@ -331,3 +331,100 @@ def s20(spark, sf):
     out = SM.evaluate(models, ideal)
     return out.select("model", r6("cosine").alias("cosine"),
                       r6("unit_overlap").alias("unit_overlap"), "n_docs")
+
+
+# ------------------------------------------------------------ topics, similarity
+
+def _doc_tfidf_log2(spark, sf):
+    _, clean, _ = _clean(spark, sf)
+    bow = TO.bag_of_words(clean)
+    model = TO.idf_log2(bow)
+    return bow, model, TO.tfidf_log2(bow, model=model)
+
+
+DOC_LOG2 = """
+WITH b AS (SELECT doc_id, token AS term, count(*) AS cnt FROM clean GROUP BY 1, 2),
+n AS (SELECT count(DISTINCT doc_id) AS n FROM b),
+idf AS (SELECT term, log2(n.n / count(DISTINCT doc_id)) AS idf FROM b, n GROUP BY term, n.n),
+w AS (SELECT b.doc_id, b.term, b.cnt * idf.idf AS w FROM b JOIN idf ON b.term = idf.term
+      WHERE b.cnt * idf.idf <> 0),
+nm AS (SELECT doc_id, sqrt(sum(w * w)) AS nrm FROM w GROUP BY 1)
+SELECT w.doc_id, w.term, w.w / nm.nrm AS w FROM w JOIN nm ON w.doc_id = nm.doc_id"""
+
+
+def _s3_sql():
+    return with_ctes(base_ctes("clean") + [
+        ("dlog", DOC_LOG2),
+        ("tid", "SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_id FROM "
+                "(SELECT DISTINCT token AS term FROM clean) t")], """
+SELECT d.doc_id, CAST(k.dim AS INTEGER) AS dim,
+       round(sum(CASE WHEN (t.term_id * 7919 + k.dim * 104729 + 0) % 2 = 0 THEN 1.0 ELSE -1.0 END
+                 * d.w) / sqrt(8.0), 6) AS value
+FROM dlog d JOIN tid t ON d.term = t.term CROSS JOIN (SELECT i AS dim FROM range(0, 8) r(i)) k
+GROUP BY 1, 2""")
+
+
+@query("S3_random_projection", _s3_sql)
+def s3(spark, sf):
+    from tessera.operators import topics as TP
+    _, clean, _ = _clean(spark, sf)
+    _, _, w = _doc_tfidf_log2(spark, sf)
+    ids = TO.dictionary(clean, min_df=1).select("term", "term_id")
+    return TP.random_projection(w, ids, 8, 0).withColumn("value", r6("value"))
+
+
+@query("S6_cosine_distance_next_doc", lambda: with_ctes(base_ctes("clean") + [("dlog", DOC_LOG2)], """
+WITH p AS (SELECT doc_id AS a, lead(doc_id) OVER (ORDER BY doc_id) AS b FROM documents),
+p2 AS (SELECT * FROM p WHERE b IS NOT NULL),
+dot AS (SELECT p2.a, p2.b, sum(x.w * y.w) AS dot FROM p2 JOIN dlog x ON x.doc_id = p2.a
+        JOIN dlog y ON y.doc_id = p2.b AND y.term = x.term GROUP BY 1, 2)
+SELECT p2.a, p2.b, round(1 - coalesce(dot.dot, 0.0), 6) AS d
+FROM p2 LEFT JOIN dot ON p2.a = dot.a AND p2.b = dot.b"""))
+def s6(spark, sf):
+    from tessera.operators import topics as TP
+    _, _, w = _doc_tfidf_log2(spark, sf)
+    ids = T.table(spark, sf, "documents").select("doc_id")
+    # consecutive document ids: a sorted range partitioning, not one task
+    pairs = (ids.withColumn("b", F.lead("doc_id").over(Window.orderBy("doc_id")))
+             .filter(F.col("b").isNotNull()).select(F.col("doc_id").alias("a"), "b"))
+    return TP.cosine_distance(w, pairs).withColumn("d", r6("d"))
+
+
+def _s5_sql():
+    q = base_ctes("clean", docs="SELECT item_id AS doc_id, text FROM benchmark", prefix="q_")
+    return with_ctes(base_ctes("clean") + q + [("dlog", DOC_LOG2)], """
+WITH b AS (SELECT doc_id, token AS term, count(*) AS cnt FROM clean GROUP BY 1, 2),
+n AS (SELECT count(DISTINCT doc_id) AS n FROM b),
+idf AS (SELECT term, log2(n.n / count(DISTINCT doc_id)) AS idf FROM b, n GROUP BY term, n.n),
+qb AS (SELECT doc_id AS qid, token AS term, count(*) AS cnt FROM q_clean GROUP BY 1, 2),
+qw AS (SELECT qb.qid, qb.term, qb.cnt * idf.idf AS w FROM qb JOIN idf ON qb.term = idf.term
+       WHERE qb.cnt * idf.idf <> 0),
+qn AS (SELECT qid, sqrt(sum(w * w)) AS nrm FROM qw GROUP BY 1),
+qv AS (SELECT qw.qid, qw.term, qw.w / qn.nrm AS w FROM qw JOIN qn ON qw.qid = qn.qid),
+s AS (SELECT qv.qid, d.doc_id, sum(d.w * qv.w) AS cos FROM dlog d JOIN qv ON d.term = qv.term
+      GROUP BY 1, 2)
+SELECT qid, doc_id, round(cos, 6) AS cos FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(cos, 9) DESC, doc_id) AS r FROM s) x
+WHERE r <= 5""")
+
+
+@query("S5_similarity_query_top5", _s5_sql)
+def s5(spark, sf):
+    from tessera.operators import topics as TP
+    from tessera.operators import relational as RL
+    _, model, w = _doc_tfidf_log2(spark, sf)
+    bench = T.table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    _, qclean, _ = TO.clean_sentence_tokens(bench)
+    qv = TO.tfidf_log2(TO.bag_of_words(qclean), model=model).withColumnRenamed("doc_id", "qid")
+    sims = TP.similarity_query(w, qv).withColumn("cos", F.round("cos", 9))
+    top = RL.top_n_in_order(sims, ["qid"], "cos", "doc_id", 5)
+    return top.withColumn("cos", r6("cos"))
+
+
+@query("S1_lda_topics")
+def s1(spark, sf):
+    from tessera.operators import topics as TP
+    _, clean, _ = _clean(spark, sf)
+    kept = TO.filter_frequency(clean, 10, 500)
+    doc_topics, _ = TP.lda(TO.bag_of_words(kept), k=5, max_iter=10)
+    return doc_topics

@@ -3,6 +3,8 @@ tessera.functions.text / tessera.operators.text)."""
 
 from __future__ import annotations
 
+import re as _re
+
 from tessera.functions.text import LANGUAGES, stop_words_sql
 
 ALPHA_LIST = (r"list_filter(regexp_extract_all(lower({c}), '([\p{{L}}_]+)', 1), "
@@ -12,7 +14,7 @@ WORD_PUNCT_LIST = r"regexp_extract_all(lower({c}), '([\p{{L}}\p{{N}}_]+|[^\p{{L}
 SENTS = r"""
 SELECT doc_id, CAST(i - 1 AS BIGINT) AS sent_id,
        regexp_replace(s, '^\s+|\s+$', '', 'g') AS sentence
-FROM documents,
+FROM docs,
      unnest(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)))
        WITH ORDINALITY AS t(s, i)
 WHERE regexp_replace(s, '^\s+|\s+$', '', 'g') <> ''"""
@@ -22,7 +24,7 @@ STOKENS = ("SELECT doc_id, sent_id, CAST(j - 1 AS BIGINT) AS pos, tok AS token F
 
 LANGS = f"""
 SELECT d.doc_id, coalesce(b.lang, '{LANGUAGES[0]}') AS lang, coalesce(b.hits, 0) AS hits
-FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN (
+FROM (SELECT DISTINCT doc_id FROM docs) d LEFT JOIN (
   SELECT doc_id, lang, hits FROM (
     SELECT doc_id, lang, hits,
            row_number() OVER (PARTITION BY doc_id ORDER BY hits DESC, lang) AS rn
@@ -47,8 +49,28 @@ SELECT w.doc_id, w.sent_id, w.term, w.w / nm.nrm AS w
 FROM w JOIN nm ON w.doc_id = nm.doc_id AND w.sent_id = nm.sent_id"""
 
 
-def base_ctes(upto: str = "clean") -> list[tuple[str, str]]:
-    order = [("sw", stop_words_sql()), ("sents", SENTS), ("stoks", STOKENS),
+DOCS = "SELECT doc_id, text FROM documents"
+
+
+def base_ctes(upto: str = "clean", docs: str = DOCS, prefix: str = "") -> list[tuple[str, str]]:
+    """CTE chain sw -> docs -> sents -> stoks -> langs -> clean -> tfidf.
+    ``prefix`` renames the chain (except sw) so two corpora can coexist."""
+    chain = base_ctes_raw(upto, docs)
+    if not prefix:
+        return chain
+    names = [n for n, _ in chain if n != "sw"]
+    out = []
+    for n, sql in chain:
+        if n == "sw":
+            continue
+        for m in names:
+            sql = _re.sub(rf"\b{m}\b", prefix + m, sql)
+        out.append((prefix + n, sql))
+    return out
+
+
+def base_ctes_raw(upto: str = "clean", docs: str = DOCS) -> list[tuple[str, str]]:
+    order = [("sw", stop_words_sql()), ("docs", docs), ("sents", SENTS), ("stoks", STOKENS),
              ("langs", LANGS), ("clean", CLEAN), ("tfidf", TFIDF)]
     out = []
     for name, sql in order:
