@@ -416,9 +416,9 @@ def s5(spark, sf):
     bench = T.table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
     _, qclean, _ = TO.clean_sentence_tokens(bench)
     qv = TO.tfidf_log2(TO.bag_of_words(qclean), model=model).withColumnRenamed("doc_id", "qid")
-    sims = TP.similarity_query(w, qv).withColumn("cos", F.round("cos", 9))
-    top = RL.top_n_in_order(sims, ["qid"], "cos", "doc_id", 5)
-    return top.withColumn("cos", r6("cos"))
+    sims = TP.similarity_query(w, qv).withColumn("cos9", F.round("cos", 9))
+    top = RL.top_n_in_order(sims, ["qid"], "cos9", "doc_id", 5)
+    return top.select("qid", "doc_id", r6("cos").alias("cos"))
 
 
 @query("S1_lda_topics")
