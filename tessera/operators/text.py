@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text as TX
+from tessera.session import cut_lineage
 
 
 # ------------------------------------------------------------ tokenizing
@@ -68,11 +69,16 @@ def detect_language(tokens: DataFrame, id_col="doc_id", token="token",
 
     Ties go to the alphabetically first language; a document with no hit
     gets the first language of the list (pass ``docs`` to keep such rows).
+    Tokens are first cut to stop-word candidates by a map-side semi join
+    with the (fixed, few-thousand-word) vocabulary, so only those are
+    de-duplicated and shuffled.
     """
     spark = tokens.sparkSession
-    sw = F.broadcast(TX.stop_words_df(spark))  # fixed size (~3k rows)
-    distinct = tokens.select(id_col, F.col(token).alias("word")).distinct()
-    hits = (distinct.join(sw, "word").groupBy(id_col, "lang")
+    sw = TX.stop_words_df(spark)
+    vocab = F.broadcast(sw.select(F.col("word").alias(token)).distinct())
+    cand = tokens.join(vocab, token, "left_semi")
+    distinct = cand.select(id_col, F.col(token).alias("word")).distinct()
+    hits = (distinct.join(F.broadcast(sw), "word").groupBy(id_col, "lang")
             .agg(F.count(F.lit(1)).alias("hits")))
     w = Window.partitionBy(id_col).orderBy(F.desc("hits"), F.asc("lang"))
     best = (hits.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn"))
@@ -85,18 +91,27 @@ def detect_language(tokens: DataFrame, id_col="doc_id", token="token",
 
 def remove_stop_words(tokens: DataFrame, langs: DataFrame, id_col="doc_id",
                       token="token") -> DataFrame:
-    """Drop tokens that are stop words of the document's language."""
-    sw = F.broadcast(TX.stop_words_df(tokens.sparkSession)
-                     .select("lang", F.col("word").alias(token)))
-    t = tokens.join(langs.select(id_col, "lang"), id_col)
-    return t.join(sw, ["lang", token], "left_anti").drop("lang")
+    """Drop tokens that are stop words of the document's language.
+
+    Tokens that are no stop word in any language are kept map-side; only
+    the candidates travel to the join with the per-document language."""
+    sw = TX.stop_words_df(tokens.sparkSession)
+    vocab = F.broadcast(sw.select(F.col("word").alias(token)).distinct())
+    rest = tokens.join(vocab, token, "left_anti")
+    cand = tokens.join(vocab, token, "left_semi")
+    sw2 = F.broadcast(sw.select("lang", F.col("word").alias(token)))
+    kept = (cand.join(langs.select(id_col, "lang"), id_col)
+            .join(sw2, ["lang", token], "left_anti").drop("lang"))
+    return rest.unionByName(kept.select(*rest.columns))
 
 
 def clean_sentence_tokens(docs: DataFrame, id_col="doc_id", text="text"):
     """Sentences, their alphabetic tokens without the detected language's
     stop words, and the language per document.  Shared by the summarizers."""
-    sents = sentences(docs, id_col, text)
-    toks = sentence_tokens(sents, id_col)
+    # materialised once: every later step reads these instead of re-running
+    # the sentence split and the regular-expression tokenizer per branch
+    sents = cut_lineage(sentences(docs, id_col, text))
+    toks = cut_lineage(sentence_tokens(sents, id_col))
     langs = detect_language(toks, id_col, docs=docs)
     clean = remove_stop_words(toks, langs, id_col)
     return sents, clean, langs

@@ -29,8 +29,18 @@ def load_all() -> dict:
     return REGISTRY
 
 
+def _configured(fn):
+    def run(spark, sf_dir):
+        from tessera.session import configure
+        configure(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict:
-    return {k: v[0] for k, v in load_all().items()}
+    return {k: _configured(v[0]) for k, v in load_all().items()}
 
 
 def oracle_sql() -> dict:

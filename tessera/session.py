@@ -18,6 +18,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # broadcast decisions only from measured (runtime) sizes, never from
+    # static estimates; explicit hints remain for tables bounded by design
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -34,6 +38,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    if (master or "").startswith("local") and "spark.driver.memory" not in conf:
+        conf["spark.driver.memory"] = "8g"
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -42,6 +48,21 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+RUNTIME_CONF = {k: v for k, v in DEFAULT_CONF.items() if k.startswith("spark.sql.")}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the runtime SQL settings to an existing session (AQE, skew
+    join, size-checked broadcast) and make sure lineage can be cut."""
+    for k, v in RUNTIME_CONF.items():
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # a static or locked setting: keep the session's
+            pass
+    checkpoint_dir(spark)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, configuring it if needed.
 
