@@ -428,3 +428,68 @@ def s1(spark, sf):
     kept = TO.filter_frequency(clean, 10, 500)
     doc_topics, _ = TP.lda(TO.bag_of_words(kept), k=5, max_iter=10)
     return doc_topics
+
+
+# ------------------------------------------------------------ more summarizers
+
+from tessera.plans.text_sql import sumbasic_ctes, top_ratio_body  # noqa: E402
+
+
+@query("S12_ratio_summary", lambda: with_ctes(textrank_ctes(100), top_ratio_body(0.2)))
+def s12(spark, sf):
+    return SM.summarize_ratio(_docs(spark, sf), ratio=0.2)
+
+
+@query("S16_lexrank_summary",
+       lambda: with_ctes(textrank_ctes(100, weight="similarity"), top_summary_body(3)))
+def s16(spark, sf):
+    return SM.summarize_lexrank(_docs(spark, sf), n=3)
+
+
+@query("S17_sumbasic_summary", lambda: with_ctes(sumbasic_ctes(3), """
+SELECT s.doc_id, string_agg(s.sentence, ' ' ORDER BY s.sent_id) AS summary
+FROM pick3 p JOIN sents s ON s.doc_id = p.doc_id AND s.sent_id = p.sent_id GROUP BY 1"""))
+def s17(spark, sf):
+    return SM.summarize_sumbasic(_docs(spark, sf), n=3)
+
+
+FEATURES = """
+WITH fl AS (SELECT doc_id, min(sent_id) AS first_id, max(sent_id) AS last_id FROM sents GROUP BY 1),
+nt AS (SELECT doc_id, sent_id, count(*) AS ntok FROM clean GROUP BY 1, 2),
+title AS (SELECT DISTINCT c.doc_id, c.token FROM clean c JOIN fl ON c.doc_id = fl.doc_id
+          WHERE c.sent_id = fl.first_id),
+ts AS (SELECT doc_id, count(*) AS tsz FROM title GROUP BY 1),
+tw AS (SELECT d.doc_id, d.sent_id, count(*) AS th
+       FROM (SELECT DISTINCT doc_id, sent_id, token FROM clean) d
+       JOIN title t ON d.doc_id = t.doc_id AND d.token = t.token GROUP BY 1, 2),
+tf AS (SELECT doc_id, token, count(*) AS c FROM clean GROUP BY 1, 2),
+kw AS (SELECT doc_id, token FROM (SELECT *, row_number() OVER (PARTITION BY doc_id
+                                  ORDER BY c DESC, token) AS r FROM tf) x WHERE r <= 10),
+kh AS (SELECT c.doc_id, c.sent_id, count(*) AS kh FROM clean c
+       JOIN kw ON c.doc_id = kw.doc_id AND c.token = kw.token GROUP BY 1, 2),
+mx AS (SELECT doc_id, max(ntok) AS mx FROM nt GROUP BY 1)
+SELECT u.doc_id, u.sent_id,
+       (coalesce(coalesce(tw.th, 0) / ts.tsz, 0.0) + coalesce(coalesce(nt.ntok, 0) / mx.mx, 0.0)
+        + (1 - u.sent_id / (fl.last_id + 1))
+        + coalesce(coalesce(kh.kh, 0) / nullif(coalesce(nt.ntok, 0), 0), 0.0)) / 4 AS score
+FROM sents u JOIN fl ON u.doc_id = fl.doc_id
+LEFT JOIN nt ON u.doc_id = nt.doc_id AND u.sent_id = nt.sent_id
+LEFT JOIN tw ON u.doc_id = tw.doc_id AND u.sent_id = tw.sent_id
+LEFT JOIN kh ON u.doc_id = kh.doc_id AND u.sent_id = kh.sent_id
+LEFT JOIN ts ON u.doc_id = ts.doc_id LEFT JOIN mx ON u.doc_id = mx.doc_id"""
+
+
+@query("S13_feature_summary", lambda: with_ctes(base_ctes("clean") + [("scores", FEATURES)],
+                                                top_summary_body(5)))
+def s13(spark, sf):
+    return SM.summarize_features(_docs(spark, sf), n=5)
+
+
+@query("S10_lsa_summary")
+def s10(spark, sf):
+    return SM.summarize_lsa(_docs(spark, sf), n=3)
+
+
+@query("S11_lsa_rank2_summary")
+def s11(spark, sf):
+    return SM.summarize_lsa(_docs(spark, sf), n=3, rank=2)

@@ -88,21 +88,27 @@ def with_ctes(ctes: list[tuple[str, str]], body: str) -> str:
     return head + "\n" + body
 
 
-def textrank_ctes(iters: int = 100, alpha: float = 0.85, tol: float = 1e-6) -> list[tuple[str, str]]:
+def textrank_ctes(iters: int = 100, alpha: float = 0.85, tol: float = 1e-6,
+                  weight: str = "distance") -> list[tuple[str, str]]:
     """Power iteration of the factorised complete-distance-graph PageRank."""
     ctes = base_ctes("tfidf")
     ctes += [
         ("tr_s", "SELECT doc_id, term, sum(w) AS s FROM tfidf GROUP BY 1, 2"),
         ("tr_dot", "SELECT a.doc_id, a.sent_id, sum(a.w * s.s) AS dot FROM tfidf a "
                    "JOIN tr_s s ON a.doc_id = s.doc_id AND a.term = s.term GROUP BY 1, 2"),
-        ("tr_nodes", """
+        ("tr_nodes", f"""
 SELECT u.doc_id, u.sent_id, CAST(n.n AS DOUBLE) AS n,
        CASE WHEN d.dot IS NULL THEN 0.0 ELSE 1.0 END AS has,
-       n.n - 1 - (coalesce(d.dot, 0.0) - CASE WHEN d.dot IS NULL THEN 0.0 ELSE 1.0 END) AS wout
+       {"n.n - 1 - " if weight == "distance" else ""}(coalesce(d.dot, 0.0)
+         - CASE WHEN d.dot IS NULL THEN 0.0 ELSE 1.0 END) AS wout
 FROM sents u JOIN (SELECT doc_id, count(*) AS n FROM sents GROUP BY 1) n ON u.doc_id = n.doc_id
 LEFT JOIN tr_dot d ON u.doc_id = d.doc_id AND u.sent_id = d.sent_id"""),
         ("x0", "SELECT doc_id, sent_id, 1.0 / n AS x, false AS fz FROM tr_nodes"),
     ]
+    if weight == "distance":
+        inflow = "(g.ytot - y.y) - (coalesce(v.v, 0.0) - y.y * y.has)"
+    else:
+        inflow = "(coalesce(v.v, 0.0) - y.y * y.has)"
     for k in range(iters):
         ctes += [
             (f"y{k}", f"SELECT nd.doc_id, nd.sent_id, nd.n, nd.has, nd.wout, x.x, x.fz, "
@@ -116,7 +122,7 @@ LEFT JOIN tr_dot d ON u.doc_id = d.doc_id AND u.sent_id = d.sent_id"""),
             (f"v{k}", f"SELECT a.doc_id, a.sent_id, sum(a.w * u.u) AS v FROM tfidf a "
                       f"JOIN u{k} u ON a.doc_id = u.doc_id AND a.term = u.term GROUP BY 1, 2"),
             (f"n{k}", f"SELECT y.doc_id, y.sent_id, y.n, y.x, y.fz, "
-                      f"{alpha} * ((g.ytot - y.y) - (coalesce(v.v, 0.0) - y.y * y.has) "
+                      f"{alpha} * ({inflow} "
                       f"+ g.dtot / y.n) + {1 - alpha} / y.n AS xn "
                       f"FROM y{k} y JOIN g{k} g ON y.doc_id = g.doc_id "
                       f"LEFT JOIN v{k} v ON y.doc_id = v.doc_id AND y.sent_id = v.sent_id"),
@@ -138,3 +144,43 @@ FROM (SELECT doc_id, sent_id FROM (
         FROM scores) r WHERE rn <= {n}) b
 JOIN sents s ON s.doc_id = b.doc_id AND s.sent_id = b.sent_id
 GROUP BY s.doc_id"""
+
+
+def top_ratio_body(ratio: float) -> str:
+    return f"""
+SELECT s.doc_id, string_agg(s.sentence, ' ' ORDER BY s.sent_id) AS summary
+FROM (SELECT doc_id, sent_id FROM (
+        SELECT sc.doc_id, sc.sent_id, c.n,
+               row_number() OVER (PARTITION BY sc.doc_id ORDER BY round(sc.score, 12) DESC,
+                                  sc.sent_id) AS rn
+        FROM scores sc JOIN (SELECT doc_id, count(*) AS n FROM sents GROUP BY 1) c
+          ON sc.doc_id = c.doc_id) r WHERE rn <= ceil(n * {ratio})) b
+JOIN sents s ON s.doc_id = b.doc_id AND s.sent_id = b.sent_id
+GROUP BY s.doc_id"""
+
+
+def sumbasic_ctes(rounds: int) -> list[tuple[str, str]]:
+    ctes = base_ctes("clean") + [
+        ("p0", """SELECT c.doc_id, c.token, count(*) / max(t.tot) AS p FROM clean c
+                  JOIN (SELECT doc_id, count(*) AS tot FROM clean GROUP BY 1) t
+                    ON c.doc_id = t.doc_id GROUP BY 1, 2"""),
+        ("pick0", "SELECT doc_id, sent_id FROM clean WHERE false"),
+    ]
+    for r in range(rounds):
+        ctes += [
+            (f"sc{r}", f"""SELECT c.doc_id, c.sent_id, round(avg(p.p), 12) AS score FROM clean c
+                        JOIN p{r} p ON c.doc_id = p.doc_id AND c.token = p.token
+                        WHERE NOT EXISTS (SELECT 1 FROM pick{r} k WHERE k.doc_id = c.doc_id
+                                          AND k.sent_id = c.sent_id)
+                        GROUP BY 1, 2"""),
+            (f"b{r}", f"""SELECT doc_id, sent_id FROM (SELECT *, row_number() OVER (
+                          PARTITION BY doc_id ORDER BY score DESC, sent_id) AS rn FROM sc{r}) x
+                       WHERE rn = 1"""),
+            (f"pick{r + 1}", f"SELECT * FROM pick{r} UNION ALL SELECT * FROM b{r}"),
+            (f"p{r + 1}", f"""SELECT p.doc_id, p.token,
+                              CASE WHEN u.token IS NULL THEN p.p ELSE p.p * p.p END AS p
+                           FROM p{r} p LEFT JOIN (SELECT DISTINCT c.doc_id, c.token FROM clean c
+                             JOIN b{r} b ON c.doc_id = b.doc_id AND c.sent_id = b.sent_id) u
+                             ON p.doc_id = u.doc_id AND p.token = u.token"""),
+        ]
+    return ctes
