@@ -360,3 +360,80 @@ def greedy_matching(edges: DataFrame, weight: str = "weight", max_rounds: int =
 def interactions(df: DataFrame, keys, cls: str) -> DataFrame:
     """Interaction count per ordered key pair and class."""
     return df.groupBy(*keys, cls).agg(F.count(F.lit(1)).alias("n"))
+
+
+def betweenness(edges: DataFrame, sources: DataFrame | None = None,
+                normalized: bool = True) -> DataFrame:
+    """Brandes betweenness for an unweighted undirected graph,
+    level-synchronous: a forward BFS per source carries shortest-path counts
+    ``sigma`` level by level (join + aggregate per level); the backward pass
+    accumulates ``delta(v) = sum_w sigma_v / sigma_w (1 + delta_w)`` from the
+    deepest level up.  ``sources`` restricts the sum to a set of sources."""
+    adj = cut_lineage(both_ways(canonical(edges)).filter(F.col("a") != F.col("b")))
+    nodes = nodes_of(edges)
+    n = nodes.count()
+    src = (sources if sources is not None else nodes).select(F.col("id").alias("s"))
+    level = cut_lineage(src.select("s", F.col("s").alias("v"), F.lit(1.0).alias("sigma")))
+    seen = level.select("s", "v")
+    levels = [level]
+    while True:
+        nxt = (levels[-1].join(adj, F.col("v") == F.col("a"))
+               .select("s", F.col("b").alias("v"), "sigma")
+               .join(seen, ["s", "v"], "left_anti")
+               .groupBy("s", "v").agg(F.sum("sigma").alias("sigma")))
+        nxt = cut_lineage(nxt)
+        if nxt.isEmpty():
+            break
+        levels.append(nxt)
+        seen = cut_lineage(seen.unionByName(nxt.select("s", "v")))
+    delta = levels[-1].select("s", "v", F.lit(0.0).alias("delta"))
+    parts = [delta] if len(levels) > 1 else []
+    for depth in range(len(levels) - 2, 0, -1):
+        child = (levels[depth + 1].join(delta, ["s", "v"])
+                 .select("s", F.col("v").alias("w"), F.col("sigma").alias("sw"), "delta"))
+        par = levels[depth].select("s", "v", "sigma")
+        contrib = (par.join(adj, F.col("v") == F.col("a"))
+                   .join(child, (F.col("b") == F.col("w")) & (par.s == child.s))
+                   .select(par.s.alias("s"), par.v.alias("v"),
+                           (F.col("sigma") / F.col("sw") * (1 + F.col("delta"))).alias("c"))
+                   .groupBy("s", "v").agg(F.sum("c").alias("delta")))
+        delta = cut_lineage(par.select("s", "v").join(contrib, ["s", "v"], "left")
+                            .fillna(0.0, ["delta"]))
+        parts.append(delta)
+    tot = None
+    for p in parts:
+        tot = p if tot is None else tot.unionByName(p)
+    if tot is None:
+        return nodes.select("id", F.lit(0.0).alias("betweenness"))
+    b = tot.groupBy(F.col("v").alias("id")).agg(F.sum("delta").alias("b"))
+    scale = 1.0 / ((n - 1) * (n - 2)) if normalized and n > 2 else 0.5
+    return (nodes.join(b, "id", "left")
+            .select("id", (F.coalesce("b", F.lit(0.0)) * scale).alias("betweenness")))
+
+
+def clique_communities(edges: DataFrame, k: int = 3, max_rounds: int = 1000) -> DataFrame:
+    """K-clique percolation: k-cliques sharing k-1 nodes form one
+    community.  Adjacent cliques are never paired up: cliques and their
+    (k-1)-subsets form a bipartite graph whose connected components are found
+    by min-label propagation.  Returns ``(community, id)``; the community is
+    labelled by its smallest clique (as a sorted node string)."""
+    cl = k_cliques(edges, k).select(F.array_join("nodes", ",").alias("cid"), "nodes")
+    cl = cut_lineage(cl)
+    # every (k-1)-subset of a clique: drop one position
+    subs = cl.select("cid", F.explode(F.transform(
+        F.sequence(F.lit(0), F.lit(k - 1)),
+        lambda i: F.array_join(F.filter("nodes", lambda x, j: j != i), ","))).alias("sub"))
+    subs = cut_lineage(subs)
+    lab = cl.select("cid", F.col("cid").alias("label"))
+    for _ in range(max_rounds):
+        sl = (subs.join(lab, "cid").groupBy("sub").agg(F.min("label").alias("sl")))
+        new = (subs.join(sl, "sub").groupBy("cid").agg(F.min("sl").alias("nl"))
+               .join(lab, "cid").select("cid", F.least("label", "nl").alias("label"),
+                                         (F.col("nl") < F.col("label")).alias("chg")))
+        new = cut_lineage(new)
+        changed = not new.filter("chg").isEmpty()
+        lab = new.select("cid", "label")
+        if not changed:
+            break
+    return (cl.join(lab, "cid").select(F.col("label").alias("community"),
+                                       F.explode("nodes").alias("id")).distinct())

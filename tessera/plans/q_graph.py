@@ -295,3 +295,63 @@ GROUP BY 1, 2, 3"""))
 def g21(spark, sf):
     return G.interactions(T.actor_events(spark, sf), ["actor1_country", "actor2_country"],
                           "quad_class")
+
+
+def _betweenness_sql(levels=30):
+    ctes = [ADJ, ("nodes", "SELECT DISTINCT a AS id FROM adj"),
+            ("lv0", "SELECT id AS s, id AS v, 1.0 AS sigma FROM nodes"),
+            ("vis0", "SELECT s, v FROM lv0")]
+    for i in range(levels):
+        ctes += [
+            (f"lv{i + 1}", f"""SELECT f.s, u.b AS v, sum(f.sigma) AS sigma FROM lv{i} f
+                            JOIN adj u ON f.v = u.a
+                            WHERE NOT EXISTS (SELECT 1 FROM vis{i} x WHERE x.s = f.s AND x.v = u.b)
+                            GROUP BY 1, 2"""),
+            (f"vis{i + 1}", f"SELECT * FROM vis{i} UNION ALL SELECT s, v FROM lv{i + 1}"),
+        ]
+    ctes.append((f"d{levels}", f"SELECT s, v, 0.0 AS delta FROM lv{levels}"))
+    for i in range(levels - 1, 0, -1):
+        ctes += [
+            (f"ct{i}", f"""SELECT p.s, p.v, sum(p.sigma / l.sigma * (1 + d.delta)) AS delta
+                        FROM lv{i} p JOIN adj u ON u.a = p.v
+                        JOIN lv{i + 1} l ON l.s = p.s AND l.v = u.b
+                        JOIN d{i + 1} d ON d.s = l.s AND d.v = l.v GROUP BY 1, 2"""),
+            (f"d{i}", f"""SELECT p.s, p.v, coalesce(c.delta, 0.0) AS delta FROM lv{i} p
+                       LEFT JOIN ct{i} c ON c.s = p.s AND c.v = p.v"""),
+        ]
+    alld = " UNION ALL ".join(f"SELECT v, delta FROM d{i}" for i in range(1, levels + 1))
+    body = f"""SELECT n.id, round(coalesce(sum(d.delta), 0.0)
+                  / (((SELECT count(*) FROM nodes) - 1) * ((SELECT count(*) FROM nodes) - 2)), 6)
+                  AS betweenness
+               FROM nodes n LEFT JOIN ({alld}) d ON d.v = n.id GROUP BY n.id"""
+    return _sql("copurchase_sparse", ctes, body)
+
+
+@query("G10_betweenness", _betweenness_sql)
+def g10(spark, sf):
+    return G.betweenness(T.copurchase_sparse(spark, sf)).withColumn(
+        "betweenness", r6("betweenness"))
+
+
+def _communities_sql(rounds=30):
+    ctes = [TRI,
+            ("cl", "SELECT p || ',' || q || ',' || r AS cid, p, q, r FROM tri"),
+            ("subs", "SELECT cid, q || ',' || r AS sub FROM cl UNION ALL "
+                     "SELECT cid, p || ',' || r FROM cl UNION ALL SELECT cid, p || ',' || q FROM cl"),
+            ("lab0", "SELECT cid, cid AS label FROM cl")]
+    for i in range(rounds):
+        ctes += [
+            (f"sl{i}", f"SELECT s.sub, min(l.label) AS sl FROM subs s JOIN lab{i} l "
+                       f"ON s.cid = l.cid GROUP BY 1"),
+            (f"lab{i + 1}", f"SELECT s.cid, least(min(x.sl), l.label) AS label FROM subs s "
+                            f"JOIN sl{i} x ON s.sub = x.sub JOIN lab{i} l ON s.cid = l.cid "
+                            f"GROUP BY s.cid, l.label"),
+        ]
+    body = f"""SELECT DISTINCT l.label AS community, t.id FROM cl
+               JOIN lab{rounds} l ON cl.cid = l.cid, unnest([cl.p, cl.q, cl.r]) AS t(id)"""
+    return _sql("copurchase_sparse", ctes, body)
+
+
+@query("G14_clique_communities", _communities_sql)
+def g14(spark, sf):
+    return G.clique_communities(T.copurchase_sparse(spark, sf), 3)
