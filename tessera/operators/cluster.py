@@ -259,3 +259,94 @@ def silhouette_cosine(assigned: DataFrame, vec="vec", cluster="cluster") -> floa
     ev = ClusteringEvaluator(featuresCol="features", predictionCol=cluster,
                              distanceMeasure="cosine")
     return ev.evaluate(_vectorised(assigned, vec))
+
+
+# ---------------------------------------------------------------- single linkage
+
+def _components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+    """Connected components ``(id, comp)`` by min-label propagation over an
+    undirected edge list ``(u, v)``; one join + aggregate per round."""
+    from tessera.session import cut_lineage
+    adj = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"),
+                                                          F.col("u").alias("v")))
+    adj = cut_lineage(adj)
+    lab = cut_lineage(nodes.select("id", F.col("id").alias("comp")))
+    for _ in range(max_rounds):
+        m = (adj.join(lab.select(F.col("id").alias("v"), F.col("comp").alias("cv")), "v")
+             .groupBy(F.col("u").alias("id")).agg(F.min("cv").alias("m")))
+        new = cut_lineage(lab.join(m, "id", "left").select(
+            "id", F.least("comp", F.coalesce("m", "comp")).alias("comp"),
+            (F.coalesce("m", "comp") < F.col("comp")).alias("chg")))
+        done = new.filter("chg").isEmpty()
+        lab = new.select("id", "comp")
+        if done:
+            break
+    return lab
+
+
+def minimum_spanning_tree(pairs: DataFrame) -> DataFrame:
+    """Boruvka: every component picks its lightest outgoing edge (ties by
+    the node ids), the picked edges join components; O(log n) rounds.
+    ``pairs`` = ``(i, j, d)``; returns the tree edges ``(i, j, d)``."""
+    from tessera.session import cut_lineage
+    e = cut_lineage(pairs.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"),
+                                 "d").filter(F.col("i") != F.col("j")))
+    both = cut_lineage(e.select(F.col("i").alias("u"), F.col("j").alias("v"), "d", "i", "j")
+                       .unionByName(e.select(F.col("j").alias("u"), F.col("i").alias("v"),
+                                             "d", "i", "j")))
+    nodes = both.select(F.col("u").alias("id")).distinct()
+    comp = cut_lineage(nodes.select("id", F.col("id").alias("comp")))
+    tree = None
+    while True:
+        ec = (both.join(comp.select(F.col("id").alias("u"), F.col("comp").alias("cu")), "u")
+              .join(comp.select(F.col("id").alias("v"), F.col("comp").alias("cv")), "v")
+              .filter(F.col("cu") != F.col("cv")))
+        best = ec.groupBy("cu").agg(F.min(F.struct("d", "i", "j", "cv")).alias("b"))
+        picked = cut_lineage(best.select(F.col("b.i").alias("i"), F.col("b.j").alias("j"),
+                                         F.col("b.d").alias("d"), F.col("cu").alias("u"),
+                                         F.col("b.cv").alias("v")))
+        if picked.isEmpty():
+            break
+        new_edges = picked.select("i", "j", "d").distinct()
+        tree = new_edges if tree is None else tree.unionByName(new_edges)
+        tree = cut_lineage(tree.distinct())
+        cc = _components(comp.select(F.col("comp").alias("id")).distinct(),
+                         picked.select("u", "v"))
+        comp = cut_lineage(comp.join(cc.withColumnRenamed("id", "comp")
+                                     .withColumnRenamed("comp", "nc"), "comp")
+                           .select("id", F.col("nc").alias("comp")))
+    return tree
+
+
+def single_linkage(pairs: DataFrame, k: int | None = None):
+    """Single-linkage merge heights (= sorted MST edge weights) as
+    ``(step, height)``; with ``k``, also the flat clusters ``(id, cluster)``
+    obtained by removing the k-1 heaviest tree edges."""
+    from pyspark.sql import Window
+    tree = minimum_spanning_tree(pairs)
+    order = Window.orderBy("d", "i", "j")  # n - 1 tree edges, one ordered pass
+    heights = tree.select((F.row_number().over(order)).alias("step"), F.col("d").alias("height"),
+                          "i", "j")
+    if k is None:
+        return heights.select("step", "height"), None
+    n_edges = heights.count()
+    keep = heights.filter(F.col("step") <= n_edges - (k - 1))
+    nodes = (pairs.select(F.col("i").alias("id")).unionByName(pairs.select(F.col("j").alias("id")))
+             .distinct())
+    lab = _components(nodes, keep.select(F.col("i").alias("u"), F.col("j").alias("v")))
+    return heights.select("step", "height"), lab.withColumnRenamed("comp", "cluster")
+
+
+def linkage_knee(heights: DataFrame) -> DataFrame:
+    """Second difference of the merge heights from the top
+    (``h[r] - 2 h[r+1] + h[r+2]`` with r = 1 for the last merge); the best
+    number of clusters is ``argmax + 2``, the second best the next maximum."""
+    from pyspark.sql import Window
+    w = Window.orderBy(F.desc("step"))
+    h = heights.select(F.row_number().over(w).alias("r"), "height")
+    w2 = Window.orderBy("r")
+    d = h.select("r", (F.col("height") - 2 * F.lead("height", 1).over(w2)
+                       + F.lead("height", 2).over(w2)).alias("knee")).dropna()
+    w3 = Window.orderBy(F.desc("knee"), F.asc("r"))
+    best = d.withColumn("_rk", F.row_number().over(w3)).filter("_rk <= 2")
+    return best.select(F.col("_rk").alias("choice"), (F.col("r") + 1).alias("k"), "knee")

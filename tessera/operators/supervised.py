@@ -89,9 +89,15 @@ def knn_classify(neigh: DataFrame, label: str = "label", weights: str = "distanc
 
 
 def knn_regress(neigh: DataFrame, target: str, weights: str = "distance") -> DataFrame:
-    """M7: (weighted) mean of the neighbours' target."""
-    wgt = 1.0 / F.col("d") if weights == "distance" else F.lit(1.0)
-    return neigh.groupBy("qid").agg((F.sum(wgt * F.col(target)) / F.sum(wgt)).alias("pred"))
+    """M7: (weighted) mean of the neighbours' target; with distance weights,
+    neighbours at distance 0 (if any) take all the weight."""
+    if weights == "distance":
+        zero = F.min("d").over(Window.partitionBy("qid")) == 0
+        wgt = F.when(zero, (F.col("d") == 0).cast("double")).otherwise(1.0 / F.col("d"))
+    else:
+        wgt = F.lit(1.0)
+    n = neigh.withColumn("_w", wgt)
+    return n.groupBy("qid").agg((F.sum(F.col("_w") * F.col(target)) / F.sum("_w")).alias("pred"))
 
 
 def score(df: DataFrame, y: str, p: str, metric: str) -> DataFrame:
@@ -151,3 +157,106 @@ def fit_predict(train: DataFrame, test: DataFrame, features, label: str, kind: s
     }[kind](featuresCol="features", labelCol=label, **params)
     model = est.fit(_assemble(train, features))
     return model, model.transform(_assemble(test, features))
+
+
+def stratified_splits(df: DataFrame, key: str, y: str, n_splits: int = 5, frac: float = 0.2,
+                      seed: int = 0, buckets: int = 65536) -> DataFrame:
+    """M3: ``n_splits`` stratified shuffle splits: in split r every class c
+    sends exactly ``ceil(frac * n_c)`` rows to the test side, chosen by a
+    per-split hash of the key (the smallest hashes).
+
+    Exact selection without ranking a whole class in one task: hashes are
+    bucketed, bucket counts are a partial aggregate, the boundary bucket is
+    found on the (bounded) bucket table, and only rows of that bucket are
+    ranked.  Returns ``df`` columns + ``split`` + ``role``."""
+    spark = df.sparkSession
+    reps = F.broadcast(spark.range(n_splits).select(F.col("id").cast("int").alias("split")))
+    h = ((F.col(key) * 7919 + F.col("split") * 15485863 + seed * 104729) % 1000003) / 1000003.0
+    x = df.crossJoin(reps).withColumn("_h", h).withColumn("_b", F.floor(F.col("_h") * buckets))
+    n = df.groupBy(y).agg(F.ceil(F.count(F.lit(1)) * frac).alias("_target"))
+    bc = x.groupBy("split", y, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy("split", y).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    bc = bc.withColumn("_cum", F.sum("_c").over(w)).join(n, y)
+    edge = (bc.filter(F.col("_cum") >= F.col("_target")).groupBy("split", y)
+            .agg(F.min(F.struct("_b", "_cum", "_c")).alias("e")))
+    edge = edge.select("split", y, F.col("e._b").alias("_eb"),
+                       (F.col("e._cum") - F.col("e._c")).alias("_before")).join(n, y)
+    x = x.join(edge, ["split", y], "left")
+    inner = x.filter(F.col("_b") == F.col("_eb"))
+    wr = Window.partitionBy("split", y).orderBy("_h", key)
+    inner = inner.withColumn("_rk", F.row_number().over(wr)).select(
+        "split", key, (F.col("_rk") <= F.col("_target") - F.col("_before")).alias("_in"))
+    x = x.join(inner, ["split", key], "left")
+    role = F.when((F.col("_b") < F.col("_eb")) | F.coalesce(F.col("_in"), F.lit(False)), "test"
+                  ).otherwise("train")
+    return x.select(*df.columns, "split", role.alias("role"))
+
+
+def grid_search(df: DataFrame, features, label: str, kind: str, grid: dict, folds: int = 3,
+                key: str = "id", seed: int = 0) -> DataFrame:
+    """M5: k-fold cross-validation over a parameter grid; folds from key
+    arithmetic.  Returns ``(params, fold, score)`` rows (accuracy)."""
+    from itertools import product
+    d = df.withColumn("_fold", ((F.col(key) * 7919 + seed) % folds).cast("int")).cache()
+    names = list(grid)
+    out = []
+    for combo in product(*[grid[n] for n in names]):
+        params = dict(zip(names, combo))
+        for f in range(folds):
+            _, pred = fit_predict(d.filter(F.col("_fold") != f), d.filter(F.col("_fold") == f),
+                                  features, label, kind, **params)
+            sc = score(pred.withColumn("prediction", F.col("prediction").cast("int")),
+                       label, "prediction", "accuracy")
+            out.append(sc.select(F.lit(str(params)).alias("params"), F.lit(f).alias("fold"),
+                                 F.col("accuracy").alias("score")))
+    res = out[0]
+    for o in out[1:]:
+        res = res.unionByName(o)
+    return res
+
+
+def kernel_features(df: DataFrame, cols, kind: str = "rbf", dim: int = 50, gamma: float = 1.0,
+                    seed: int = 0, degree: int = 2, keep=()) -> DataFrame:
+    """Explicit kernel maps so that linear models act like kernel
+    machines: random Fourier features ``sqrt(2/D) cos(w.x + b)`` with
+    ``w ~ N(0, 2 gamma)`` (rbf), or all monomials up to ``degree`` (poly).
+    The d x D projection is generated from the seed on the driver (small)."""
+    import numpy as np
+    if kind == "rbf":
+        rng = np.random.default_rng(seed)
+        w = rng.normal(0, np.sqrt(2 * gamma), size=(dim, len(cols)))
+        b = rng.uniform(0, 2 * np.pi, size=dim)
+        exprs = [(F.lit(float(np.sqrt(2.0 / dim))) * F.cos(
+            sum((F.col(c) * float(w[k, i]) for i, c in enumerate(cols)), F.lit(float(b[k])))))
+            .alias(f"z{k}") for k in range(dim)]
+        return df.select(*keep, *exprs)
+    from itertools import combinations_with_replacement
+    exprs = []
+    for deg in range(1, degree + 1):
+        for combo in combinations_with_replacement(cols, deg):
+            e = F.lit(1.0)
+            for c in combo:
+                e = e * F.col(c)
+            exprs.append(e.alias("_".join(combo)))
+    return df.select(*keep, *exprs)
+
+
+def bagged_knn_regress(train: DataFrame, test: DataFrame, features, target: str, k: int = 2,
+                       bags: int = 5, rows: float = 0.7, feats: float = 0.5, seed: int = 0,
+                       key: str = "id") -> DataFrame:
+    """M8: bagging of kNN regressors: bag b keeps training rows whose
+    key hash falls under ``rows`` and a rotating ``feats`` share of the
+    features; predictions are averaged over bags."""
+    nf = max(1, int(round(len(features) * feats)))
+    preds = []
+    for b in range(bags):
+        fs = [features[(b + i) % len(features)] for i in range(nf)]
+        keep = ((F.col(key) * 7919 + b * 104729 + seed) % 100) < int(rows * 100)
+        tr = train.filter(keep).select(key, F.array(*fs).alias("vec"), target)
+        te = test.select(key, F.array(*fs).alias("vec"))
+        nb = knn_join(te, tr, k, "manhattan", qid=key, bid=key, exclude_self=False)
+        preds.append(knn_regress(nb, target, weights="uniform").withColumn("bag", F.lit(b)))
+    allp = preds[0]
+    for p in preds[1:]:
+        allp = allp.unionByName(p)
+    return allp.groupBy("qid").agg(F.avg("pred").alias("pred"))

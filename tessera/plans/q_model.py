@@ -184,3 +184,101 @@ def m17(spark, sf):
                       "quality", "prediction", "accuracy")
         scores.append(acc.select(F.lit(name).alias("model"), F.col("accuracy").alias("score")))
     return R.rank_models(*scores)
+
+
+# ------------------------------------------------------------------ more M
+
+@query("M3_stratified_splits", """
+WITH x AS (SELECT o.o_orderkey, o.o_orderstatus, s.split,
+                  ((o.o_orderkey * 7919 + s.split * 15485863 + 0) % 1000003) / 1000003.0 AS h
+           FROM orders o CROSS JOIN (SELECT CAST(i AS INTEGER) AS split FROM range(0, 5) t(i)) s),
+n AS (SELECT o_orderstatus, ceil(count(*) * 0.2) AS target FROM orders GROUP BY 1),
+r AS (SELECT x.*, n.target, row_number() OVER (PARTITION BY x.split, x.o_orderstatus
+                                               ORDER BY x.h, x.o_orderkey) AS rk
+      FROM x JOIN n ON x.o_orderstatus = n.o_orderstatus)
+SELECT split, o_orderstatus, CASE WHEN rk <= target THEN 'test' ELSE 'train' END AS role,
+       count(*) AS n, sum(o_orderkey) AS key_sum
+FROM r GROUP BY 1, 2, 3""")
+def m3(spark, sf):
+    o = T.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    s = M.stratified_splits(o, "o_orderkey", "o_orderstatus", 5, 0.2)
+    return s.groupBy("split", "o_orderstatus", "role").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("key_sum"))
+
+
+LOOKBACK = ("lb", """
+SELECT * FROM (
+  SELECT series_id * 1000 + pos AS id,
+         lag(x, 4) OVER w AS x_1, lag(x, 3) OVER w AS x_2, lag(x, 2) OVER w AS x_3,
+         lag(x, 1) OVER w AS x_4, x AS y
+  FROM monthly WINDOW w AS (PARTITION BY series_id ORDER BY pos)) t WHERE x_1 IS NOT NULL""")
+
+
+def _lookback(spark, sf):
+    d = R.look_back(T.monthly(spark, sf), ["series_id"], "pos", "x", 4)
+    return d.select((F.col("series_id") * 1000 + F.col("pos")).alias("id"),
+                    F.col("features").alias("vec"), "y")
+
+
+@query("M7_knn_regress", with_views(["monthly"], """
+WITH p AS (SELECT a.id AS qid, b.id AS bid, b.y,
+                  abs(a.x_1 - b.x_1) + abs(a.x_2 - b.x_2) + abs(a.x_3 - b.x_3)
+                  + abs(a.x_4 - b.x_4) AS d
+           FROM lb a JOIN lb b ON a.id <> b.id),
+nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d, bid) AS rk
+                      FROM p) r WHERE rk <= 2),
+z AS (SELECT qid, min(d) AS md FROM nb GROUP BY 1)
+SELECT nb.qid, round(sum(CASE WHEN z.md = 0 THEN CASE WHEN d = 0 THEN 1.0 ELSE 0.0 END
+                              ELSE 1.0 / d END * y)
+               / sum(CASE WHEN z.md = 0 THEN CASE WHEN d = 0 THEN 1.0 ELSE 0.0 END
+                          ELSE 1.0 / d END), 6) AS pred
+FROM nb JOIN z ON nb.qid = z.qid GROUP BY nb.qid""", [LOOKBACK]))
+def m7(spark, sf):
+    d = _lookback(spark, sf)
+    nb = M.knn_join(d, d, 2, "manhattan")
+    return M.knn_regress(nb, "y").withColumn("pred", r6("pred"))
+
+
+@query("M8_bagged_knn_regress")
+def m8(spark, sf):
+    d = R.look_back(T.monthly(spark, sf), ["series_id"], "pos", "x", 4)
+    d = d.select((F.col("series_id") * 1000 + F.col("pos")).alias("id"),
+                 *[F.col("features")[i].alias(f"x_{i + 1}") for i in range(4)], "y")
+    d = M.hash_split(d, "id", 0.7)
+    pred = M.bagged_knn_regress(d.filter("split = 'train'"), d.filter("split = 'test'"),
+                                ["x_1", "x_2", "x_3", "x_4"], "y", k=2, bags=5)
+    j = pred.join(d.select(F.col("id").alias("qid"), "y"), "qid")
+    return M.score(j, "y", "pred", "rmse")
+
+
+@query("M5_grid_search_cv")
+def m5(spark, sf):
+    d = _doc_features(spark, sf).withColumnRenamed("doc_id", "id")
+    res = M.grid_search(d, FEATS, "quality", "logistic", {"regParam": [0.001, 0.01, 0.1]},
+                        folds=3)
+    return R.fold_summary(res, ["params"])
+
+
+@query("M10_rbf_features_linear_svc")
+def m10(spark, sf):
+    d = _doc_features(spark, sf)
+    z = M.kernel_features(d, FEATS, "rbf", dim=40, gamma=0.5, seed=1,
+                          keep=["doc_id", "quality", "split"])
+    zc = [f"z{k}" for k in range(40)]
+    _, pred = M.fit_predict(z.filter("split = 'train'"), z.filter("split = 'test'"), zc,
+                            "quality", "linear_svc", regParam=0.01)
+    return M.score(pred.withColumn("prediction", F.col("prediction").cast("int")),
+                   "quality", "prediction", "accuracy")
+
+
+@query("M12_forest_forecast")
+def m12(spark, sf):
+    d = R.look_back(T.monthly(spark, sf), ["series_id"], "pos", "x", 4)
+    d = d.select("series_id", "pos", *[F.col("features")[i].alias(f"x_{i + 1}")
+                                       for i in range(4)], "y")
+    cut = d.agg(F.max("pos").alias("_m")).select((F.col("_m") * 0.8).alias("_c"))
+    d = R.attach_row(d, cut)
+    train, test = d.filter(F.col("pos") <= F.col("_c")), d.filter(F.col("pos") > F.col("_c"))
+    _, pred = M.fit_predict(train, test, ["x_1", "x_2", "x_3", "x_4"], "y", "rf_regressor",
+                            numTrees=20, maxDepth=5, seed=1)
+    return M.score(pred, "y", "prediction", "rmse")
