@@ -312,8 +312,8 @@ def minimum_spanning_tree(pairs: DataFrame) -> DataFrame:
         tree = cut_lineage(tree.distinct())
         cc = _components(comp.select(F.col("comp").alias("id")).distinct(),
                          picked.select("u", "v"))
-        comp = cut_lineage(comp.join(cc.withColumnRenamed("id", "comp")
-                                     .withColumnRenamed("comp", "nc"), "comp")
+        comp = cut_lineage(comp.join(cc.select(F.col("id").alias("comp"),
+                                               F.col("comp").alias("nc")), "comp")
                            .select("id", F.col("nc").alias("comp")))
     return tree
 

@@ -148,3 +148,21 @@ def j4(spark, sf):
     cen = C.label_centres(v)
     return (v.crossJoin(F.broadcast(cen))
             .select("id", "cluster", r6(V.euclidean("vec", "centre")).alias("d")))
+
+
+@query("C7_single_linkage_heights")
+def c7(spark, sf):
+    heights, _ = C.single_linkage(C.pairwise(T.vectors(spark, sf)))
+    return heights
+
+
+@query("C7_single_linkage_cut10")
+def c7b(spark, sf):
+    _, lab = C.single_linkage(C.pairwise(T.vectors(spark, sf)), k=10)
+    return lab.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("C9_linkage_knee")
+def c9(spark, sf):
+    heights, _ = C.single_linkage(C.pairwise(T.vectors(spark, sf)))
+    return C.linkage_knee(heights)

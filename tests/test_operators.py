@@ -223,3 +223,90 @@ def test_haversine_quarter_circle(spark):
     df = spark.createDataFrame([(0.0, 0.0, 0.0, 90.0)], "a double, b double, c double, d double")
     km = R.haversine(df, "a", "b", "c", "d").first().km
     assert km == pytest.approx(math.pi / 2 * 6371.0)
+
+
+def test_mst_matches_prim(spark):
+    rng = np.random.default_rng(7)
+    pts = rng.normal(size=(25, 3))
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(pts)],
+                               "id long, vec array<double>")
+    heights, lab = C.single_linkage(C.pairwise(df), k=3)
+    got = sorted(r.height for r in heights.collect())
+    n = len(pts)
+    d = np.sqrt(((pts[:, None, :] - pts[None, :, :]) ** 2).sum(-1))
+    inside, best, tree = {0}, d[0].copy(), []
+    for _ in range(n - 1):
+        best[list(inside)] = np.inf
+        j = int(np.argmin(best))
+        tree.append(best[j])
+        inside.add(j)
+        best = np.minimum(best, d[j])
+    assert got == pytest.approx(sorted(tree))
+    assert lab.select("cluster").distinct().count() == 3
+
+
+def _brute_betweenness(edges):
+    import collections
+    adj = collections.defaultdict(set)
+    for a, b in edges:
+        adj[a].add(b)
+        adj[b].add(a)
+    nodes = sorted(adj)
+    bc = dict.fromkeys(nodes, 0.0)
+    for s in nodes:
+        dist, sigma, order = {s: 0}, {s: 1.0}, [s]
+        q = [s]
+        while q:
+            nq = []
+            for v in q:
+                for w in adj[v]:
+                    if w not in dist:
+                        dist[w] = dist[v] + 1
+                        sigma[w] = 0.0
+                        nq.append(w)
+                        order.append(w)
+                    if dist[w] == dist[v] + 1:
+                        sigma[w] += sigma[v]
+            q = nq
+        delta = dict.fromkeys(order, 0.0)
+        for w in reversed(order):
+            for v in adj[w]:
+                if dist.get(v) == dist[w] - 1:
+                    delta[v] += sigma[v] / sigma[w] * (1 + delta[w])
+            if w != s:
+                bc[w] += delta[w]
+    n = len(nodes)
+    return {v: b / ((n - 1) * (n - 2)) for v, b in bc.items()}
+
+
+def test_betweenness_matches_brandes(spark):
+    rng = np.random.default_rng(5)
+    edges = sorted({tuple(sorted(map(int, rng.choice(12, 2, replace=False))))
+                    for _ in range(20)})
+    df = spark.createDataFrame(edges, "src long, dst long")
+    got = {r.id: r.betweenness for r in G.betweenness(df).collect()}
+    want = _brute_betweenness(edges)
+    for v, b in want.items():
+        assert got[v] == pytest.approx(b, abs=1e-12)
+
+
+def test_lsa_word_ranking_matches_numpy(spark):
+    text = ("Cats sit on warm mats. Dogs chase cats in the park. Warm mats please cats. "
+            "The park is green and wide.")
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    sents, units, a = SM.sentence_tfidf(docs)
+    got = {r.term: r.score for r in SM.lsa_word_ranking(a, units).collect()}
+    rows = a.collect()
+    terms = sorted({r.term for r in rows})
+    n = units.count()
+    m = np.zeros((n, len(terms)))
+    for r in rows:
+        m[r.sent_id, terms.index(r.term)] = r.w
+    _, s, vt = np.linalg.svd(m, full_matrices=False)
+    for k in range(len(s)):
+        if vt[k, np.argmax(np.abs(vt[k]))] < 0:
+            vt[k] *= -1
+    vt[vt <= vt.mean(axis=1, keepdims=True)] = 0
+    want = (vt * s[:, None]).sum(axis=0)
+    for t, v in zip(terms, want):
+        assert got[t] == pytest.approx(v, abs=1e-9)
