@@ -350,3 +350,42 @@ def linkage_knee(heights: DataFrame) -> DataFrame:
     w3 = Window.orderBy(F.desc("knee"), F.asc("r"))
     best = d.withColumn("_rk", F.row_number().over(w3)).filter("_rk <= 2")
     return best.select(F.col("_rk").alias("choice"), (F.col("r") + 1).alias("k"), "knee")
+
+
+def gap_statistic(df: DataFrame, ks, b: int = 3, seed: int = 1, id_col="id", vec="vec",
+                  se_factor: float = 1.0) -> DataFrame:
+    """Gap statistic.  ``log W_k`` is the k-means within sum of squares
+    of the data; reference sets (as many rows as the data) are uniform in
+    each column's [min, max] (seeded ``rand`` per column, generated on the
+    executors); ``gap = E[log W*] - log W``, ``se = sd * sqrt(1 + 1/B)``.
+    Returns ``(k, logw, e_logw, gap, se, firstmax, tibs2001)`` where the two
+    last columns flag the chosen k of each rule."""
+    import math
+    spark = df.sparkSession
+    ranges = (df.select(F.posexplode(vec).alias("i", "v")).groupBy("i")
+              .agg(F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("i").collect())
+    rows = []
+    for k in ks:
+        model, _ = kmeans(df, k, (seed,), id_col, vec)
+        logw = math.log(model.summary.trainingCost)
+        refs = []
+        for r in range(b):
+            ref = df.select(F.col(id_col), F.array(*[
+                (F.lit(x.lo) + F.lit(x.hi - x.lo) * F.rand(seed * 100003 + r * 1009 + x.i))
+                for x in ranges]).alias(vec))
+            m, _ = kmeans(ref, k, (seed,), id_col, vec)
+            refs.append(math.log(m.summary.trainingCost))
+        e = sum(refs) / b
+        sd = math.sqrt(sum((x - e) ** 2 for x in refs) / b)
+        rows.append((int(k), logw, e, e - logw, sd * math.sqrt(1 + 1.0 / b)))
+    t = spark.createDataFrame(rows, "k int, logw double, e_logw double, gap double, se double")
+    w = Window.orderBy("k")
+    nxt_gap, nxt_se = F.lead("gap").over(w), F.lead("se").over(w)
+    t = t.withColumn("_tibs", nxt_gap.isNull() | (F.col("gap") >= nxt_gap - se_factor * nxt_se))
+    t = t.withColumn("_fm", nxt_gap.isNull() | (F.col("gap") >= nxt_gap))
+    first_t = t.filter("_tibs").agg(F.min("k").alias("_kt"))
+    first_m = t.filter("_fm").agg(F.min("k").alias("_km"))
+    out = t.crossJoin(first_t).crossJoin(first_m)
+    return out.select("k", "logw", "e_logw", "gap", "se",
+                      (F.col("k") == F.col("_km")).alias("firstmax"),
+                      (F.col("k") == F.col("_kt")).alias("tibs2001"))

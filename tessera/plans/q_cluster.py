@@ -166,3 +166,8 @@ def c7b(spark, sf):
 def c9(spark, sf):
     heights, _ = C.single_linkage(C.pairwise(T.vectors(spark, sf)))
     return C.linkage_knee(heights)
+
+
+@query("C10_gap_statistic")
+def c10(spark, sf):
+    return C.gap_statistic(T.vectors(spark, sf), [2, 3, 4, 5, 6], b=3)

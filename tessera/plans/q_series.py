@@ -83,3 +83,20 @@ def z4(spark, sf):
 @query("Z1_adf")
 def z1(spark, sf):
     return Z.adf(T.monthly(spark, sf), max_lag=12)
+
+
+@query("Z5_arma_grid_best_aic")
+def z5(spark, sf):
+    return Z.arma_best(Z.arma_grid(T.monthly(spark, sf)))
+
+
+@query("Z6_arma_forecast")
+def z6(spark, sf):
+    m = T.monthly(spark, sf)
+    return Z.arma_forecast(m, Z.arma_best(Z.arma_grid(m)), steps=12)
+
+
+@query("Z8_supervised_forecast_rmse")
+def z8(spark, sf):
+    _, rmse = Z.supervised_forecast(T.monthly(spark, sf))
+    return rmse
