@@ -174,16 +174,18 @@ def tfidf_smooth(tokens: DataFrame, units: DataFrame, unit=("doc_id", "sent_id")
     ``w = tf * (ln((1 + n) / (1 + df)) + 1)``, then ``w / ||w||``.
     """
     unit, corpus = list(unit), list(corpus)
-    tf = tokens.groupBy(*unit, F.col(token).alias("term")).agg(F.count(F.lit(1)).alias("tf"))
+    rest = [u for u in unit if u not in corpus]
+    # one shuffle by (corpus, term): the tf count and the df window reuse it
+    t = tokens.select(*unit, F.col(token).alias("term")).repartition(*corpus, "term")
+    tf = t.groupBy(*corpus, "term", *rest).agg(F.count(F.lit(1)).alias("tf"))
+    tf = tf.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy(*corpus, "term")))
     n = units.groupBy(*corpus).agg(F.count(F.lit(1)).alias("n")) if corpus else \
         units.agg(F.count(F.lit(1)).alias("n"))
-    df = tf.groupBy(*corpus, "term").agg(F.count(F.lit(1)).alias("df"))
-    idf = (df.join(n, corpus) if corpus else df.crossJoin(F.broadcast(n))).select(
-        *corpus, "term", (F.ln((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-    w = tf.join(idf, corpus + ["term"]).select(*unit, "term", (F.col("tf") * F.col("idf"))
-                                               .alias("w"))
-    norm = w.groupBy(*unit).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    return w.join(norm, unit).select(*unit, "term", (F.col("w") / F.col("_norm")).alias("w"))
+    j = tf.join(n, corpus) if corpus else tf.crossJoin(F.broadcast(n))
+    w = j.select(*unit, "term", (F.col("tf") * (F.ln((F.col("n") + 1) / (F.col("df") + 1)) + 1))
+                 .alias("w"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*unit)))
+    return w.select(*unit, "term", (F.col("w") / norm).alias("w"))
 
 
 def idf_smooth(tokens: DataFrame, units: DataFrame, unit=("doc_id", "sent_id"),
