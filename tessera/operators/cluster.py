@@ -23,10 +23,11 @@ def pairwise(df: DataFrame, id_col="id", vec="vec", metric="euclidean",
              square: bool = False) -> DataFrame:
     """Condensed pair table ``(i, j, d)`` with ``i < j``; ``square``
     adds the mirrored pairs and a zero diagonal."""
-    fn = V.METRICS[metric]
-    a = df.select(F.col(id_col).alias("i"), F.col(vec).alias("va"))
-    b = df.select(F.col(id_col).alias("j"), F.col(vec).alias("vb"))
-    p = a.join(b, F.col("i") < F.col("j")).select("i", "j", fn("va", "vb").alias("d"))
+    dim = V.vector_dim(df, vec)
+    a = V.spread(df, vec, dim, "a", [F.col(id_col).alias("i")])
+    b = V.spread(df, vec, dim, "b", [F.col(id_col).alias("j")])
+    p = a.join(b, F.col("i") < F.col("j")).select(
+        "i", "j", V.col_distance(metric, "a", "b", dim).alias("d"))
     if square:
         p = (p.unionByName(p.select(F.col("j").alias("i"), F.col("i").alias("j"), "d"))
              .unionByName(df.select(F.col(id_col).alias("i"), F.col(id_col).alias("j"),

@@ -61,13 +61,13 @@ def knn_join(queries: DataFrame, base: DataFrame, k: int, metric: str = "euclide
     """Exact k nearest neighbours ``(qid, bid, d, rank)`` by brute force;
     ties are broken by the base id.  The top-k filter runs per task before
     the final shuffle (WindowGroupLimit)."""
-    fn = V.METRICS[metric]
-    q = queries.select(F.col(qid).alias("qid"), F.col(vec).alias("qv"))
-    b = base.select(F.col(bid).alias("bid"), F.col(vec).alias("bv"), *[
-        c for c in base.columns if c not in (bid, vec)])
+    dim = V.vector_dim(base, vec)
+    extra = [c for c in base.columns if c not in (bid, vec)]
+    q = V.spread(queries, vec, dim, "q", [F.col(qid).alias("qid")])
+    b = V.spread(base, vec, dim, "b", [F.col(bid).alias("bid"), *extra])
     cond = F.col("qid") != F.col("bid") if exclude_self else F.lit(True)
-    p = q.join(b, cond).select("qid", "bid", fn("qv", "bv").alias("d"),
-                               *[c for c in base.columns if c not in (bid, vec)])
+    p = q.join(b, cond).select("qid", "bid", V.col_distance(metric, "q", "b", dim).alias("d"),
+                               *extra)
     w = Window.partitionBy("qid").orderBy("d", "bid")
     return p.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
