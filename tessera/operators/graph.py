@@ -285,6 +285,13 @@ def pagerank(edges: DataFrame, graph_id: str | None = None, weight: str | None =
                  + F.lit(1 - alpha) / F.col("n"))
         nxt = cut_lineage(j.select(*g, "id", "n", "wo", x_new.alias("x"),
                                    F.col("x").alias("x_prev")))
+        if not g:  # one graph: a single one-row aggregate decides
+            e = nxt.agg(F.sum(F.abs(F.col("x") - F.col("x_prev"))).alias("e"),
+                        F.max("n").alias("n")).first()
+            active = nxt.drop("x_prev")
+            if e["e"] is None or e["e"] < e["n"] * tol:
+                break
+            continue
         err = (nxt.groupBy(*g).agg((F.sum(F.abs(F.col("x") - F.col("x_prev")))
                                     < F.max("n") * tol).alias("done")) if g else
                nxt.agg((F.sum(F.abs(F.col("x") - F.col("x_prev"))) < F.max("n") * tol)
