@@ -493,3 +493,18 @@ def s10(spark, sf):
 @query("S11_lsa_rank2_summary")
 def s11(spark, sf):
     return SM.summarize_lsa(_docs(spark, sf), n=3, rank=2)
+
+
+@query("S18_kl_summary")
+def s18(spark, sf):
+    return SM.summarize_kl(_docs(spark, sf), n=3)
+
+
+@query("S2_lsi_singular_values")
+def s2(spark, sf):
+    from tessera.operators import topics as TP
+    _, clean, _ = _clean(spark, sf)
+    kept = TO.filter_frequency(clean, 2, 10 ** 9)
+    w = TO.tfidf_log2(TO.bag_of_words(kept))
+    sv, _, _ = TP.lsi(w, TO.dictionary(kept, min_df=2), k=10)
+    return sv

@@ -310,3 +310,30 @@ def test_lsa_word_ranking_matches_numpy(spark):
     want = (vt * s[:, None]).sum(axis=0)
     for t, v in zip(terms, want):
         assert got[t] == pytest.approx(v, abs=1e-9)
+
+
+def test_kl_sum_matches_greedy(spark):
+    text = ("Cats sit on warm mats. Dogs chase cats in the park. Warm mats please cats. "
+            "The park is green and wide. Dogs sleep on mats near cats.")
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = SM.summarize_kl(docs, n=2).first().summary
+    sents, clean, _ = TO.clean_sentence_tokens(docs)
+    words = {}
+    for r in clean.collect():
+        words.setdefault(r.sent_id, []).append(r.token)
+    allw = [w for ws in words.values() for w in ws]
+    p = {w: allw.count(w) / len(allw) for w in set(allw)}
+    chosen = []
+    for _ in range(2):
+        best = None
+        for sid in sorted(words):
+            if sid in chosen:
+                continue
+            sw = [w for s in chosen + [sid] for w in words[s]]
+            q = {w: sw.count(w) / len(sw) for w in set(sw)}
+            kl = sum(p[w] * math.log(p[w] / q[w]) for w in q)
+            if best is None or round(kl, 12) < best[0]:
+                best = (round(kl, 12), sid)
+        chosen.append(best[1])
+    text_of = {r.sent_id: r.sentence for r in sents.collect()}
+    assert got == " ".join(text_of[s] for s in sorted(chosen))
