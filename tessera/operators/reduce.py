@@ -132,3 +132,54 @@ def truncated_svd(df: DataFrame, cols, k: int, id_col: str | None = None):
     scores = df.select(*keep, *[sum((F.col(c) * float(vecs[r, i]) for r, c in enumerate(cols)),
                                     F.lit(0.0)).alias(f"u{i + 1}") for i in range(k)])
     return comps, scores
+
+
+def _varimax(L: np.ndarray, max_iter: int = 100, tol: float = 1e-8) -> np.ndarray:
+    """Kaiser varimax rotation of a d x k loading matrix (small, driver)."""
+    d, k = L.shape
+    R = np.eye(k)
+    last = 0.0
+    for _ in range(max_iter):
+        Lr = L @ R
+        u, s, vt = np.linalg.svd(L.T @ (Lr ** 3 - Lr @ np.diag((Lr ** 2).sum(axis=0)) / d))
+        R = u @ vt
+        if s.sum() < last * (1 + tol):
+            break
+        last = s.sum()
+    return L @ R
+
+
+def factor_analysis(df: DataFrame, cols, k: int = 3, rotation: str | None = "varimax",
+                    max_iter: int = 200, tol: float = 1e-6):
+    """Principal-axis factoring of the correlation matrix (communalities
+    start at the squared multiple correlations and are iterated), optional
+    varimax rotation, regression (Thurstone) scores ``z . R^-1 L`` computed
+    on Spark.  Returns ``(loadings(col, factor, value), scores)``."""
+    R = _matrix(df, cols, "corr")
+    h2 = 1 - 1 / np.diag(np.linalg.inv(R))
+    for _ in range(max_iter):
+        Rr = R.copy()
+        np.fill_diagonal(Rr, h2)
+        vals, vecs = np.linalg.eigh(Rr)
+        order = np.argsort(vals)[::-1][:k]
+        L = vecs[:, order] * np.sqrt(np.clip(vals[order], 0, None))
+        new = (L ** 2).sum(axis=1)
+        if np.abs(new - h2).max() < tol:
+            h2 = new
+            break
+        h2 = new
+    if rotation == "varimax" and k > 1:
+        L = _varimax(L)
+    L = _fix_signs(L)
+    B = np.linalg.solve(R, L)
+    spark = df.sparkSession
+    loadings = spark.createDataFrame(
+        [(c, f + 1, float(L[i, f])) for i, c in enumerate(cols) for f in range(k)],
+        "col string, factor int, value double")
+    stats = df.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols],
+                   *[F.stddev_samp(c).alias(f"_s_{c}") for c in cols])
+    j = attach_row(df, stats)
+    z = {c: (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}") for c in cols}
+    scores = j.select(*[sum((z[c] * float(B[i, f]) for i, c in enumerate(cols)), F.lit(0.0))
+                        .alias(f"factor{f + 1}") for f in range(k)])
+    return loadings, scores

@@ -282,3 +282,27 @@ def m12(spark, sf):
     _, pred = M.fit_predict(train, test, ["x_1", "x_2", "x_3", "x_4"], "y", "rf_regressor",
                             numTrees=20, maxDepth=5, seed=1)
     return M.score(pred, "y", "prediction", "rmse")
+
+
+@query("D7_factor_analysis_varimax")
+def d7(spark, sf):
+    loadings, _ = D.factor_analysis(T.numeric6(spark, sf), NUM, 3)
+    return loadings
+
+
+@query("M15_lookback_regressors")
+def m15(spark, sf):
+    d = R.look_back(T.monthly(spark, sf), ["series_id"], "pos", "x", 4)
+    d = d.select("series_id", "pos", *[F.col("features")[i].alias(f"x_{i + 1}")
+                                       for i in range(4)], "y")
+    cut = d.agg(F.max("pos").alias("_m")).select((F.col("_m") * 0.8).alias("_c"))
+    d = R.attach_row(d, cut)
+    train, test = d.filter(F.col("pos") <= F.col("_c")), d.filter(F.col("pos") > F.col("_c"))
+    feats = ["x_1", "x_2", "x_3", "x_4"]
+    scores = []
+    for name, kind, params in [("huber_linear", "linear_regression", {"loss": "huber"}),
+                               ("gbt_regressor", "gbt_regressor", {"maxIter": 20, "seed": 1})]:
+        _, pred = M.fit_predict(train, test, feats, "y", kind, **params)
+        scores.append(M.score(pred, "y", "prediction", "rmse").select(
+            F.lit(name).alias("model"), F.col("rmse").alias("score")))
+    return R.rank_models(*scores, ascending=True)
