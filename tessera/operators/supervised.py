@@ -41,10 +41,10 @@ def time_splits(df: DataFrame, ts: str, n_splits: int = 5) -> DataFrame:
     """M4: expanding-window splits.  Rows are ranked by time into
     ``n_splits + 1`` equal blocks; fold f trains on blocks <= f and tests on
     block f + 1.  Returns ``(fold, role, rows)`` counts per fold."""
+    from tessera.operators.relational import dense_index
     total = df.agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo"))
-    # rank by time through a distributed sort; the block follows from it
-    w = Window.orderBy(ts)
-    r = df.select(ts).withColumn("_r", F.row_number().over(w) - 1)
+    # rank by time through a range-partitioned sort; the block follows from it
+    r = dense_index(df.select(ts), ts, "_r")
     r = attach_row(r, total).withColumn(
         "_b", F.floor(F.col("_r") * (n_splits + 1) / F.col("_n")).cast("int"))
     spark = df.sparkSession

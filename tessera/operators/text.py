@@ -140,10 +140,9 @@ def dictionary(tokens: DataFrame, min_df: int = 2, id_col="doc_id",
                token="token") -> DataFrame:
     """Terms seen in at least ``min_df`` documents with compact ids
     (0.. in term order)."""
+    from tessera.operators.relational import dense_index
     freq = token_frequency(tokens, id_col, token).filter(F.col("df") >= min_df)
-    # dense ids need one global order over the (small, distinct) vocabulary
-    return freq.select((F.row_number().over(Window.orderBy("term")) - 1).alias("term_id"),
-                       "term", "df")
+    return dense_index(freq, "term", "term_id").select("term_id", "term", "df")
 
 
 def bag_of_words(tokens: DataFrame, id_col="doc_id", token="token") -> DataFrame:
@@ -215,8 +214,9 @@ def tfidf_log2(bow: DataFrame, id_col="doc_id", model: DataFrame | None = None,
 
 
 def idf_log2(bow: DataFrame, id_col="doc_id") -> DataFrame:
+    """``log2(N / df)``; ``bow`` has one row per (document, term)."""
     n = bow.agg(F.countDistinct(id_col).alias("n"))
-    df = bow.groupBy("term").agg(F.countDistinct(id_col).alias("df"))
+    df = bow.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return df.crossJoin(F.broadcast(n)).select(
         "term", F.log2(F.col("n") / F.col("df")).alias("idf"))
 
