@@ -79,9 +79,12 @@ def stop_words_sql(languages=LANGUAGES) -> str:
 # ------------------------------------------------------------ Column helpers
 
 def alpha_tokens(text: Column, min_len: int = MIN_LEN, max_len: int = MAX_LEN) -> Column:
-    toks = F.regexp_extract_all(F.lower(text), F.lit(ALPHA_RE), 1)
-    return F.filter(toks, lambda t: (F.length(t) >= min_len) & (F.length(t) <= max_len)
-                    & ~t.startswith("_"))
+    """Maximal letter/underscore runs of length min..max not starting with
+    '_'.  The bounds live in the pattern (look-around marks the run ends), so
+    no per-element filter function is evaluated."""
+    pat = (r"(?<![\p{L}_])\p{L}[\p{L}_]{%d,%d}(?![\p{L}_])"
+           % (max(min_len, 1) - 1, max_len - 1))
+    return F.regexp_extract_all(F.lower(text), F.lit(pat), 0)
 
 
 def word_tokens(text: Column, lower: bool = True) -> Column:
