@@ -34,21 +34,20 @@ def canonical(edges: DataFrame) -> DataFrame:
 
 def both_ways(edges: DataFrame) -> DataFrame:
     """Symmetric adjacency ``(a, b)`` of an undirected edge list."""
-    e = edges.select("src", "dst")
-    return (e.select(F.col("src").alias("a"), F.col("dst").alias("b"))
-            .unionByName(e.select(F.col("dst").alias("a"), F.col("src").alias("b"))))
+    e = edges.select(F.explode(F.array(F.struct(F.col("src").alias("a"), F.col("dst").alias("b")),
+                                       F.struct(F.col("dst").alias("a"), F.col("src").alias("b"))))
+                     .alias("p"))
+    return e.select("p.a", "p.b")
 
 
 def nodes_of(edges: DataFrame) -> DataFrame:
-    return (edges.select(F.col("src").alias("id"))
-            .unionByName(edges.select(F.col("dst").alias("id"))).distinct())
+    return edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
 
 
 def degrees(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """Degree (a self-loop counts twice) and degree centrality
     ``deg / (n - 1)``; isolated nodes from ``nodes`` get degree 0."""
-    ends = (edges.select(F.col("src").alias("id"))
-            .unionByName(edges.select(F.col("dst").alias("id"))))
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("id"))
     deg = ends.groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
     if nodes is not None:
         deg = (nodes.select("id").distinct().join(deg, "id", "left")

@@ -193,14 +193,15 @@ def stacked_value_counts(df: DataFrame, cols, type_filters=None, limit=None,
     ``cols``; a column contributes only rows whose type matches.  The union is
     narrow, so the count runs as partial (map-side) + final aggregation.
     """
-    parts = []
+    # one pass: every row contributes an array of its (type-matching) values
+    vals = []
     for i, c in enumerate(cols):
-        d = df
+        v = F.col(c)
         if type_filters:
             tc, tv = type_filters[i]
-            d = d.filter(F.col(tc) == F.lit(tv))
-        parts.append(d.select(F.col(c).alias(name)))
-    stacked = reduce(DataFrame.unionByName, parts).dropna()
+            v = F.when(F.col(tc) == F.lit(tv), v)
+        vals.append(v)
+    stacked = df.select(F.explode(F.array(*vals)).alias(name)).dropna()
     out = stacked.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
     out = out.orderBy(F.desc("n"), F.asc(name))
     return out.limit(limit) if limit else out
