@@ -20,7 +20,8 @@ from tessera.session import cut_lineage
 
 def _explode(df: DataFrame, id_cols, arr, pos="pos", name="token") -> DataFrame:
     id_cols = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    return df.select(*id_cols, F.posexplode(arr).alias(pos, name))
+    e = df.select(*id_cols, F.posexplode(arr).alias(pos, name))
+    return e.withColumn(pos, F.col(pos).cast("bigint"))
 
 
 def ws_tokens(df: DataFrame, id_col="doc_id", text="text") -> DataFrame:

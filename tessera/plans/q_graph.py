@@ -111,7 +111,7 @@ SELECT p.id, least(p.c, hh.h) AS c FROM h{i} p JOIN (
                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS atleast
     FROM (SELECT adj.a AS id, h.c AS cb, count(*) AS m FROM adj JOIN h{i} h ON adj.b = h.id
           GROUP BY 1, 2) x) y GROUP BY id) hh ON p.id = hh.id"""))
-    return _sql("copurchase", ctes, f"SELECT id, c AS core FROM h{rounds}")
+    return _sql("copurchase", ctes, f"SELECT id, CAST(c AS BIGINT) AS core FROM h{rounds}")
 
 
 @query("G4_core_numbers", _core_sql)
@@ -140,8 +140,8 @@ def g7(spark, sf):
 
 @query("G8_distance_summary", _bfs_sql("""
 SELECT max(ecc) AS diameter, min(ecc) AS radius,
-       CAST(sum(CASE WHEN ecc = (SELECT min(ecc) FROM ecc) THEN 1 ELSE 0 END) AS INTEGER) AS n_center,
-       CAST(sum(CASE WHEN ecc = (SELECT max(ecc) FROM ecc) THEN 1 ELSE 0 END) AS INTEGER)
+       CAST(sum(CASE WHEN ecc = (SELECT min(ecc) FROM ecc) THEN 1 ELSE 0 END) AS BIGINT) AS n_center,
+       CAST(sum(CASE WHEN ecc = (SELECT max(ecc) FROM ecc) THEN 1 ELSE 0 END) AS BIGINT)
          AS n_periphery,
        round((SELECT avg(dist) FROM paths WHERE dist > 0), 6) AS avg_path_length
 FROM ecc""", """,

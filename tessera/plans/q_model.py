@@ -197,7 +197,7 @@ r AS (SELECT x.*, n.target, row_number() OVER (PARTITION BY x.split, x.o_orderst
                                                ORDER BY x.h, x.o_orderkey) AS rk
       FROM x JOIN n ON x.o_orderstatus = n.o_orderstatus)
 SELECT split, o_orderstatus, CASE WHEN rk <= target THEN 'test' ELSE 'train' END AS role,
-       count(*) AS n, sum(o_orderkey) AS key_sum
+       count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS key_sum
 FROM r GROUP BY 1, 2, 3""")
 def m3(spark, sf):
     o = T.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")

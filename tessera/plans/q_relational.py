@@ -332,10 +332,10 @@ def p10(spark, sf):
 
 @query("P11_widen_fill", with_views(["actor_events"], """
 SELECT root_code,
-       sum(CASE WHEN quad_class = 1 THEN 1 ELSE 0 END) AS q1,
-       sum(CASE WHEN quad_class = 2 THEN 1 ELSE 0 END) AS q2,
-       sum(CASE WHEN quad_class = 3 THEN 1 ELSE 0 END) AS q3,
-       sum(CASE WHEN quad_class = 4 THEN 1 ELSE 0 END) AS q4
+       CAST(sum(CASE WHEN quad_class = 1 THEN 1 ELSE 0 END) AS BIGINT) AS q1,
+       CAST(sum(CASE WHEN quad_class = 2 THEN 1 ELSE 0 END) AS BIGINT) AS q2,
+       CAST(sum(CASE WHEN quad_class = 3 THEN 1 ELSE 0 END) AS BIGINT) AS q3,
+       CAST(sum(CASE WHEN quad_class = 4 THEN 1 ELSE 0 END) AS BIGINT) AS q4
 FROM actor_events GROUP BY root_code"""))
 def p11(spark, sf):
     ct = R.crosstab(T.actor_events(spark, sf), "root_code", "quad_class")

@@ -68,7 +68,7 @@ def t5(spark, sf):
        + ")) AS max_size FROM documents")
 def a11(spark, sf):
     d = _docs(spark, sf).select(TX.alpha_tokens(F.col("text")).alias("tokens"))
-    return d.agg(F.max(F.size("tokens")).alias("max_size"))
+    return d.agg(F.max(F.size("tokens")).cast("bigint").alias("max_size"))
 
 
 # ------------------------------------------------------------ language, stop words
@@ -213,7 +213,8 @@ def t17(spark, sf):
     t = TO.alpha_tokens(_docs(spark, sf))
     p = t.withColumn("nxt", F.lead("token").over(Window.partitionBy("doc_id").orderBy("pos")))
     p = p.filter(F.col("token").rlike("^[a-z]+$") & F.col("nxt").rlike("^[a-z]+$"))
-    return TO.edit_distance(p, "token", "nxt").groupBy("d").agg(F.count(F.lit(1)).alias("n"))
+    d = TO.edit_distance(p, "token", "nxt").withColumn("d", F.col("d").cast("bigint"))
+    return d.groupBy("d").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("T18_token_overlap_halves", lambda: with_ctes(base_ctes("clean"), """
