@@ -260,3 +260,97 @@ def bagged_knn_regress(train: DataFrame, test: DataFrame, features, target: str,
     for p in preds[1:]:
         allp = allp.unionByName(p)
     return allp.groupBy("qid").agg(F.avg("pred").alias("pred"))
+
+
+LOSSES = ("hinge", "log", "modified_huber", "squared_hinge", "perceptron")
+PENALTIES = ("l2", "l1", "elasticnet")
+
+
+def _fold_sum(terms):
+    acc = terms[0]
+    for t in terms[1:]:
+        acc = acc + t
+    return acc
+
+
+def _grad_factor(loss: str, s, y):
+    """d loss / d score for label y in {-1, +1} and score s."""
+    m = y * s
+    if loss == "hinge":
+        return F.when(m < 1, -y).otherwise(0.0)
+    if loss == "perceptron":
+        return F.when(m <= 0, -y).otherwise(0.0)
+    if loss == "squared_hinge":
+        return -2 * y * F.greatest(F.lit(0.0), 1 - m)
+    if loss == "modified_huber":
+        return F.when(m >= -1, -2 * y * F.greatest(F.lit(0.0), 1 - m)).otherwise(-4 * y)
+    if loss == "log":
+        return -y / (1 + F.exp(m))
+    raise ValueError(loss)
+
+
+def linear_grid(train: DataFrame, test: DataFrame, features, label: str, losses=LOSSES,
+                penalties=PENALTIES, alpha: float = 1e-3, l1_ratio: float = 0.15,
+                iters: int = 30, step: float = 0.5) -> DataFrame:
+    """M9: linear classifiers for every (loss, penalty) pair, trained
+    together by full-batch (sub)gradient descent: each round is ONE
+    aggregate over the training rows giving the gradients of all models;
+    the weights (models x features, tiny) live on the driver and enter the
+    next round as literals.  l1 is applied as a proximal (soft-threshold)
+    step.  Features are standardised with training statistics.  Returns
+    ``(loss, penalty, accuracy)`` on ``test``."""
+    import numpy as np
+    feats = list(features)
+    stats = train.agg(*[F.avg(c).alias(f"m_{c}") for c in feats],
+                      *[F.stddev_pop(c).alias(f"s_{c}") for c in feats]).first()
+
+    def prep(df):
+        cols = [((F.col(c) - stats[f"m_{c}"]) / (stats[f"s_{c}"] or 1.0)).alias(c) for c in feats]
+        return df.select(*cols, F.when(F.col(label) > 0, 1.0).otherwise(-1.0).alias("_y"))
+
+    spark = train.sparkSession
+    tr = prep(train).cache()
+    models = [(lo, pe) for lo in losses for pe in penalties]
+    nm, nf = len(models), len(feats)
+    W = np.zeros((nm, nf))
+    B = np.zeros(nm)
+    y = F.col("_y")
+    wcols = [f"w{k}_{j}" for k in range(nm) for j in range(nf)] + [f"b{k}" for k in range(nm)]
+    wschema = ", ".join(f"{c} double" for c in wcols)
+
+    def weights_row():
+        # the weights enter as a broadcast one-row table, not as literals, so
+        # the generated code is the same every round (compiled once)
+        vals = [float(W[k, j]) for k in range(nm) for j in range(nf)] + [float(v) for v in B]
+        return F.broadcast(spark.createDataFrame([tuple(vals)], wschema))
+
+    def scores(df):
+        x = df.crossJoin(weights_row())
+        return x.select(*feats, "_y", *[
+            (F.col(f"b{k}") + _fold_sum([F.col(c) * F.col(f"w{k}_{j}")
+                                          for j, c in enumerate(feats)])).alias(f"s{k}")
+            for k in range(nm)])
+
+    for t in range(iters):
+        sc = scores(tr)
+        sc = sc.select(*feats, *[_grad_factor(lo, F.col(f"s{k}"), y).alias(f"g{k}")
+                                 for k, (lo, _) in enumerate(models)])
+        aggs = [F.avg(F.col(f"g{k}") * F.col(c)).alias(f"g{k}_{j}")
+                for k in range(nm) for j, c in enumerate(feats)]
+        aggs += [F.avg(f"g{k}").alias(f"g{k}_b") for k in range(nm)]
+        r = sc.agg(*aggs).first()
+        eta = step / (1 + 0.1 * t)
+        for k, (_, pe) in enumerate(models):
+            grad = np.array([r[f"g{k}_{j}"] for j in range(nf)])
+            l2 = alpha * (1 - l1_ratio) if pe == "elasticnet" else (alpha if pe == "l2" else 0.0)
+            l1 = alpha * l1_ratio if pe == "elasticnet" else (alpha if pe == "l1" else 0.0)
+            W[k] -= eta * (grad + l2 * W[k])
+            W[k] = np.sign(W[k]) * np.maximum(np.abs(W[k]) - eta * l1, 0.0)
+            B[k] -= eta * r[f"g{k}_b"]
+    tr.unpersist()
+    te = scores(prep(test))
+    row = te.agg(*[F.avg((F.when(F.col(f"s{k}") >= 0, 1.0).otherwise(-1.0) == y).cast("double"))
+                   .alias(f"a{k}") for k in range(nm)]).first()
+    spark = train.sparkSession
+    return spark.createDataFrame([(lo, pe, float(row[f"a{k}"])) for k, (lo, pe) in
+                                  enumerate(models)], "loss string, penalty string, accuracy double")

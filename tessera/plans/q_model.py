@@ -306,3 +306,10 @@ def m15(spark, sf):
         scores.append(M.score(pred, "y", "prediction", "rmse").select(
             F.lit(name).alias("model"), F.col("rmse").alias("score")))
     return R.rank_models(*scores, ascending=True)
+
+
+@query("M9_linear_loss_grid")
+def m9(spark, sf):
+    d = _doc_features(spark, sf)
+    return M.linear_grid(d.filter("split = 'train'"), d.filter("split = 'test'"), FEATS,
+                         "quality")
