@@ -349,10 +349,12 @@ def greedy_matching(edges: DataFrame, weight: str = "weight", max_rounds: int =
     for _ in range(max_rounds):
         if e.isEmpty():
             break
-        ws = Window.partitionBy("src").orderBy(F.desc("w"), F.asc("dst"))
-        wd = Window.partitionBy("dst").orderBy(F.desc("w"), F.asc("src"))
-        best = (e.withColumn("rs", F.row_number().over(ws)).withColumn(
-            "rd", F.row_number().over(wd)).filter("rs = 1 AND rd = 1").select("src", "dst", "w"))
+        # best edge per endpoint as partial aggregates (a hub's edges are
+        # reduced map-side, never sorted in one task); ties: smaller other id
+        bs = e.groupBy("src").agg(F.max(F.struct("w", (-F.col("dst")).alias("o"))).alias("b"))
+        bd = e.groupBy("dst").agg(F.max(F.struct("w", (-F.col("src")).alias("o"))).alias("b"))
+        best = (bs.select("src", (-F.col("b.o")).alias("dst"), F.col("b.w").alias("w"))
+                .join(bd.select((-F.col("b.o")).alias("src"), "dst"), ["src", "dst"]))
         best = cut_lineage(best)
         matched.append(best)
         e = cut_lineage(e.join(best.select("src"), "src", "left_anti")

@@ -337,3 +337,10 @@ def test_kl_sum_matches_greedy(spark):
         chosen.append(best[1])
     text_of = {r.sent_id: r.sentence for r in sents.collect()}
     assert got == " ".join(text_of[s] for s in sorted(chosen))
+
+
+def test_greedy_matching_rounds(spark):
+    e = spark.createDataFrame([(1, 10, 5.0), (1, 11, 3.0), (2, 10, 4.0), (2, 11, 4.0),
+                               (3, 11, 1.0)], "src long, dst long, weight double")
+    got = sorted(tuple(r) for r in G.greedy_matching(e).collect())
+    assert got == [(1, 10, 5.0), (2, 11, 4.0)]
