@@ -323,11 +323,10 @@ def single_linkage(pairs: DataFrame, k: int | None = None):
     """Single-linkage merge heights (= sorted MST edge weights) as
     ``(step, height)``; with ``k``, also the flat clusters ``(id, cluster)``
     obtained by removing the k-1 heaviest tree edges."""
-    from pyspark.sql import Window
+    from tessera.operators.relational import dense_index
     tree = minimum_spanning_tree(pairs)
-    order = Window.orderBy("d", "i", "j")  # n - 1 tree edges, one ordered pass
-    heights = tree.select((F.row_number().over(order)).alias("step"), F.col("d").alias("height"),
-                          "i", "j")
+    heights = dense_index(tree, ["d", "i", "j"], "step").select(
+        (F.col("step") + 1).alias("step"), F.col("d").alias("height"), "i", "j")
     if k is None:
         return heights.select("step", "height"), None
     n_edges = heights.count()
@@ -342,15 +341,17 @@ def linkage_knee(heights: DataFrame) -> DataFrame:
     """Second difference of the merge heights from the top
     (``h[r] - 2 h[r+1] + h[r+2]`` with r = 1 for the last merge); the best
     number of clusters is ``argmax + 2``, the second best the next maximum."""
-    from pyspark.sql import Window
-    w = Window.orderBy(F.desc("step"))
-    h = heights.select(F.row_number().over(w).alias("r"), "height")
-    w2 = Window.orderBy("r")
-    d = h.select("r", (F.col("height") - 2 * F.lead("height", 1).over(w2)
-                       + F.lead("height", 2).over(w2)).alias("knee")).dropna()
-    w3 = Window.orderBy(F.desc("knee"), F.asc("r"))
-    best = d.withColumn("_rk", F.row_number().over(w3)).filter("_rk <= 2")
-    return best.select(F.col("_rk").alias("choice"), (F.col("r") + 1).alias("k"), "knee")
+    # r = 1 for the last merge; neighbours by equi-joins on the position
+    n = heights.agg(F.max("step").alias("_n"))
+    h = attach_row(heights, n).select((F.col("_n") - F.col("step") + 1).alias("r"), "height")
+    h1 = h.select((F.col("r") - 1).alias("r"), F.col("height").alias("h1"))
+    h2 = h.select((F.col("r") - 2).alias("r"), F.col("height").alias("h2"))
+    d = h.join(h1, "r").join(h2, "r").select(
+        "r", (F.col("height") - 2 * F.col("h1") + F.col("h2")).alias("knee"))
+    best = d.orderBy(F.desc("knee"), F.asc("r")).limit(2)   # top-2 report
+    w = Window.orderBy(F.desc("knee"), F.asc("r"))          # over the 2 rows kept
+    return best.select(F.row_number().over(w).alias("choice"), (F.col("r") + 1).alias("k"),
+                       "knee")
 
 
 def gap_statistic(df: DataFrame, ks, b: int = 3, seed: int = 1, id_col="id", vec="vec",
