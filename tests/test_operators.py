@@ -344,3 +344,13 @@ def test_greedy_matching_rounds(spark):
                                (3, 11, 1.0)], "src long, dst long, weight double")
     got = sorted(tuple(r) for r in G.greedy_matching(e).collect())
     assert got == [(1, 10, 5.0), (2, 11, 4.0)]
+
+
+def test_dense_index_is_a_global_order(spark):
+    rng = np.random.default_rng(11)
+    vals = rng.permutation(500).tolist()
+    df = spark.createDataFrame([(int(v), f"t{v:04d}") for v in vals], "k long, term string")
+    df = df.repartition(7)
+    got = {r.term: r.idx for r in R.dense_index(df, "term").collect()}
+    assert sorted(got.values()) == list(range(500))
+    assert all(got[f"t{v:04d}"] == v for v in range(500))
