@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tessera.session import cut_lineage
 
@@ -27,13 +29,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
 def map_texts(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``fn(*columns as lists) -> columns as lists or arrays`` over Arrow batches."""
+    """``fn(*columns as lists) -> {column: list or array}`` over Arrow batches."""
+    shape = arrow_schema(schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = fn() if getattr(fn, "factory", False) else fn
         for b in batches:
             if b.num_rows:
-                yield pa.RecordBatch.from_pydict(work(*[c.to_pylist() for c in b.columns]))
+                yield pa.RecordBatch.from_pydict(work(*[c.to_pylist() for c in b.columns]), shape)
     return df.mapInArrow(run, schema)
 
 
