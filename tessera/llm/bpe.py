@@ -17,9 +17,10 @@ import base64
 from functools import lru_cache
 from heapq import heappop, heappush
 from itertools import chain
-from typing import Iterator
+from struct import pack
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tessera.llm.common import factory, map_texts
@@ -184,8 +185,8 @@ class BatchQueue(RankQueue):
         parts = self.buckets.pop(rank)
         return rank, parts[0] if len(parts) == 1 else np.concatenate(parts)
 
-    def encode_all(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        """Token ids of each (non-empty) pre-token."""
+    def encode_all(self, pieces: list[bytes]) -> list[bytes]:
+        """Token ids of each (non-empty) pre-token, packed."""
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         n = int(sizes.sum())
         tok = np.append(self.bytes[np.frombuffer(b"".join(pieces), np.uint8)], 0)
@@ -231,61 +232,55 @@ class BatchQueue(RankQueue):
                 both = both[r >= 0]
                 if len(both):
                     self._put(r[r >= 0], both)
-        out = tok[:n][alive].tolist()
-        ends = np.bincount(owner[alive], minlength=len(pieces)).cumsum().tolist()
-        return [tuple(out[a:b]) for a, b in zip([0, *ends], ends)]
+        out = tok[:n][alive].astype("<i4").tobytes()
+        ends = (4 * np.bincount(owner[alive], minlength=len(pieces)).cumsum()).tolist()
+        return [out[a:b] for a, b in zip([0, *ends], ends)]
 
 
 class Encoder:
-    """Texts to ids.
+    """Texts to ids, many texts at once.
 
-    Texts are taken in runs of about ``run`` characters.  The run's pre-tokens
-    that are not remembered go through the batch queue together, those of over
-    ``long`` bytes through a queue of their own.  Pre-tokens up to 64 characters
-    are remembered; the memory is emptied when it holds ``keep`` of them.
+    The pre-tokens of all the texts that are not remembered go through the batch
+    queue together, those of over ``long`` bytes through a queue of their own.
+    Pre-tokens up to 64 characters are remembered; when there are more than
+    ``keep`` of them, only those of the texts just read stay.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN, keep: int = 400_000,
-                 run: int = 6_000_000, long: int = 256):
+    def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN, keep: int = 400_000, long: int = 256):
         import regex
         self.ranks, self.find = ranks, regex.compile(pattern).findall
         self.one, self.many = RankQueue(ranks), BatchQueue(ranks)
-        self.keep, self.run, self.long = keep, run, long
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def __call__(self, texts: list[str | None]) -> Iterator[list[int]]:
-        run, size = [], 0
-        for t in texts:
-            run.append(t or "")
-            size += len(run[-1])
-            if size > self.run:
-                yield from self._encode(run)
-                run, size = [], 0
-        yield from self._encode(run)
-
-    def _encode(self, texts: list[str]) -> Iterator[list[int]]:
-        if len(self.known) > self.keep:
-            self.known.clear()
-        known, ranks = self.known, self.ranks
-        split = list(map(self.find, texts))
-        short, new = [], {}
-        for p in set().union(*split).difference(known):
+        self.keep, self.long = keep, long
+        self.pieces: dict[str, bytes] = {}      # pre-token -> packed ids
+
+    def _learn(self, pieces: set[str]) -> None:
+        short, ranks = [], self.ranks
+        for p in pieces:
             b = p.encode()
             whole = ranks.get(b)
             if whole is not None:
-                new[p] = (whole,)
+                self.pieces[p] = pack("<i", whole)
             elif len(b) > self.long:
-                new[p] = self.one.encode(b)
+                self.pieces[p] = np.array(self.one.encode(b), "<i4").tobytes()
             else:
                 short.append((p, b))
         if short:
-            new.update(zip([p for p, _ in short], self.many.encode_all([b for _, b in short])))
-        known.update(new)
-        for pieces in split:
-            yield list(chain.from_iterable(map(known.__getitem__, pieces)))
+            self.pieces.update(zip([p for p, _ in short], self.many.encode_all([b for _, b in short])))
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as 32-bit little-endian integers."""
+        split = [self.find(t) if t else [] for t in texts]
+        met = set().union(*split)
+        new = met.difference(self.pieces)
+        self._learn(new)
+        get = self.pieces.__getitem__
+        out = [b"".join(map(get, pieces)) for pieces in split]
+        if len(self.pieces) > self.keep:
+            self.pieces = {p: get(p) for p in met}
         for p in new:
             if len(p) > 64:
-                del known[p]
+                del self.pieces[p]
+        return out
 
 
 def _shared(df: DataFrame, path: str):
@@ -305,11 +300,17 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     @factory
     def make():
         enc = Encoder(shared.value, pattern)
-        return lambda key, text: {"id": key, "ids": list(enc(text))}
+
+        def work(key, text):
+            packed = enc(text.to_pylist())
+            ends = np.cumsum([0, *map(len, packed)]) // 4
+            ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(packed))])
+            return {"id": key, "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)}
+        return work
 
     kind = docs.schema[id_col].dataType.simpleString()
     return map_texts(docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")), make,
-                     f"id {kind}, ids array<int>")
+                     f"id {kind}, ids array<int>", piece=8 << 20, raw=True)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -323,8 +324,12 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     @factory
     def make():
         words = {r: b for b, r in shared.value.items()}
-        return lambda key, ids: {"id": key, "ids": ids,
-                                 "bytes": [b"".join(map(words.__getitem__, i or ())) for i in ids]}
+
+        def work(key, ids):
+            flat = list(map(words.__getitem__, ids.flatten().to_numpy().tolist()))
+            ends = np.cumsum([0, *ids.value_lengths().fill_null(0).to_pylist()]).tolist()
+            return {"id": key, "ids": ids, "bytes": [b"".join(flat[a:b]) for a, b in zip(ends, ends[1:])]}
+        return work
 
     kind = encoded.schema["id"].dataType.simpleString()
-    return map_texts(encoded.select("id", "ids"), make, f"id {kind}, ids array<int>, bytes binary")
+    return map_texts(encoded.select("id", "ids"), make, f"id {kind}, ids array<int>, bytes binary", raw=True)

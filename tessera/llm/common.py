@@ -33,15 +33,27 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
-def map_texts(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``fn(*columns as lists) -> {column: list or array}`` over Arrow batches."""
+def map_texts(df: DataFrame, fn: Callable, schema: str, piece: int = 4 << 20, raw: bool = False) -> DataFrame:
+    """``fn(*columns as lists) -> {column: list or array}`` over the rows, in
+    pieces of about ``piece`` bytes, so that a task holds little beyond its Arrow
+    batch; ``raw`` passes the columns as Arrow arrays."""
     shape = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = fn() if getattr(fn, "factory", False) else fn
         for b in batches:
-            if b.num_rows:
-                yield pa.RecordBatch.from_pydict(work(*[c.to_pylist() for c in b.columns]), shape)
+            at = 0
+            while at < b.num_rows:
+                n = max(1, int((b.num_rows - at) * min(1.0, piece / max(1, b.slice(at).nbytes))))
+                part = b.slice(at, n)
+                while n > 1 and part.nbytes > 2 * piece:      # rows of very unlike sizes
+                    n //= 2
+                    part = b.slice(at, n)
+                at += n
+                out = work(*[c if raw else c.to_pylist() for c in part.columns])
+                yield pa.RecordBatch.from_pydict(
+                    {f.name: out[f.name].cast(f.type) if isinstance(out[f.name], pa.Array) else out[f.name]
+                     for f in shape}, shape)
     return df.mapInArrow(run, schema)
 
 
