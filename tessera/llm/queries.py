@@ -6,10 +6,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe
+from tessera.llm import bpe, decontam, lines, pii, secrets, toxicity, urls, warc
 from tessera.llm.common import table
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.new_folder(spark)
+    manifest = warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(manifest, folder).drop("payload")
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        F.col("id").alias("doc_id"), toxicity.held_out(F.col("id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def _spans(col, kinds):
+    """kind:start:end by start, then kind as listed, comma-joined."""
+    order = F.array(*map(F.lit, kinds))
+    ranked = F.array_sort(F.transform(col, lambda s: F.struct(
+        s["start"].alias("start"), F.array_position(order, s["kind"]).alias("rank"), s["end"].alias("end"),
+        s["kind"].alias("kind"))))
+    return F.concat_ws(",", F.transform(ranked, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+
+
+def _span_digest(found: DataFrame, kinds) -> DataFrame:
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds],
+        F.sha2(_spans(F.col("base"), kinds), 256).alias("base_sha256"),
+        _spans(F.concat("base", "added"), kinds).alias("spans"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_digest(pii.find(table(spark, sf_dir, "documents")), pii.KINDS)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -20,6 +64,75 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op7_byte_bpe,)}
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_digest(secrets.find(table(spark, sf_dir, "documents")), secrets.KINDS)
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lines.drop_boilerplate(docs).select("doc_id", "source", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+QUERIES = {f.__name__: f for f in (op2_url_filters, op3_warc, op4_decontamination, op5_toxicity, op6_pii,
+                                   op7_byte_bpe, op8_secrets, op10_line_dedup)}
+
+_URL_PARTS = """
+SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz') AS host,
+       regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+FROM (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+      FROM pages)"""
+
+
+def _site_sql(rule: str) -> str:
+    host, _, path = rule.partition("/")
+    return f"((host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{path}'))"
+
+
+def _pattern_sql(rule: str) -> str:
+    if rule.startswith("||"):
+        return f"(starts_with(lower(host), '{rule[2:]}') OR contains(lower(host), '.{rule[2:]}'))"
+    return f"(contains(lower(host), '{rule}') OR contains(lower(path), '{rule}'))"
+
+
+_longest_first = sorted(urls.SITE_RULES, key=lambda r: -len(r[1]))
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op2_url_filters": f"""
+WITH p AS ({_URL_PARTS}),
+r AS (SELECT *, CASE {' '.join(f"WHEN {_site_sql(t)} THEN '{t}'" for _, t in _longest_first)} END AS rule FROM p)
+SELECT page_id, host, path, rule,
+       CASE {' '.join(f"WHEN rule = '{t}' THEN '{a}'" for a, t in _longest_first)}
+            WHEN {' OR '.join(_pattern_sql(t) for _, t in urls.PATTERN_RULES)} THEN 'block' ELSE 'allow' END AS verdict
+FROM r""",
+    "op3_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, sha256(body) AS payload_digest, CAST(strlen(body) AS BIGINT) AS payload_bytes FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f""",
+    "op4_decontamination": """
+WITH w AS (SELECT 'd' AS side, doc_id AS id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS words FROM documents
+           UNION ALL SELECT 'i', item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') FROM benchmark),
+s AS (SELECT DISTINCT side, id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+             ELSE list_transform(range(1, len(words) - 3), lambda k: array_to_string(words[k:k + 4], ' ')) END) AS shingle
+      FROM w),
+q AS (SELECT id, count(*) AS n FROM s WHERE side = 'i' GROUP BY id),
+h AS (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared
+      FROM s d JOIN s i ON d.side = 'd' AND i.side = 'i' AND d.shingle = i.shingle GROUP BY ALL)
+SELECT doc_id, item_id, n AS item_shingles, shared FROM h JOIN q ON h.item_id = q.id
+WHERE shared * 5 >= n * 4""",
+    "op10_line_dedup": """
+WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+                  generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents),
+t AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
+b AS (SELECT l.source, line FROM l JOIN t ON l.source IS NOT DISTINCT FROM t.source WHERE trim(line) <> ''
+      GROUP BY l.source, line, pages HAVING count(DISTINCT doc_id) >= 3 AND count(DISTINCT doc_id) > 0.1 * pages),
+k AS (SELECT doc_id, string_agg(l.line, chr(10) ORDER BY k) AS text FROM l
+      LEFT JOIN b ON l.source IS NOT DISTINCT FROM b.source AND l.line = b.line WHERE b.line IS NULL GROUP BY doc_id)
+SELECT d.doc_id, d.source, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+       length(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END) AS n_chars
+FROM documents d LEFT JOIN k ON d.doc_id = k.doc_id""",
+}
