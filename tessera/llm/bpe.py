@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tessera.llm.common import factory, map_texts
+from tessera.llm.common import Shared, factory, map_texts
 
 #: Splits texts before the merges (fixed by the vocabulary).
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|"
@@ -284,7 +284,7 @@ class Encoder:
 
 
 def _shared(df: DataFrame, path: str):
-    return df.sparkSession.sparkContext.broadcast(load_ranks(path))
+    return Shared(df.sparkSession, load_ranks(path))
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",

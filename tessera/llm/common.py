@@ -6,11 +6,13 @@ just those, so further columns (whatever their names) never reach the work.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -57,6 +59,17 @@ def map_texts(df: DataFrame, fn: Callable, schema: str, piece: int = 4 << 20, ra
     return df.mapInArrow(run, schema)
 
 
+class Shared:
+    """A value broadcast to the tasks, its classes by value like all code here."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        return pickle.loads(self.sent.value)
+
+
 def factory(fn):
     """Marks ``fn`` as making the batch function, once per task."""
     fn.factory = True

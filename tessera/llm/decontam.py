@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ShingleHasher, factory, map_texts
+from tessera.llm.common import Shared, ShingleHasher, factory, map_texts
 
 WORD = re.compile(r"[^\W_]+")
 
@@ -114,7 +114,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         own = [(r[0], np.array(r[1], np.int64).view(np.uint64))
                for r in sets.where(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(blocks)) == k).collect()]
         own = [(i, np.sort(s)) for i, s in own]
-        shared = docs.sparkSession.sparkContext.broadcast(Sketches(own, threshold))
+        shared = Shared(docs.sparkSession, Sketches(own, threshold))
 
         @factory
         def make(shared=shared):

@@ -42,10 +42,14 @@ def _spans(col, kinds):
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
+def _count(kind):
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
 def _span_digest(found: DataFrame, kinds) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"),
-        *[F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds],
+        *map(_count, kinds),
         F.sha2(_spans(F.col("base"), kinds), 256).alias("base_sha256"),
         _spans(F.concat("base", "added"), kinds).alias("spans"))
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_schema, factory, map_texts
+from tessera.llm.common import Shared, arrow_schema, factory, map_texts
 
 #: Letters of the model; anything else is a boundary (0), other letters are 63.
 LETTERS = "abcdefghijklmnopqrstuvwxyzäöüßéèêëàâáçîïíìôóòûùúñœæ"
@@ -251,7 +251,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     chars = CharModel(trigram_counts(docs, text_col))
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(chars)
+    shared = Shared(spark, chars)
     chosen = (labels.where(labels[label_col].isin(0, 1) & labels[id_col].isNotNull() & ~held_out(labels[id_col]))
               .select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("y"))
               .orderBy(F.xxhash64("id"), "id", "y").limit(sample))
@@ -277,7 +277,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score): probability of label 1, one row per input row; a null or
     empty text has the score of no words at all."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     @factory
     def make():

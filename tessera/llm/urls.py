@@ -22,7 +22,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import factory, map_texts
+from tessera.llm.common import Shared, factory, map_texts
 
 #: Tokens of URLs and rules: runs of letters, digits and per cent signs.
 TOKEN = "[a-z0-9%]+"
@@ -150,7 +150,7 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     for at in range(0, len(rules), block):
         mine = rules[at:at + block]
         own = {t: counts.get(t, 0) for r in mine for t in r.tokens}
-        shared = rows.sparkSession.sparkContext.broadcast((mine, own, at))
+        shared = Shared(rows.sparkSession, (mine, own, at))
 
         @factory
         def make(shared=shared):
