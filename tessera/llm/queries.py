@@ -6,10 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontam, lines, pii, secrets, toxicity, urls, warc
+from tessera.llm import bpe, decontam, lines, ngram_join, pii, secrets, toxicity, urls, warc
 from tessera.llm.common import table
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
@@ -77,7 +81,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_boilerplate(docs).select("doc_id", "source", "text", F.length("text").cast("long").alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filters, op3_warc, op4_decontamination, op5_toxicity, op6_pii,
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_url_filters, op3_warc, op4_decontamination, op5_toxicity, op6_pii,
                                    op7_byte_bpe, op8_secrets, op10_line_dedup)}
 
 _URL_PARTS = """
