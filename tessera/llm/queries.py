@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontam, lines, ngram_join, pii, secrets, toxicity, urls, warc
+from tessera.llm import bpe, decontam, embed_dedup, lines, ngram_join, pii, secrets, toxicity, urls, warc
 from tessera.llm.common import table
 
 
@@ -76,13 +76,18 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digest(secrets.find(table(spark, sf_dir, "documents")), secrets.KINDS)
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return got.withColumnRenamed("id", "vec_id")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return lines.drop_boilerplate(docs).select("doc_id", "source", "text", F.length("text").cast("long").alias("n_chars"))
 
 
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_url_filters, op3_warc, op4_decontamination, op5_toxicity, op6_pii,
-                                   op7_byte_bpe, op8_secrets, op10_line_dedup)}
+                                   op7_byte_bpe, op8_secrets, op9_embedding_near_dedup, op10_line_dedup)}
 
 _URL_PARTS = """
 SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -132,6 +137,17 @@ h AS (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared
       FROM s d JOIN s i ON d.side = 'd' AND i.side = 'i' AND d.shingle = i.shingle GROUP BY ALL)
 SELECT doc_id, item_id, n AS item_shingles, shared FROM h JOIN q ON h.item_id = q.id
 WHERE shared * 5 >= n * 4""",
+    "op9_embedding_near_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+u AS (SELECT vec_id, label, e FROM v WHERE label IS NOT NULL AND len(e) > 0 AND list_sum(list_transform(e, lambda x: x * x)) > 0
+      AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id
+      AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (SELECT vec_id, vec_id AS reached FROM v UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.reached = l.a),
+c AS (SELECT vec_id, min(reached) AS component_id FROM r GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
+SELECT c.vec_id, coalesce(n_links, 0) AS n_links, component_id, c.vec_id = component_id AS kept
+FROM c LEFT JOIN n ON c.vec_id = n.vec_id""",
     "op10_line_dedup": """
 WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
                   generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents),

@@ -59,7 +59,7 @@ SENSITIVE = {
 }
 #: Parts that speak against one: names of places, sizes and kinds of secrets.
 HARMLESS = {
-    "file": -1.5, "path": -1.5, "dir": -1.5, "url": -1.2, "uri": -1.2, "name": -1.4, "id": -0.8, "type": -1.5,
+    "file": -2.5, "path": -2.5, "dir": -2.5, "url": -2.0, "uri": -2.0, "name": -1.4, "id": -0.8, "type": -1.5,
     "length": -2.0, "len": -2.0, "count": -2.0, "size": -2.0, "min": -1.5, "max": -1.5, "expiry": -1.5,
     "expires": -1.5, "ttl": -2.0, "timeout": -2.0, "regex": -2.0, "pattern": -2.0, "label": -2.0, "field": -1.5,
     "hint": -2.0, "prompt": -2.0, "public": -1.5, "algorithm": -2.0, "format": -2.0, "policy": -2.0,
@@ -142,7 +142,7 @@ def pairs(text: str) -> tuple[list[Pair], dict[str, list[str]]]:
         if t.kind == "xml" and not t.text.startswith("</") and k + 2 < n and tokens[k + 2].text == f"</{t.text[1:]}":
             got = _literal(tokens[k + 1])
             if got:
-                found.append(Pair(t.text[1:-1], *got))
+                found.append(Pair(t.text[1:-1], *got[:3], True))
             continue
         if t.kind == "flag" and k + 1 < n and tokens[k + 1].kind in ("string", "word"):
             found.append(Pair(t.text[2:], *_literal(tokens[k + 1])))
@@ -194,6 +194,8 @@ def quality(value: str, quoted: bool) -> float:
         score -= 2.0
     if re.search(r"\s", value) and n > 40:
         score -= 1.5                                # a sentence
+    if re.match(r"(?:\.{0,2}/|[A-Za-z]:\\|[a-z]+://)[\w./\\-]*$", value):
+        score -= 3.0                                # a place
     return score
 
 
