@@ -59,6 +59,20 @@ def map_texts(df: DataFrame, fn: Callable, schema: str, piece: int = 4 << 20, ra
     return df.mapInArrow(run, schema)
 
 
+def filter_rows(df: DataFrame, column: str, fn: Callable) -> DataFrame:
+    """The rows of ``df`` that ``fn(values of the column) -> list of bool`` keeps,
+    with all their columns; ``fn`` may be a factory."""
+    at = df.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = fn() if getattr(fn, "factory", False) else fn
+        for b in batches:
+            for k in range(0, b.num_rows, 1024):
+                part = b.slice(k, 1024)
+                yield part.filter(pa.array(keep(part.column(at).to_pylist()), pa.bool_()))
+    return df.mapInArrow(run, df.schema)
+
+
 class Shared:
     """A value broadcast to the tasks, its classes by value like all code here."""
 
@@ -144,7 +158,7 @@ def connected(edges: DataFrame) -> DataFrame:
         small = (big.join(low, "b").select(F.col("m").alias("x"), "a", "b"))
         e = cut_lineage(small.select(F.col("x").alias("a"), F.explode(F.array("a", "b")).alias("b"))
                         .where("a <> b").distinct())
-        now = e.agg(F.count("*").alias("n"), F.sum("a").alias("s"),
+        now = e.agg(F.count("*").alias("n"),
                     F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0)).alias("h"),
                     F.count_distinct("b").alias("d")).first()
         if seen == now and now.n == now.d:

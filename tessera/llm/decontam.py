@@ -18,12 +18,13 @@ from __future__ import annotations
 
 import math
 import re
+from typing import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Shared, ShingleHasher, factory, map_texts
+from tessera.llm.common import Shared, ShingleHasher, factory, filter_rows, map_texts
 
 WORD = re.compile(r"[^\W_]+")
 
@@ -104,18 +105,11 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     ``block_shingles`` hashes (16 MB), the most that the driver and a task hold
     besides a single item's text.
     """
-    sets = item_shingles(items, item_col, item_text_col, width).where(F.size("shingles") > 0)
-    total = sets.agg(F.coalesce(F.sum(F.size("shingles")), F.lit(0))).first()[0]
-    blocks = max(1, math.ceil(total / block_shingles))
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    kinds = (rows.schema["doc_id"].dataType.simpleString(), sets.schema["item_id"].dataType.simpleString())
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    item_kind = items.schema[item_col].dataType.simpleString()
     out = None
-    for k in range(blocks):
-        own = [(r[0], np.array(r[1], np.int64).view(np.uint64))
-               for r in sets.where(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(blocks)) == k).collect()]
-        own = [(i, np.sort(s)) for i, s in own]
-        shared = Shared(docs.sparkSession, Sketches(own, threshold))
-
+    for shared in sketches_of(items, item_col, item_text_col, width, threshold, block_shingles):
         @factory
         def make(shared=shared):
             hasher, sketches = ShingleHasher(width, words), shared.value
@@ -129,12 +123,33 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                 return out
             return work
 
-        found = map_texts(rows, make, f"doc_id {kinds[0]}, item_id {kinds[1]}, item_shingles long, shared long")
+        found = map_texts(rows, make, f"doc_id {kind}, item_id {item_kind}, item_shingles long, shared long")
         out = found if out is None else out.union(found)
     return out
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """``docs`` without the documents that hold a test item; a null id is kept."""
-    bad = contaminated(docs, items, id_col, **how).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs[id_col] == bad["__bad"], "left_anti")
+def sketches_of(items: DataFrame, item_col: str, text_col: str, width: int, threshold: float,
+                block_shingles: int) -> Iterator[Shared]:
+    """The sketches of one block of items after another, sent to the tasks."""
+    sets = item_shingles(items, item_col, text_col, width).where(F.size("shingles") > 0)
+    total = sets.agg(F.coalesce(F.sum(F.size("shingles")), F.lit(0))).first()[0]
+    blocks = max(1, math.ceil(total / block_shingles))
+    for k in range(blocks):
+        own = [(r[0], np.sort(np.array(r[1], np.int64).view(np.uint64)))
+               for r in sets.where(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(blocks)) == k).collect()]
+        yield Shared(items.sparkSession, Sketches(own, threshold))
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                         item_text_col: str = "text", width: int = 5, threshold: float = 0.8,
+                         block_shingles: int = 2_000_000) -> DataFrame:
+    """The rows of ``docs`` that hold no test item, with all their columns; the
+    definitions are those of ``contaminated``."""
+    for shared in sketches_of(items, item_col, item_text_col, width, threshold, block_shingles):
+        @factory
+        def make(shared=shared):
+            hasher, sketches = ShingleHasher(width, words), shared.value
+            return lambda texts: [not any(True for _ in sketches.verified(hasher(t))) for t in texts]
+
+        docs = filter_rows(docs, text_col, make)
+    return docs

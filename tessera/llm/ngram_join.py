@@ -425,3 +425,11 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     by_class = least.join(roots, "label").select("cls", "component_id")
     return (belongs.join(by_class, "cls", "left")
             .select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` whose id is the least of their component, with all
+    their columns; a null id cannot be named, so its row stays."""
+    found = components(docs, id_col, text_col, **how)
+    gone = cut_lineage(found.where("id <> component_id").select(F.col("id").alias("__gone")).distinct())
+    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Shared, arrow_schema, factory, map_texts
+from tessera.llm.common import Shared, arrow_schema, factory, filter_rows, map_texts
 
 #: Letters of the model; anything else is a boundary (0), other letters are 63.
 LETTERS = "abcdefghijklmnopqrstuvwxyzäöüßéèêëàâáçîïíìôóòûùúñœæ"
@@ -27,24 +27,55 @@ CODE = {c: k for k, c in enumerate(LETTERS, 1)}
 SIZE = 64
 _CODES = np.array([CODE.get(chr(i), 63 if chr(i).isalpha() else 0) for i in range(0x500)], np.int32)
 
+_ANY = "abcdefghijklmnopqrstuvwxyz"
 #: What a symbol may stand for (fixed values of common leetspeak).
 LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "¡": "i", "§": "s",
-    "*": "aeiou", "#": "aeiou", "%": "aeiou",
+    "*": _ANY, "#": _ANY, "%": _ANY,
 }
 _SYMBOLS = re.escape("".join(LEET))
-#: Stretches that may be disguised: single letters apart, tokens with symbols
-#: inside or before letters, letters three times in a row.
-NOISY = re.compile(
-    rf"(?<!\w)(?:[^\W_][\x20._*~-]){{2,}}[^\W_](?!\w)"
-    rf"|(?<!\S)[^\W\d_]*(?:[{_SYMBOLS}]+|[._~-](?=[^\W\d_]))(?:[^\W\d_]|[{_SYMBOLS}]|[._~-](?=\w))*[^\W\d_](?:[{_SYMBOLS}]+(?=\s|$))?"
-    rf"|(?<![^\W\d_])[^\W\d_]*?([^\W\d_])\1\1[^\W\d_]*", re.I)
+#: What makes a stretch suspect: a symbol or separator before a letter (the whole
+#: token is read then), single letters apart, a letter three times in a row.
+_INSIDE = re.compile(rf"[{_SYMBOLS}._~-](?=[^\W\d_])")
+_APART = re.compile(r"(?<!\w)[^\W_](?:[\x20._*~-][^\W_])(?:[\x20._*~-][^\W_])+(?!\w)")
+_THRICE = re.compile(r"([^\W\d_])\1\1", re.I)
+#: So far around a symbol a token is read to either side.
+REACH = 64
+
+
+def stretches(text: str) -> list[str]:
+    """Stretches that may be disguised."""
+    out, end = [], 0
+    for m in _INSIDE.finditer(text):
+        i = m.start()
+        if i < end:
+            continue
+        lo, end = i, i + 1
+        while lo and i - lo < REACH and not text[lo - 1].isspace():
+            lo -= 1
+        while end < len(text) and end - i < REACH and not text[end].isspace():
+            end += 1
+        out.append(text[lo:end])
+    out += [m[0] for m in _APART.finditer(text)]
+    end = 0
+    for m in _THRICE.finditer(text):
+        if m.start() < end:
+            continue
+        lo, end = m.span()
+        while lo and m.start() - lo < REACH and text[lo - 1].isalpha():
+            lo -= 1
+        while end < len(text) and end - m.start() < REACH and text[end].isalpha():
+            end += 1
+        out.append(text[lo:end])
+    return out
+
+
 _WORD = re.compile(r"[^\W\d_]+")
 
 #: Costs of the channel, in nats: reading a symbol as a letter, as nothing; a
 #: separator as nothing, as a boundary; a doubled letter as one.
-AS_LETTER, AS_NOTHING, JOINED, APART, ONCE = 1.0, 4.0, 0.5, 3.0, 1.5
+AS_LETTER, AS_NOTHING, JOINED, APART, ONCE = 1.0, 8.0, 0.5, 3.0, 1.5
 
 
 def codes(text: str) -> np.ndarray:
@@ -100,7 +131,7 @@ class CharModel:
 def lattice(stretch: str) -> list[list[tuple[str, float]]]:
     """Per position the readings (characters, cost); a run of one letter is one
     position."""
-    out, low = [], stretch.lower()
+    out, low = [], stretch.lower().rstrip("!*#%$.,;:?|+-~_\"')")
     spaced = re.fullmatch(r"(?:[^\W_][\x20._*~-])+[^\W_]", low) is not None
     k = 0
     while k < len(low):
@@ -112,9 +143,12 @@ def lattice(stretch: str) -> list[list[tuple[str, float]]]:
         if c.isalpha():
             out.append([(c, 0.0)] if n == 1 else [(c + c, 0.0), (c, ONCE)] if n == 2 else [(c, 0.0), (c + c, 0.5)])
         elif c in LEET and not (spaced and c == "*"):
-            ways = [(x, AS_LETTER) for x in LEET[c]] + [("", AS_NOTHING)]
+            one, two = (AS_LETTER, 99.0) if n == 1 else (AS_LETTER + ONCE, AS_LETTER)
+            if len(LEET[c]) > 2:
+                one += AS_LETTER
+            ways = [(x, one) for x in LEET[c]] + [("", AS_NOTHING)]
             if n > 1:
-                ways += [(x + x, AS_LETTER * 1.5) for x in LEET[c]]
+                ways += [(x + x, two) for x in LEET[c]]
             out.append(ways)
         else:
             out.append([("", JOINED), (" ", APART)])
@@ -159,8 +193,7 @@ class Restorer:
     def words(self, text: str) -> set[str]:
         """Words of the text as written and as restored, in lower case."""
         out = set(_WORD.findall(text.lower()))
-        for m in NOISY.finditer(text):
-            s = m[0]
+        for s in stretches(text):
             got = self.known.get(s)
             if got is None:
                 if len(self.known) > self.keep:
@@ -274,6 +307,26 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return Model(chars, *fit(examples))
 
 
+def scorer(model: Model):
+    """Function from a text to its score."""
+    restore, weights, known = Restorer(model.chars), model.weights, {}
+
+    def rate(text: str | None) -> float:
+        found = set()
+        if len(known) > 400_000:
+            known.clear()
+        for w in restore.words(text) if text else ():
+            f = known.get(w)
+            if f is None:
+                f = known[w] = tuple(k for k in word_features(w) if k in weights)
+            if f:
+                found.update(f)
+        z = model.bias + sum(weights[k] for k in sorted(found))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+    return rate
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score): probability of label 1, one row per input row; a null or
     empty text has the score of no words at all."""
@@ -281,27 +334,21 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     @factory
     def make():
-        model = shared.value
-        restore, weights, known = Restorer(model.chars), model.weights, {}
-
-        def work(ids, texts):
-            out = []
-            for t in texts:
-                found = set()
-                words = restore.words(t) if t else ()
-                if len(known) > 400_000:
-                    known.clear()
-                for w in words:
-                    f = known.get(w)
-                    if f is None:
-                        f = known[w] = tuple(k for k in word_features(w) if k in weights)
-                    if f:
-                        found.update(f)
-                z = model.bias + sum(weights[k] for k in sorted(found))
-                out.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
-            return {"id": ids, "score": out}
-        return work
+        rate = scorer(shared.value)
+        return lambda ids, texts: {"id": ids, "score": [rate(t) for t in texts]}
 
     kind = docs.schema[id_col].dataType.simpleString()
     return map_texts(docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")), make,
                      f"id {kind}, score double")
+
+
+def without_toxic(docs: DataFrame, model: Model, limit: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below ``limit``, with all their columns."""
+    shared = Shared(docs.sparkSession, model)
+
+    @factory
+    def make():
+        rate = scorer(shared.value)
+        return lambda texts: [rate(t) < limit for t in texts]
+
+    return filter_rows(docs, text_col, make)
