@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
@@ -203,13 +204,36 @@ class Restorer:
         return out
 
 
-def word_features(word: str) -> tuple[int, ...]:
-    """Hashes of a word and of its first four and five letters, the stems."""
+#: Features are hashes of so many bits.
+MASK = (1 << 22) - 1
+
+
+def _hash(s: str) -> int:
     import xxhash
-    h = xxhash.xxh32_intdigest
-    out = (h(word) & 0x3FFFFF,)
-    if len(word) >= 5:
-        out += (h(word[:4] + "~") & 0x3FFFFF, h(word[:5] + "~") & 0x3FFFFF)
+    return xxhash.xxh32_intdigest(s) & MASK
+
+
+def word_features(word: str) -> tuple[int, tuple[int, ...]]:
+    """Hash of a word, and those of its first three, four and five letters, the
+    stems that it may share with others."""
+    return _hash(word), tuple(_hash(word[:k] + "~") for k in (3, 4, 5) if len(word) > k)
+
+
+def level(stem: int, n: int) -> int:
+    """Feature of a stem that n different words of a text share."""
+    return (stem + n * 0x1E3779B1) & MASK
+
+
+def features(words: set[str]) -> set[int]:
+    """Features of a text: its words, and the stems that one, two, or three and
+    more different words share."""
+    out, stems = set(), Counter()
+    for w in words:
+        own, begins = word_features(w)
+        out.add(own)
+        stems.update(begins)
+    for stem, n in stems.items():
+        out.update(level(stem, k) for k in range(1, min(n, 3) + 1))
     return out
 
 
@@ -219,33 +243,39 @@ class Model(NamedTuple):
     weights: dict[int, float]
 
 
-def fit(rows: list[tuple[np.ndarray, int]], stages: int = 200, gain: float = 12.0) -> tuple[float, dict[int, float]]:
-    """Forward-stagewise logistic regression on presence of features.
+def fit(ids: np.ndarray, sizes: np.ndarray, y: np.ndarray, rounds: int = 3, stages: int = 100,
+        gain: float = 11.0) -> tuple[float, dict[int, float]]:
+    """Logistic regression on presence of features, given text after text
+    (``sizes`` of them each).
 
-    Each stage adds the feature whose score statistic is largest and refits all
-    that were added; it ends when none gains ``gain`` (a chi-square) or after
-    ``stages``.  What the stems already explain lends no weight to the chance
-    words of copied documents.
+    A round goes forward in stages: each adds the feature whose score statistic,
+    a chi-square, is largest and refits; it ends when none reaches ``gain`` (four
+    texts that nothing explains yet) or after ``stages``.  What the stems already
+    explain so lends no weight to the chance words of copied documents.  The
+    next round starts afresh without the features of the earlier ones, and without
+    those that stand in nine tenths of the same texts, and finds words that mostly
+    stood beside those.  At last all are fitted together.
     """
-    y = np.array([r[1] for r in rows], float)
+    y = y.astype(float)
     if not len(y) or y.min() == y.max():
         return (float(np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))) if len(y) else -5.0), {}
-    ids = np.concatenate([r[0] for r in rows])
-    doc = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
-    names, col = np.unique(ids, return_inverse=True)
-    df = np.bincount(col, minlength=len(names))
-    often = df >= 5
-    keep = often[col]
-    col, doc = (np.cumsum(often) - 1)[col[keep]], doc[keep]
-    names = names[often]
+    often = np.bincount(ids, minlength=MASK + 1) >= 5
+    names, number = np.flatnonzero(often), np.cumsum(often, dtype=np.int32) - 1
+    keep = often[ids]
+    col, doc = number[ids[keep]], np.repeat(np.arange(len(y), dtype=np.int32), sizes)[keep]
     order = col.argsort(kind="stable")
     col, doc = col[order], doc[order]
     starts = np.searchsorted(col, np.arange(len(names) + 1))
-    bias, active, w = math.log(y.mean() / (1 - y.mean())), [], np.empty(0)
-    x = np.empty((len(y), 0))
     ridge = 0.1
-    for _ in range(stages + 1):
-        for _ in range(8):                              # Newton steps on the added ones
+
+    def columns(features):
+        x = np.zeros((len(y), len(features)))
+        for k, f in enumerate(features):
+            x[doc[starts[f]:starts[f + 1]], k] = 1
+        return x
+
+    def newton(x, bias, w, steps):
+        for _ in range(steps):
             p = 1 / (1 + np.exp(-(bias + x @ w)))
             a = np.hstack([np.ones((len(y), 1)), x])
             g = a.T @ (y - p) - ridge * np.append(0, w)
@@ -254,19 +284,32 @@ def fit(rows: list[tuple[np.ndarray, int]], stages: int = 200, gain: float = 12.
             bias, w = bias + step[0], w + step[1:]
             if np.abs(step).max() < 1e-3:
                 break
-        p = 1 / (1 + np.exp(-(bias + x @ w)))
-        g = np.bincount(col, (y - p)[doc], len(names))
-        h = np.bincount(col, (p * (1 - p))[doc], len(names)) + 1.0
-        chi = g * np.abs(g) / h                         # only features that speak for the label
-        chi[active] = 0
-        best = int(chi.argmax())
-        if chi[best] < gain or len(active) == stages:
-            break
-        active.append(best)
-        column = np.zeros((len(y), 1))
-        column[doc[starts[best]:starts[best + 1]]] = 1
-        x, w = np.hstack([x, column]), np.append(w, 0.0)
-    return float(bias), {int(names[k]): float(v) for k, v in zip(active, w)}
+        return bias, w
+
+    start = math.log(y.mean() / (1 - y.mean()))
+    chosen: list[int] = []
+    df, banned = np.diff(starts), np.zeros(len(names), bool)
+    for _ in range(rounds if len(names) else 0):
+        active, bias, w = [], start, np.empty(0)
+        while len(active) < stages:
+            x = columns(active)
+            bias, w = newton(x, bias, w, 8)
+            p = 1 / (1 + np.exp(-(bias + x @ w)))
+            g = np.bincount(col, (y - p)[doc], len(names))
+            chi = g * np.abs(g) / (np.bincount(col, (p * (1 - p))[doc], len(names)) + 1.0)
+            chi[banned] = 0                             # and only features that speak for the label
+            chi[active] = 0
+            best = int(chi.argmax())
+            if chi[best] < gain:
+                break
+            active.append(best)
+            w = np.append(w, 0.0)
+        chosen += active
+        for f in active:
+            both = np.bincount(col, np.bincount(doc[starts[f]:starts[f + 1]], minlength=len(y))[doc], len(names))
+            banned |= both >= 0.9 * np.maximum(df, df[f])
+    bias, w = newton(columns(chosen), start, np.zeros(len(chosen)), 50)
+    return float(bias), {int(names[k]): float(v) for k, v in zip(chosen, w)}
 
 
 def held_out(id_col):
@@ -275,7 +318,7 @@ def held_out(id_col):
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", sample: int = 12_000) -> Model:
+          label_col: str = "toxic", sample: int = 10_000) -> Model:
     """The trigram model of all ``docs`` and the classifier.
 
     The classifier is fitted on at most ``sample`` labelled rows that are not
@@ -296,31 +339,42 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         restore = Restorer(shared.value)
 
         def work(ids, y, texts):
-            got = [np.unique(np.array([f for w in restore.words(t or "") for f in word_features(w)], np.int32))
-                   for t in texts]
+            got = [np.array(sorted(features(restore.words(t or ""))), np.int32) for t in texts]
             return {"id": ids, "y": y, "f": got}
         return work
 
     kind = rows.schema["id"].dataType.simpleString()
     got = map_texts(rows, make, f"id {kind}, y int, f array<int>").toArrow().sort_by([("id", "ascending"), ("y", "ascending")])
-    examples = [(np.asarray(f.values), y) for f, y in zip(got["f"], got["y"].to_pylist())]
-    return Model(chars, *fit(examples))
+    sizes = np.array([len(f) for f in got["f"]], np.int64)
+    ids = np.concatenate([np.asarray(f.values) for f in got["f"]]) if len(sizes) else np.empty(0, np.int32)
+    return Model(chars, *fit(ids, sizes, got["y"].to_numpy()))
 
 
 def scorer(model: Model):
     """Function from a text to its score."""
     restore, weights, known = Restorer(model.chars), model.weights, {}
 
+    def carry(word):
+        own, begins = word_features(word)
+        return (own if own in weights else None,
+                tuple(b for b in begins if any(level(b, n) in weights for n in (1, 2, 3))))
+
     def rate(text: str | None) -> float:
-        found = set()
+        found, shared = set(), {}
         if len(known) > 400_000:
             known.clear()
         for w in restore.words(text) if text else ():
             f = known.get(w)
             if f is None:
-                f = known[w] = tuple(k for k in word_features(w) if k in weights)
+                f = carry(w)
+                f = known[w] = f if f[0] is not None or f[1] else ()
             if f:
-                found.update(f)
+                if f[0] is not None:
+                    found.add(f[0])
+                for b in f[1]:
+                    shared[b] = shared.get(b, 0) + 1
+        for b, n in shared.items():
+            found.update(k for k in (level(b, i) for i in range(1, min(n, 3) + 1)) if k in weights)
         z = model.bias + sum(weights[k] for k in sorted(found))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
