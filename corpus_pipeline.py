@@ -17,8 +17,8 @@ from tessera.llm.common import cut_lineage, table
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, trained on these documents and the
-    labels, rejects at 0.5 go."""
-    return toxicity.without_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    labels, scores 0.3 or more go."""
+    return toxicity.without_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")), 0.3)
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -243,7 +243,7 @@ class Model(NamedTuple):
     weights: dict[int, float]
 
 
-def fit(ids: np.ndarray, sizes: np.ndarray, y: np.ndarray, rounds: int = 3, stages: int = 100,
+def fit(ids: np.ndarray, sizes: np.ndarray, y: np.ndarray, rounds: int = 2, stages: int = 100,
         gain: float = 11.0) -> tuple[float, dict[int, float]]:
     """Logistic regression on presence of features, given text after text
     (``sizes`` of them each).
@@ -266,7 +266,7 @@ def fit(ids: np.ndarray, sizes: np.ndarray, y: np.ndarray, rounds: int = 3, stag
     order = col.argsort(kind="stable")
     col, doc = col[order], doc[order]
     starts = np.searchsorted(col, np.arange(len(names) + 1))
-    ridge = 0.1
+    ridge = 0.02
 
     def columns(features):
         x = np.zeros((len(y), len(features)))

@@ -204,7 +204,7 @@ def test_pipeline_stages(spark):
             model = toxicity.train(spark.read.parquet(f"{SF_SMALL}/documents.parquet"),
                                    spark.read.parquet(f"{SF_SMALL}/labels.parquet"))
             rate = toxicity.scorer(model)
-            assert set(after) == {i for i, r in before.items() if rate(r.text) < 0.5}
+            assert set(after) == {i for i, r in before.items() if rate(r.text) < 0.3}
         elif name == "line dedup":
             assert set(after) == set(before)
             assert all(r.n_chars == len(r.text) for r in after.values())
