@@ -10,6 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import cut_lineage
+
+#: So many line hashes of all hosts together are broadcast at most.
+BROADCAST_HASHES = 1_000_000
+
 
 def boilerplate(pages: DataFrame, host, text, ratio: float, min_pages: int) -> DataFrame:
     """(host, lines): hashes of the host's boilerplate lines, one row per host
@@ -42,10 +47,17 @@ def drop_boilerplate(pages: DataFrame, host_col: str = "source", text_col: str =
     neither counted nor dropped.  A null host is a host of its own.  A null text
     stays null; a text that loses all its lines becomes empty.  Further columns
     pass through untouched.
+
+    Up to ``BROADCAST_HASHES`` lines (8 MB) the lists are broadcast and the pages
+    stay where they are; beyond, pages and lists are joined by host, and adaptive
+    execution splits hot hosts.
     """
     host, text = pages[host_col], pages[text_col]
-    bad = boilerplate(pages, host, text, ratio, min_pages).select(
-        F.col("host").alias("__site"), F.col("lines").alias("__lines"))
+    bad = cut_lineage(boilerplate(pages, host, text, ratio, min_pages).select(
+        F.col("host").alias("__site"), F.col("lines").alias("__lines")))
+    hashes = bad.agg(F.coalesce(F.sum(1 + F.size("__lines")), F.lit(0))).first()[0]
+    if hashes <= BROADCAST_HASHES:
+        bad = F.broadcast(bad)
     kept = F.array_join(F.filter(F.split(F.col(text_col), "\n"),
                                  lambda x: (F.trim(x) == "") | ~F.array_contains("__lines", F.xxhash64(x))), "\n")
     return (pages.join(bad, pages[host_col].eqNullSafe(F.col("__site")), "left")
