@@ -1,16 +1,14 @@
 """Column-level text helpers: tokenizer expressions and stop-word tables.
 
-Stop words are Spark ML's bundled lists (the ones behind
-``StopWordsRemover.loadDefaultStopWords``), read straight from the Spark ML
-jar so that the same words feed both the Spark operators and the SQL oracle.
+Stop words are Spark ML's default lists, kept as data files beside this module
+(see ``stopwords/NOTICE``), so that the same words feed the Spark operators and
+the SQL oracle and neither needs Spark's jars.
 """
 
 from __future__ import annotations
 
 import functools
-import glob
 import os
-import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,25 +36,11 @@ LANG_CODES = {"english": "en", "french": "fr", "german": "de", "spanish": "es",
               "swedish": "sv", "turkish": "tr"}
 
 
-def _mllib_jar() -> str:
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars",
-                                  "spark-mllib_*.jar"))
-    if not jars:
-        raise FileNotFoundError("spark-mllib jar not found")
-    return jars[0]
-
-
 @functools.lru_cache(maxsize=None)
 def stop_word_list(language: str) -> tuple[str, ...]:
-    with zipfile.ZipFile(_mllib_jar()) as z:
-        raw = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-    words = []
-    for w in raw.split("\n"):
-        w = w.strip()
-        if w and w not in words:
-            words.append(w)
-    return tuple(words)
+    path = os.path.join(os.path.dirname(os.path.abspath(__file__)), "stopwords", f"{language}.txt")
+    with open(path, encoding="utf-8") as f:
+        return tuple(f.read().split("\n")[:-1])
 
 
 def stop_word_rows(languages=LANGUAGES) -> list[tuple[str, str]]:
