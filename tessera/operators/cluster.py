@@ -62,7 +62,7 @@ def silhouette(pairs: DataFrame, labels: DataFrame, id_col="id", label="label")
     """Silhouette per point from a condensed pair table and labels:
     ``a`` = mean distance inside the own cluster, ``b`` = smallest mean
     distance to another cluster, ``s = (b - a) / max(a, b)``; 0 for a point
-    alone in its cluster."""
+    alone in its cluster and where all distances are 0."""
     lab = labels.select(F.col(id_col).alias("j"), F.col(label).alias("lj"))
     both = pairs.select("i", "j", "d").unionByName(
         pairs.select(F.col("j").alias("i"), F.col("i").alias("j"), "d"))
@@ -73,20 +73,22 @@ def silhouette(pairs: DataFrame, labels: DataFrame, id_col="id", label="label")
         F.max(F.when(F.col("lj") == F.col("li"), F.col("md"))).alias("a"),
         F.min(F.when(F.col("lj") != F.col("li"), F.col("md"))).alias("b"))
     s = F.when(F.col("a").isNull() | F.col("b").isNull(), 0.0).otherwise(
-        (F.col("b") - F.col("a")) / F.greatest("a", "b"))
+        F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")))
     out = own.join(ab, "i", "left").select(F.col("i").alias(id_col), F.col("li").alias(label),
                                            F.coalesce(s, F.lit(0.0)).alias("s"))
     return out
 
 
 def standardise(df: DataFrame, cols, ddof: int = 0) -> DataFrame:
-    """``(x - mean) / sd`` with population (ddof=0) or sample sd."""
+    """``(x - mean) / sd`` with population (ddof=0) or sample sd; a
+    constant column (and a single row) becomes 0."""
     sd = F.stddev_pop if ddof == 0 else F.stddev_samp
     stats = df.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols],
                    *[sd(c).alias(f"_s_{c}") for c in cols])
     j = attach_row(df, stats)
     return j.select(*[c for c in df.columns if c not in cols],
-                    *[((F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).alias(c) for c in cols])
+                    *[F.when(F.col(c).isNotNull(), F.coalesce(F.try_divide(
+                        F.col(c) - F.col(f"_m_{c}"), F.col(f"_s_{c}")), F.lit(0.0))).alias(c) for c in cols])
 
 
 def label_distribution(df: DataFrame, y: str, p: str) -> DataFrame:
@@ -264,7 +266,7 @@ def silhouette_cosine(assigned: DataFrame, vec="vec", cluster="cluster") -> floa
 
 # ---------------------------------------------------------------- single linkage
 
-def _components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+def _components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Connected components ``(id, comp)`` by min-label propagation over an
     undirected edge list ``(u, v)``; one join + aggregate per round."""
     from tessera.session import cut_lineage
@@ -272,7 +274,7 @@ def _components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 10_000) ->
                                                           F.col("u").alias("v")))
     adj = cut_lineage(adj)
     lab = cut_lineage(nodes.select("id", F.col("id").alias("comp")))
-    for _ in range(max_rounds):
+    while True:
         m = (adj.join(lab.select(F.col("id").alias("v"), F.col("comp").alias("cv")), "v")
              .groupBy(F.col("u").alias("id")).agg(F.min("cv").alias("m")))
         new = cut_lineage(lab.join(m, "id", "left").select(

@@ -54,7 +54,7 @@ def degrees(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
                .fillna(0, ["degree"]))
     n = deg.agg(F.count(F.lit(1)).alias("_n"))
     return attach_row(deg, n).select(
-        "id", "degree", (F.col("degree") / (F.col("_n") - 1)).alias("centrality"))
+        "id", "degree", F.coalesce(F.try_divide("degree", F.col("_n") - 1), F.lit(0.0)).alias("centrality"))
 
 
 def degree_histogram(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
@@ -71,9 +71,9 @@ def graph_stats(edges: DataFrame) -> DataFrame:
     n = nodes_of(edges).agg(F.count(F.lit(1)).alias("n"))
     m = edges.agg(F.count(F.lit(1)).alias("m"))
     j = n.crossJoin(m)
-    return j.select("n", "m", (F.col("m") / F.col("n")).alias("m_per_n"),
-                    (2 * F.col("m") / F.col("n")).alias("avg_degree"),
-                    (2 * F.col("m") / (F.col("n") * (F.col("n") - 1))).alias("density"))
+    return j.select("n", "m", F.try_divide("m", "n").alias("m_per_n"),
+                    F.try_divide(2 * F.col("m"), F.col("n")).alias("avg_degree"),
+                    F.try_divide(2 * F.col("m"), F.col("n") * (F.col("n") - 1)).alias("density"))
 
 
 def _oriented(edges: DataFrame) -> DataFrame:
@@ -120,15 +120,15 @@ def clustering_summary(edges: DataFrame) -> DataFrame:
     """Average clustering and transitivity ``3 triangles / connected triples``."""
     c = clustering(edges)
     return c.agg(F.avg("coeff").alias("avg_clustering"),
-                 (F.sum("triangles") / F.sum(F.col("degree") * (F.col("degree") - 1) / 2))
+                 F.try_divide(F.sum("triangles"), F.sum(F.col("degree") * (F.col("degree") - 1) / 2))
                  .alias("transitivity"),
                  (F.sum("triangles") / 3).cast("bigint").alias("n_triangles"))
 
 
-def k_core(edges: DataFrame, k: int, max_rounds: int = 1000) -> DataFrame:
+def k_core(edges: DataFrame, k: int) -> DataFrame:
     """Edges of the k-core, by repeated removal of nodes with degree < k."""
     e = cut_lineage(canonical(edges).filter(F.col("src") != F.col("dst")))
-    for _ in range(max_rounds):
+    while True:
         d = degrees(e).filter(F.col("degree") < k).select("id")
         if d.isEmpty():
             break
@@ -138,7 +138,7 @@ def k_core(edges: DataFrame, k: int, max_rounds: int = 1000) -> DataFrame:
     return e
 
 
-def core_numbers(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def core_numbers(edges: DataFrame) -> DataFrame:
     """Core number of every node by h-index iteration (Lu et al. 2016):
     start from the degree and replace each value by the h-index of the
     neighbours' values until nothing changes.
@@ -149,7 +149,7 @@ def core_numbers(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
     e = canonical(edges).filter(F.col("src") != F.col("dst"))
     adj = cut_lineage(both_ways(e))
     c = cut_lineage(degrees(e).select("id", F.col("degree").alias("c")))
-    for _ in range(max_rounds):
+    while True:
         hist = (adj.join(c.select(F.col("id").alias("b"), F.col("c").alias("cb")), "b")
                 .groupBy(F.col("a").alias("id"), "cb").agg(F.count(F.lit(1)).alias("m")))
         w = (Window.partitionBy("id").orderBy(F.desc("cb"))
@@ -208,14 +208,15 @@ def distance_summary(paths: DataFrame) -> DataFrame:
     return s.crossJoin(avg)
 
 
-def closeness(paths: DataFrame) -> DataFrame:
-    """Closeness ``(r-1)/sum d * (r-1)/(n-1)`` with r = reachable nodes
-    (incl. itself) and n = all nodes (component-scaled form)."""
+def closeness(paths: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+    """Closeness ``(r-1)/sum d * (r-1)/(n-1)`` of every source, with r =
+    reachable nodes (incl. itself) and n = rows of ``nodes`` (the sources if
+    not given); 0 for an isolated node or a single one."""
     per = paths.groupBy(F.col("source").alias("id")).agg(
         F.count(F.lit(1)).alias("r"), F.sum("dist").alias("tot"))
-    n = per.agg(F.count(F.lit(1)).alias("_n"))
-    c = F.when(F.col("tot") > 0, (F.col("r") - 1) / F.col("tot")
-               * ((F.col("r") - 1) / (F.col("_n") - 1))).otherwise(0.0)
+    n = (per if nodes is None else nodes).agg(F.count(F.lit(1)).alias("_n"))
+    c = F.coalesce(F.try_divide(F.col("r") - 1, F.col("tot"))
+                   * F.try_divide(F.col("r") - 1, F.col("_n") - 1), F.lit(0.0))
     return attach_row(per, n).select("id", c.alias("closeness"))
 
 
@@ -225,7 +226,7 @@ def eigenvector(edges: DataFrame, max_iter: int = 100, tol: float = 1e-6) -> Dat
     adj = cut_lineage(both_ways(canonical(edges)).filter(F.col("a") != F.col("b")))
     nodes = nodes_of(edges)
     n = nodes.count()
-    x = cut_lineage(nodes.select("id", F.lit(1.0 / n).alias("x")))
+    x = cut_lineage(nodes.select("id", F.lit(1.0 / max(n, 1)).alias("x")))
     for _ in range(max_iter):
         s = (adj.join(x.select(F.col("id").alias("b"), "x"), "b")
              .groupBy(F.col("a").alias("id")).agg(F.sum("x").alias("s")))
@@ -236,8 +237,10 @@ def eigenvector(edges: DataFrame, max_iter: int = 100, tol: float = 1e-6) -> Dat
             "id", (F.col("y") / F.col("_nrm")).alias("x"), "x_prev"))
         err = nxt.agg(F.sum(F.abs(F.col("x") - F.col("x_prev")))).first()[0]
         x = nxt.select("id", "x")
-        if err < n * tol:
+        if err is None or err < n * tol:
             break
+    else:
+        raise RuntimeError(f"no convergence in {max_iter} iterations")
     return x.withColumnRenamed("x", "eigenvector")
 
 
@@ -300,6 +303,8 @@ def pagerank(edges: DataFrame, graph_id: str | None = None, weight: str | None =
         active = nxt.filter(~F.col("done")).drop("done")
         if active.isEmpty():
             break
+    else:
+        raise RuntimeError(f"no convergence in {max_iter} iterations")
     out = active
     for d in done_parts:
         out = out.unionByName(d)
@@ -340,13 +345,13 @@ def bipartite(df: DataFrame, left: str, right: str, weight: str | None = None):
     return e, nodes
 
 
-def greedy_matching(edges: DataFrame, weight: str = "weight", max_rounds: int = 1000) -> DataFrame:
+def greedy_matching(edges: DataFrame, weight: str = "weight") -> DataFrame:
     """Greedy maximal matching: each round matches every edge that is
     the best (weight, then ids) edge of both of its endpoints, then drops
     the matched nodes."""
     e = cut_lineage(edges.select("src", "dst", F.col(weight).cast("double").alias("w")))
     matched = []
-    for _ in range(max_rounds):
+    while True:
         if e.isEmpty():
             break
         # best edge per endpoint as partial aggregates (a hub's edges are
@@ -419,7 +424,7 @@ def betweenness(edges: DataFrame, sources: DataFrame | None = None,
             .select("id", (F.coalesce("b", F.lit(0.0)) * scale).alias("betweenness")))
 
 
-def clique_communities(edges: DataFrame, k: int = 3, max_rounds: int = 1000) -> DataFrame:
+def clique_communities(edges: DataFrame, k: int = 3) -> DataFrame:
     """K-clique percolation: k-cliques sharing k-1 nodes form one
     community.  Adjacent cliques are never paired up: cliques and their
     (k-1)-subsets form a bipartite graph whose connected components are found
@@ -433,7 +438,7 @@ def clique_communities(edges: DataFrame, k: int = 3, max_rounds: int = 1000) ->
         lambda i: F.array_join(F.filter("nodes", lambda x, j: j != i), ","))).alias("sub"))
     subs = cut_lineage(subs)
     lab = cl.select("cid", F.col("cid").alias("label"))
-    for _ in range(max_rounds):
+    while True:
         sl = (subs.join(lab, "cid").groupBy("sub").agg(F.min("label").alias("sl")))
         new = (subs.join(sl, "sub").groupBy("cid").agg(F.min("sl").alias("nl"))
                .join(lab, "cid").select("cid", F.least("label", "nl").alias("label"),

@@ -302,9 +302,7 @@ def describe(df: DataFrame, cols, exact: bool = True) -> DataFrame:
     stats = []
     for c in cols:
         x = F.col(c).cast("double")
-        # exact decimal sum, so the mean does not depend on summation order
-        mean = F.sum(x.cast("decimal(38,12)")).cast("double") / F.count(x)
-        stats += [F.count(x).cast("double").alias(f"{c}|count"), mean.alias(f"{c}|mean"),
+        stats += [F.count(x).cast("double").alias(f"{c}|count"), F.avg(x).alias(f"{c}|mean"),
                   F.stddev_samp(x).alias(f"{c}|std"), F.min(x).alias(f"{c}|min"),
                   F.max(x).alias(f"{c}|max")]
         if not exact:
@@ -413,20 +411,22 @@ def classification_report(df: DataFrame, y: str, p: str) -> DataFrame:
     t = t.withColumn("f1", f1)
     tot = t.agg(
         F.lit(-1).cast(t.schema["cls"].dataType).alias("cls"),
-        (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("precision"),
-        (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("recall"),
+        F.try_divide(F.sum(F.col("precision") * F.col("support")), F.sum("support")).alias("precision"),
+        F.try_divide(F.sum(F.col("recall") * F.col("support")), F.sum("support")).alias("recall"),
         F.sum("support").alias("support"),
-        (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("f1"))
+        F.try_divide(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("f1"))
     return t.unionByName(tot)
 
 
 def batched_accuracy(df: DataFrame, y: str, p: str, key: str, batch: int = 2000) -> DataFrame:
-    """Accuracy per key-range batch (``floor(key / batch)``) and their mean.
+    """Accuracy per batch of ``batch`` consecutive rows in the order of ``key``
+    (unique), and their mean.
 
-    Batches come from key arithmetic, not a global row number, so no step
-    needs a single ordered partition.
+    Row positions come from ``dense_index``, so no step needs a single ordered
+    partition.
     """
-    per = (df.groupBy(F.floor(F.col(key) / batch).alias("batch"))
+    rows = dense_index(df.select(F.col(key).alias("_key"), y, p), "_key", "_at")
+    per = (rows.groupBy(F.floor(F.col("_at") / batch).alias("batch"))
            .agg(F.avg((F.col(y) == F.col(p)).cast("double")).alias("acc")))
     return per.agg(F.count(F.lit(1)).alias("batches"), F.avg("acc").alias("mean_acc"))
 
@@ -444,7 +444,7 @@ def lag_cols(df: DataFrame, series, order: str, cols, k: int = 1) -> DataFrame:
 
 def log_return(df: DataFrame, series, order: str, x: str, name="log_return") -> DataFrame:
     w = _sw(series, order)
-    return df.withColumn(name, F.ln(F.col(x) / F.lag(x, 1).over(w)))
+    return df.withColumn(name, F.ln(F.try_divide(F.col(x), F.lag(x, 1).over(w))))
 
 
 def seasonal_diff(df: DataFrame, series, order: str, x: str, period: int = 12,

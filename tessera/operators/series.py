@@ -53,7 +53,8 @@ def box_cox_best(grid: DataFrame, series="series_id") -> DataFrame:
 
 def acf(df: DataFrame, series="series_id", pos="pos", x="x", lags: int = 50) -> DataFrame:
     """Autocorrelation ``sum (x_t - m)(x_{t+k} - m) / sum (x_t - m)^2``
-    for k = 0..lags with the 95 % band ``1.96 / sqrt(n)``."""
+    for k = 0..lags with the 95 % band ``1.96 / sqrt(n)``; null for a
+    constant series."""
     s = [series] if isinstance(series, str) else list(series)
     st = df.groupBy(*s).agg(F.avg(x).alias("_m"), F.count(F.lit(1)).alias("_n"))
     c = df.join(st, s).select(*s, pos, (F.col(x) - F.col("_m")).alias("_c"), "_n")
@@ -66,16 +67,17 @@ def acf(df: DataFrame, series="series_id", pos="pos", x="x", lags: int = 50) ->
     num = (a.join(b, s + ["_q"])
            .groupBy(*s, "lag").agg(F.sum(F.col("_a") * F.col("_b")).alias("_num"),
                                    F.first("_n").alias("_n")))
-    return num.join(den, s).select(*s, "lag", (F.col("_num") / F.col("_den")).alias("acf"),
+    return num.join(den, s).select(*s, "lag", F.try_divide("_num", "_den").alias("acf"),
                                    (1.96 / F.sqrt("_n")).alias("band"))
 
 
 def t_test(df: DataFrame, series="series_id", x="resid") -> DataFrame:
-    """One-sample t statistic of the mean against 0 (sample sd)."""
+    """One-sample t statistic of the mean against 0 (sample sd); null
+    for a constant or a single value."""
     s = [series] if isinstance(series, str) else list(series)
     return df.groupBy(*s).agg(
         F.count(x).alias("n"),
-        (F.avg(x) / (F.stddev_samp(x) / F.sqrt(F.count(x)))).alias("t"))
+        F.try_divide(F.avg(x), F.try_divide(F.stddev_samp(x), F.sqrt(F.count(x)))).alias("t"))
 
 
 # Fixed value: asymptotic 5 % critical value of the Dickey-Fuller test with

@@ -118,13 +118,15 @@ def score(df: DataFrame, y: str, p: str, metric: str) -> DataFrame:
 
 def min_max(df: DataFrame, cols, lo: float = 0.0, hi: float = 1.0):
     """Scale to [lo, hi]; returns the scaled frame and the one-row
-    ``(col_min, col_max)`` table needed by ``inverse_min_max``."""
+    ``(col_min, col_max)`` table needed by ``inverse_min_max``.  A constant
+    column becomes ``lo``."""
     mm = df.agg(*[F.min(c).alias(f"{c}_min") for c in cols],
                 *[F.max(c).alias(f"{c}_max") for c in cols])
     j = attach_row(df, mm)
     out = j.select(*[c for c in df.columns if c not in cols], *[
-        (F.lit(lo) + (F.col(c) - F.col(f"{c}_min")) / (F.col(f"{c}_max") - F.col(f"{c}_min"))
-         * (hi - lo)).alias(c) for c in cols])
+        F.when(F.col(c).isNotNull(), F.lit(lo) + F.coalesce(F.try_divide(
+            F.col(c) - F.col(f"{c}_min"), F.col(f"{c}_max") - F.col(f"{c}_min")), F.lit(0.0))
+            * (hi - lo)).alias(c) for c in cols])
     return out, mm
 
 

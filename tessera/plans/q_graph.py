@@ -93,7 +93,9 @@ def _kcore_sql(k=4, rounds=40):
                f"GROUP BY id HAVING count(*) < {k}")
         ctes.append((f"c{i + 1}", f"SELECT src, dst FROM c{i} WHERE src NOT IN ({low}) "
                                   f"AND dst NOT IN ({low})"))
-    return _sql("copurchase", ctes, f"SELECT src, dst FROM c{rounds}")
+    return _sql("copurchase", ctes, f"SELECT src, dst FROM c{rounds} WHERE CASE WHEN "
+                f"(SELECT count(*) FROM c{rounds}) <> (SELECT count(*) FROM c{rounds - 1}) "
+                f"THEN error('more rounds needed') ELSE true END")
 
 
 @query("G4_k_core", _kcore_sql)
@@ -111,7 +113,9 @@ SELECT p.id, least(p.c, hh.h) AS c FROM h{i} p JOIN (
                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS atleast
     FROM (SELECT adj.a AS id, h.c AS cb, count(*) AS m FROM adj JOIN h{i} h ON adj.b = h.id
           GROUP BY 1, 2) x) y GROUP BY id) hh ON p.id = hh.id"""))
-    return _sql("copurchase", ctes, f"SELECT id, CAST(c AS BIGINT) AS core FROM h{rounds}")
+    return _sql("copurchase", ctes, f"SELECT id, CAST(c AS BIGINT) AS core FROM h{rounds} WHERE CASE WHEN "
+                f"(SELECT sum(c) FROM h{rounds}) <> (SELECT sum(c) FROM h{rounds - 1}) "
+                f"THEN error('more rounds needed') ELSE true END")
 
 
 @query("G4_core_numbers", _core_sql)
@@ -120,22 +124,22 @@ def g4b(spark, sf):
 
 
 def _bfs_sql(body, extra=""):
+    """Breadth-first search from the sources; ends when no node is new."""
     return f"""WITH RECURSIVE e AS (SELECT src, dst FROM ({VIEWS['copurchase_sparse']}) v
                                     WHERE src <> dst),
 und AS (SELECT src AS a, dst AS b FROM e UNION SELECT dst, src FROM e),
 nodes AS (SELECT DISTINCT a AS id FROM und),
-walk(source, id, dist) AS (
-  SELECT id, id, 0 FROM nodes
+paths(source, id, dist) USING KEY (source, id) AS (
+  SELECT id, id, 0 FROM nodes JOIN part ON p_partkey = id AND p_size = 50
   UNION
-  SELECT w.source, u.b, w.dist + 1 FROM walk w JOIN und u ON w.id = u.a
-  WHERE w.dist + 1 < (SELECT count(*) FROM nodes)),
-paths AS (SELECT source, id, min(dist) AS dist FROM walk GROUP BY 1, 2){extra}
+  SELECT w.source, u.b, w.dist + 1 FROM paths w JOIN und u ON w.id = u.a
+  LEFT JOIN recurring.paths r ON r.source = w.source AND r.id = u.b WHERE r.id IS NULL){extra}
 {body}"""
 
 
 @query("G7_shortest_paths", _bfs_sql("SELECT source, id, dist FROM paths"))
 def g7(spark, sf):
-    return G.shortest_paths(T.copurchase_sparse(spark, sf))
+    return G.shortest_paths(T.copurchase_sparse(spark, sf), T.path_sources(spark, sf))
 
 
 @query("G8_distance_summary", _bfs_sql("""
@@ -147,7 +151,7 @@ SELECT max(ecc) AS diameter, min(ecc) AS radius,
 FROM ecc""", """,
 ecc AS (SELECT source AS id, max(dist) AS ecc FROM paths GROUP BY 1)"""))
 def g8(spark, sf):
-    s = G.distance_summary(G.shortest_paths(T.copurchase_sparse(spark, sf)))
+    s = G.distance_summary(G.shortest_paths(T.copurchase_sparse(spark, sf), T.path_sources(spark, sf)))
     return s.withColumn("avg_path_length", r6("avg_path_length"))
 
 
@@ -155,9 +159,10 @@ def g8(spark, sf):
 SELECT id, round(CASE WHEN tot > 0 THEN (r - 1) / tot * ((r - 1) / (n - 1)) ELSE 0.0 END, 6)
          AS closeness
 FROM (SELECT source AS id, count(*) AS r, sum(dist) AS tot FROM paths GROUP BY 1) p,
-     (SELECT count(DISTINCT source) AS n FROM paths) c"""))
+     (SELECT count(*) AS n FROM nodes) c"""))
 def g9(spark, sf):
-    return G.closeness(G.shortest_paths(T.copurchase_sparse(spark, sf))).withColumn(
+    e = T.copurchase_sparse(spark, sf)
+    return G.closeness(G.shortest_paths(e, T.path_sources(spark, sf)), G.nodes_of(e)).withColumn(
         "closeness", r6("closeness"))
 
 
@@ -260,7 +265,7 @@ m AS (SELECT dg.id, CAST(dg.d AS DOUBLE) AS degree, clo.c AS closeness
 def g15(spark, sf):
     e = T.copurchase_sparse(spark, sf)
     d = G.degrees(e).select("id", F.col("degree").cast("double").alias("degree"))
-    c = G.closeness(G.shortest_paths(e))
+    c = G.closeness(G.shortest_paths(e, T.path_sources(spark, sf)), G.nodes_of(e))
     m = d.join(c, "id")
     return m.agg(r6(F.corr("degree", "closeness")).alias("corr")).select(
         F.lit("degree").alias("a"), F.lit("closeness").alias("b"), "corr")
@@ -297,9 +302,10 @@ def g21(spark, sf):
                           "quad_class")
 
 
-def _betweenness_sql(levels=30):
+def _betweenness_sql(levels=16):
     ctes = [ADJ, ("nodes", "SELECT DISTINCT a AS id FROM adj"),
-            ("lv0", "SELECT id AS s, id AS v, 1.0 AS sigma FROM nodes"),
+            ("lv0", "SELECT id AS s, id AS v, 1.0 AS sigma FROM nodes JOIN part ON p_partkey = id "
+                    "AND p_size = 50"),
             ("vis0", "SELECT s, v FROM lv0")]
     for i in range(levels):
         ctes += [
@@ -320,7 +326,8 @@ def _betweenness_sql(levels=30):
                        LEFT JOIN ct{i} c ON c.s = p.s AND c.v = p.v"""),
         ]
     alld = " UNION ALL ".join(f"SELECT v, delta FROM d{i}" for i in range(1, levels + 1))
-    body = f"""SELECT n.id, round(coalesce(sum(d.delta), 0.0)
+    body = f"""SELECT n.id, round(CASE WHEN (SELECT count(*) FROM lv{levels}) > 0 THEN error('more levels needed')
+                  ELSE coalesce(sum(d.delta), 0.0) END
                   / (((SELECT count(*) FROM nodes) - 1) * ((SELECT count(*) FROM nodes) - 2)), 6)
                   AS betweenness
                FROM nodes n LEFT JOIN ({alld}) d ON d.v = n.id GROUP BY n.id"""
@@ -329,7 +336,7 @@ def _betweenness_sql(levels=30):
 
 @query("G10_betweenness", _betweenness_sql)
 def g10(spark, sf):
-    return G.betweenness(T.copurchase_sparse(spark, sf)).withColumn(
+    return G.betweenness(T.copurchase_sparse(spark, sf), T.path_sources(spark, sf)).withColumn(
         "betweenness", r6("betweenness"))
 
 
@@ -348,7 +355,9 @@ def _communities_sql(rounds=30):
                             f"GROUP BY s.cid, l.label"),
         ]
     body = f"""SELECT DISTINCT l.label AS community, t.id FROM cl
-               JOIN lab{rounds} l ON cl.cid = l.cid, unnest([cl.p, cl.q, cl.r]) AS t(id)"""
+               JOIN lab{rounds} l ON cl.cid = l.cid, unnest([cl.p, cl.q, cl.r]) AS t(id)
+               WHERE CASE WHEN EXISTS (SELECT 1 FROM lab{rounds} a JOIN lab{rounds - 1} b ON a.cid = b.cid
+                                       WHERE a.label <> b.label) THEN error('more rounds needed') ELSE true END"""
     return _sql("copurchase_sparse", ctes, body)
 
 

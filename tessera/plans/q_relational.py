@@ -228,9 +228,10 @@ def a13(spark, sf):
 
 
 @query("A15_batched_accuracy", with_views(["doc_class"], f"""
-WITH b AS (SELECT floor(doc_id / 100) AS batch,
-                  avg(CASE WHEN quality = {_PRED} THEN 1.0 ELSE 0.0 END) AS acc
-           FROM doc_class GROUP BY 1)
+WITH r AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM doc_class),
+b AS (SELECT pos // 100 AS batch,
+             avg(CASE WHEN quality = {_PRED} THEN 1.0 ELSE 0.0 END) AS acc
+      FROM r GROUP BY 1)
 SELECT count(*) AS batches, round(avg(acc), 6) AS mean_acc FROM b"""))
 def a15(spark, sf):
     d = T.doc_class(spark, sf).withColumn("pred", F.expr(_PRED))

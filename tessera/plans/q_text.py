@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text as TX
+from tessera.operators import relational as R
 from tessera.operators import summarize as SM
 from tessera.operators import text as TO
 from tessera.plans.catalog import query
@@ -385,9 +386,10 @@ def s6(spark, sf):
     from tessera.operators import topics as TP
     _, _, w = _doc_tfidf_log2(spark, sf)
     ids = T.table(spark, sf, "documents").select("doc_id")
-    # consecutive document ids: a sorted range partitioning, not one task
-    pairs = (ids.withColumn("b", F.lead("doc_id").over(Window.orderBy("doc_id")))
-             .filter(F.col("b").isNotNull()).select(F.col("doc_id").alias("a"), "b"))
+    # consecutive document ids by position: range partitioning, not one task
+    at = R.dense_index(ids, "doc_id", "pos")
+    pairs = (at.select(F.col("doc_id").alias("a"), (F.col("pos") + 1).alias("pos"))
+             .join(at.select(F.col("doc_id").alias("b"), "pos"), "pos").select("a", "b"))
     return TP.cosine_distance(w, pairs).withColumn("d", r6("d"))
 
 

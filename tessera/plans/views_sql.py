@@ -18,21 +18,12 @@ VIEWS = {
              JOIN customer c ON o.o_custkey = c.c_custkey
              JOIN supplier s ON l.l_suppkey = s.s_suppkey""",
     "copurchase": """
-        SELECT DISTINCT a.part AS src, b.part AS dst
-        FROM (SELECT DISTINCT o.o_custkey AS grp, l.l_partkey AS part
-              FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-              WHERE l.l_partkey < 30) a
-        JOIN (SELECT DISTINCT o.o_custkey AS grp, l.l_partkey AS part
-              FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-              WHERE l.l_partkey < 30) b
-          ON a.grp = b.grp AND a.part < b.part""",
+        SELECT DISTINCT least(a.l_partkey, b.l_partkey) AS src, greatest(a.l_partkey, b.l_partkey) AS dst
+        FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1
+        WHERE a.l_partkey <> b.l_partkey""",
     "copurchase_sparse": """
-        SELECT DISTINCT a.part AS src, b.part AS dst
-        FROM (SELECT DISTINCT l_orderkey AS grp, l_partkey AS part FROM lineitem
-              WHERE l_partkey < 60) a
-        JOIN (SELECT DISTINCT l_orderkey AS grp, l_partkey AS part FROM lineitem
-              WHERE l_partkey < 60) b
-          ON a.grp = b.grp AND a.part < b.part""",
+        SELECT DISTINCT src, dst FROM (SELECT min(l_partkey) AS src, max(l_partkey) AS dst
+                                       FROM lineitem GROUP BY l_orderkey) t WHERE src <> dst""",
     "cust_supp": """
         SELECT o.o_custkey AS cust, l.l_suppkey AS supp, count(*) AS weight
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey

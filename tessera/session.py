@@ -1,8 +1,8 @@
 """Session construction and lineage control.
 
 Iterative operators (graph peeling, PageRank, BFS, greedy summaries) cut
-their lineage with reliable ``DataFrame.checkpoint`` into the shared folder
-named by ``spark.checkpoint.dir``.  On a cluster that setting must be given;
+their lineage by writing a parquet table into the shared folder named by
+``spark.checkpoint.dir`` and reading it back.  On a cluster that setting must be given;
 a machine-local temporary folder is only created for ``local[...]`` masters
 (tests, benchmarks on one host).
 """
@@ -19,9 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # broadcast decisions only from measured (runtime) sizes, never from
-    # static estimates; explicit hints remain for tables bounded by design
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # small sides are broadcast by Spark's own check of their size, estimated
+    # before and measured during the run
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -56,10 +55,7 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to an existing session (AQE, skew
     join, size-checked broadcast) and make sure lineage can be cut."""
     for k, v in RUNTIME_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # a static or locked setting: keep the session's
-            pass
+        spark.conf.set(k, v)
     checkpoint_dir(spark)
     return spark
 
@@ -77,7 +73,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError(
                 "spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-",

@@ -47,38 +47,34 @@ def actor_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _cust_parts(spark, sf_dir, max_part):
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return (li.filter(F.col("l_partkey") < max_part)
-            .join(o, li.l_orderkey == o.o_orderkey)
-            .select(F.col("o_custkey").alias("grp"), F.col("l_partkey").alias("part"))
-            .distinct())
-
-
-def _pair_graph(groups: DataFrame) -> DataFrame:
-    a, b = groups.alias("a"), groups.alias("b")
-    return (a.join(b, (F.col("a.grp") == F.col("b.grp")) & (F.col("a.part") < F.col("b.part")))
-            .select(F.col("a.part").alias("src"), F.col("b.part").alias("dst"))
-            .distinct())
+def _pairs(rows: DataFrame) -> DataFrame:
+    """Undirected edges, each once, smaller part first; no loops."""
+    return (rows.filter(F.col("a") != F.col("b"))
+            .select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct())
 
 
 def copurchase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense undirected graph: parts (key < 30) bought by the same customer.
-
-    The part-key filter bounds every group to < 30 distinct parts, so the
-    per-customer pair step emits at most 435 rows per customer.
-    """
-    return _pair_graph(_cust_parts(spark, sf_dir, 30))
+    """Undirected graph of parts on consecutive lines of an order, over all of
+    ``lineitem``: at most one edge per line, so it grows in proportion to it."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    nxt = li.select("l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"), F.col("l_partkey").alias("b"))
+    return _pairs(li.withColumnRenamed("l_partkey", "a").join(nxt, ["l_orderkey", "l_linenumber"]))
 
 
 def copurchase_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sparser graph: parts (key < 60) appearing in the same order."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
-    g = (li.filter(F.col("l_partkey") < 60)
-         .select(F.col("l_orderkey").alias("grp"), F.col("l_partkey").alias("part"))
-         .distinct())
-    return _pair_graph(g)
+    """Sparser graph: the parts with the least and the greatest key of each
+    order, over all of ``lineitem``: at most one edge per order."""
+    li = table(spark, sf_dir, "lineitem")
+    return _pairs(li.groupBy("l_orderkey").agg(F.min("l_partkey").alias("a"), F.max("l_partkey").alias("b")))
+
+
+def path_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of the path queries, their documented parameter: parts of size 50
+    (about one in fifty) that are nodes of ``copurchase_sparse``.  Paths from
+    every node would be a row for each pair of nodes."""
+    e = copurchase_sparse(spark, sf_dir)
+    parts = table(spark, sf_dir, "part").filter("p_size = 50").select(F.col("p_partkey").alias("id"))
+    return e.select(F.explode(F.array("src", "dst")).alias("id")).distinct().join(parts, "id", "left_semi")
 
 
 def cust_supp(spark: SparkSession, sf_dir: str) -> DataFrame:
