@@ -7,7 +7,6 @@ just those, so further columns (whatever their names) never reach the work.
 from __future__ import annotations
 
 import pickle
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,13 +19,6 @@ from pyspark.sql.types import StructType
 
 from tessera.session import cut_lineage
 
-#: A word is a run of anything but the six ASCII white-space characters.
-WORD = re.compile("[^\x20\x09-\x0d]+")
-
-#: Lower-cases A-Z and nothing else.
-ASCII_LOWER = {i: i + 32 for i in range(65, 91)}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -98,16 +90,12 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 class ShingleHasher:
-    """64-bit hashes of the w-word shingles of a text, whole texts always.
-
-    Word hashes are remembered in a dictionary that is emptied when it holds
-    ``keep`` words, so memory stays bounded on any corpus.
-    """
+    """64-bit hashes of the w-word shingles of a text, whole texts always."""
 
-    def __init__(self, width: int, words: Callable[[str], list[str]], keep: int = 400_000):
+    def __init__(self, width: int, words: Callable[[str], list]):
         import xxhash
-        self.width, self.words, self.keep = width, words, keep
-        self.hash, self.seen = xxhash.xxh64_intdigest, {}
+        self.width, self.words, self.hash = width, words, xxhash.xxh64_digest
+        self.factors = mix64(np.arange(1, width + 1, dtype=np.uint64)) | np.uint64(1)
 
     def __call__(self, text: str | None) -> np.ndarray:
         """Hashes in text order, repeats included; one of the whole sequence if
@@ -115,25 +103,18 @@ class ShingleHasher:
         ws = self.words(text) if text else []
         if not ws:
             return np.empty(0, np.uint64)
-        seen = self.seen
-        ids = list(map(seen.get, ws))
-        if None in ids:
-            if len(seen) > self.keep:
-                seen.clear()
-            h = self.hash
-            ids = [h(w) if i is None else i for i, w in zip(ids, ws)]
-            seen.update(zip(ws, ids))
-        a = np.array(ids, np.uint64)
+        a = np.frombuffer(b"".join(map(self.hash, ws)), ">u8").astype(np.uint64)
         k = min(self.width, len(a))
         m = len(a) - k + 1
-        out = np.full(m, k, np.uint64)
-        for j in range(k):
-            out = mix64(out + a[j:j + m] + np.uint64(0x9E3779B97F4A7C15))
-        return out
+        out = a[:m] * self.factors[0] + np.uint64(k)
+        for j in range(1, k):
+            out += a[j:j + m] * self.factors[j]
+        return mix64(out)
 
 
-def ascii_words(text: str) -> list[str]:
-    return WORD.findall(text.translate(ASCII_LOWER) if not text.isascii() else text.lower())
+def ascii_words(text: str) -> list[bytes]:
+    """Runs of anything but the six ASCII white-space characters, A-Z lower-cased."""
+    return text.encode().lower().split()
 
 
 def connected(edges: DataFrame) -> DataFrame:

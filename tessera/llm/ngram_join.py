@@ -95,10 +95,10 @@ def block_keys(hashes: np.ndarray, threshold: Threshold, layouts: int = 6) -> np
     for band, k, spare in threshold.bands(len(hashes)):
         for s in range(layouts):
             tag = _U((band << 40) | (s << 32))
-            h = mix64(hashes ^ mix64(np.array([s + 1], _U) * _U(0xD6E8FEB86659FD93)))
-            block = ((h >> _U(32)) % _U(k)).astype(np.int64)
+            h = hashes * _U(0xD6E8FEB86659FD93 + 2 * s)     # the hashes are mixed already
+            block = (((h >> _U(40)) * _U(k)) >> _U(24)).astype(np.int64)
             parity = np.zeros(k, _U)
-            np.bitwise_xor.at(parity, block, mix64(h))
+            np.bitwise_xor.at(parity, block, h ^ (h >> _U(31)))
             full = np.bincount(block, minlength=k) > 0
             enough = k - int(full.sum()) <= spare
             which = np.flatnonzero(full) if enough or s < layouts - 1 else np.arange(k)
@@ -119,9 +119,10 @@ def bit_sketch(hashes: np.ndarray, threshold: Threshold) -> bytes:
 
 def set_class(hashes: np.ndarray) -> int:
     """64-bit hash of a set."""
-    mixed = mix64(hashes)
-    return int(mix64(np.array([np.bitwise_xor.reduce(mixed)], _U) + mix64(mixed ^ (mixed << _U(7))).sum(dtype=_U)
-                     + _U(len(hashes))).view(np.int64)[0])
+    spread = hashes * _U(0x9E3779B97F4A7C15)
+    both = np.array([np.bitwise_xor.reduce(spread ^ (spread >> _U(29))), (spread >> _U(7)).sum(dtype=_U), len(hashes)], _U)
+    both = mix64(both)
+    return int(mix64(both[:1] + (both[1:2] ^ (both[2:] << _U(1)))).view(np.int64)[0])
 
 
 def _hasher(width: int, words: Callable):
