@@ -117,18 +117,26 @@ def ascii_words(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+def _stars(e: DataFrame) -> bool:
+    """Whether each node is the larger end of one edge, or the smaller end of
+    some, but not both."""
+    ends = e.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.lit(0).alias("up")),
+                                      F.struct(F.col("b").alias("id"), F.lit(1).alias("up")))).alias("x")).select("x.*")
+    odd = ends.groupBy("id").agg(F.sum("up").alias("ups"), F.min("up").alias("lo")).where("ups > 1 or (ups = 1 and lo = 0)")
+    return odd.isEmpty()
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(id, root): smallest id reachable over the undirected ``edges`` (a, b).
 
     Alternating large-star and small-star rounds, each an aggregation by node;
     a hub of any degree is only a grouping key whose minimum combines map-side.
-    Lineage is cut each round by a written table.  Ends when a round changes
-    nothing.
+    Lineage is cut each round by a written table.  Ends when every component is
+    a star around its least node.
     """
     e = cut_lineage(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                     .where("a <> b").distinct())
-    spark, seen = e.sparkSession, None
-    while True:
+    while not _stars(e):
         # large star: every larger neighbour of u is tied to u's least neighbour (or u)
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
@@ -136,14 +144,8 @@ def connected(edges: DataFrame) -> DataFrame:
                .where("a <> b").distinct())
         # small star: u and its smaller neighbours are tied to the least of them
         low = big.groupBy("b").agg(F.min("a").alias("m"))
-        small = (big.join(low, "b").select(F.col("m").alias("x"), "a", "b"))
+        small = big.join(low, "b").select(F.col("m").alias("x"), "a", "b")
         e = cut_lineage(small.select(F.col("x").alias("a"), F.explode(F.array("a", "b")).alias("b"))
                         .where("a <> b").distinct())
-        now = e.agg(F.count("*").alias("n"),
-                    F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0)).alias("h"),
-                    F.count_distinct("b").alias("d")).first()
-        if seen == now and now.n == now.d:
-            break
-        seen = now
     return e.select(F.col("b").alias("id"), F.col("a").alias("root")).union(
         e.select(F.col("a").alias("id"), F.col("a").alias("root")).distinct())

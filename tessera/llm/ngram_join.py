@@ -10,7 +10,7 @@ threshold bounds that difference by a share of the sizes.
    a linked pair agrees on a block that is not empty (pigeonhole).
 2. Blocks are the join keys.  They travel in packed arrays, many to a row, and
    only keys that two different sets share leave the tasks that meet them.
-3. Candidates of a key are first held against the key's least set only, and the
+3. Candidates of a key are first held against a few of its sets only, and the
    links found are closed into components.  Then the pairs of a key whose
    components still differ are compared, large keys in blocks.  Comparing means
    the Hamming bound of the sets' bit sketches, then the exact sets.
@@ -109,9 +109,10 @@ def block_keys(hashes: np.ndarray, threshold: Threshold, layouts: int = 6) -> np
 
 
 def bit_sketch(hashes: np.ndarray, threshold: Threshold) -> bytes:
-    """Parity of the set's hashes in a power of two of bits, four times what two
-    linked sets may differ by; halves fold onto each other by XOR."""
-    need = 4 * len(hashes) * (threshold.den - threshold.num) // threshold.num
+    """Parity of the set's hashes in a power of two of bits, 32 times what two
+    linked sets may differ by, so that few differences cancel; halves fold onto
+    each other by XOR."""
+    need = 32 * len(hashes) * (threshold.den - threshold.num) // threshold.num
     bits = max(64, 1 << max(0, need - 1).bit_length())
     odd = np.bincount((mix64(hashes) & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
@@ -316,13 +317,16 @@ def with_label(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
             .select(*rows.columns, F.coalesce("root", "cls").alias("label")))
 
 
-def unsettled(keys: DataFrame) -> DataFrame:
+def unsettled(keys: DataFrame, heads: int = 0) -> DataFrame:
     """Rows (key, cls, label) of keys whose classes lie in different components,
-    with the least class of the key and the number of its rows."""
-    heads = (keys.groupBy("key").agg(F.min("cls").alias("head"), F.min_by("label", "cls").alias("head_label"),
-                                     F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"))
+    with the number of the key's rows and, in ``heads`` random orders of the
+    classes, the key's first class and its component."""
+    first = [F.struct(F.min_by("cls", F.xxhash64("cls", F.lit(k))).alias("cls"),
+                      F.min_by("label", F.xxhash64("cls", F.lit(k))).alias("label")) for k in range(heads)]
+    found = (keys.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"),
+                                     F.array(*first).cast("array<struct<cls: bigint, label: bigint>>").alias("heads"))
              .where("lo <> hi").drop("lo", "hi"))
-    return keys.join(heads, "key")
+    return keys.join(found, "key")
 
 
 def remaining_pairs(rows: DataFrame, table: DataFrame, threshold: Threshold) -> DataFrame:
@@ -382,7 +386,7 @@ def remaining_pairs(rows: DataFrame, table: DataFrame, threshold: Threshold) ->
 
 
 def classes_and_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, num: int = 90,
-                      den: int = 100, words: Callable = ascii_words, rounds: int = 2):
+                      den: int = 100, words: Callable = ascii_words, heads: int = 6):
     """``members`` (id, n, cls), one row per input row, and ``links`` (a, b)
     between classes, enough of them to join every class to all it is linked
     with, directly or by way of others."""
@@ -394,20 +398,17 @@ def classes_and_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     first = belongs.where("cls is not null").groupBy("cls").agg(F.min("id").alias("id"))
     need = first.join(keys.select("cls").distinct(), "cls")
     table = cut_lineage(candidates_of(rows, need, width, words, threshold))
-    links, labels = None, None
-    for k in range(rounds + 1):
-        open_keys = unsettled(with_label(keys, labels))
-        if k < rounds:      # each key's least class against the others
-            pairs = open_keys.where("label <> head_label").select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct()
-            pairs = sketch_filter(pairs, table, threshold)
-        else:
-            pairs = remaining_pairs(open_keys, table, threshold)
-        found = cut_lineage(verified(pairs, table, width, words, threshold))
-        links = found if links is None else links.union(found)
-        labels = connected(links)
-        if k < rounds and keys.isEmpty():
-            break
-    return belongs, links, labels
+    # each key's heads against its other sets: enough to join most that belong together
+    near = (unsettled(with_label(keys, None), heads).select("cls", "label", F.explode("heads").alias("head"))
+            .where("label <> head.label")
+            .select(F.least("cls", "head.cls").alias("a"), F.greatest("cls", "head.cls").alias("b")).distinct())
+    links = cut_lineage(verified(sketch_filter(near, table, threshold), table, width, words, threshold))
+    labels = connected(links)
+    # then every pair of a key that is still apart
+    rest = remaining_pairs(unsettled(with_label(keys, labels)), table, threshold)
+    more = cut_lineage(verified(rest, table, width, words, threshold))
+    labels = connected(more.union(labels.select(F.col("id").alias("a"), F.col("root").alias("b"))))
+    return belongs, links.union(more), labels
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

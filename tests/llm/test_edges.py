@@ -246,5 +246,5 @@ def test_ngram_join_chunks(spark, monkeypatch):
     words = [f"w{k}" for k in range(300)]
     docs = [(k, " ".join(words[:k * 3] + ["x%d" % k] + words[k * 3:])) for k in range(40)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    got = ngram_join.components(df, rounds=0).collect()
+    got = ngram_join.components(df, heads=0).collect()
     assert {r.component_id for r in got} == {0}

@@ -98,10 +98,10 @@ def test_ngram_join_brute_force(spark, width, num):
 
 
 def test_ngram_join_remaining_pairs_alone(spark):
-    """Without the rounds by a key's least set, the block comparison finds all."""
+    """Without the comparison with a key's heads, the block comparison finds all."""
     docs = varied(6)
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    got = {r.id: (r.n_shingles, r.component_id) for r in ngram_join.components(df, rounds=0).collect()}
+    got = {r.id: (r.n_shingles, r.component_id) for r in ngram_join.components(df, heads=0).collect()}
     assert got == brute_components(docs, 3, 90, 100)
 
 
