@@ -288,12 +288,18 @@ def _s7_sql():
     return with_ctes(ctes, top_summary_body(3))
 
 
-@query("S7_frequency_summary", _s7_sql)
+def _every_document(sql):
+    """The oracle of a summarizer: one row per document, empty where nothing scores."""
+    return lambda: (f"SELECT d.doc_id, coalesce(s.summary, '') AS summary FROM documents d "
+                    f"LEFT JOIN ({sql()}) s ON d.doc_id = s.doc_id")
+
+
+@query("S7_frequency_summary", _every_document(_s7_sql))
 def s7(spark, sf):
     return SM.summarize_freq(_docs(spark, sf), n=3)
 
 
-@query("S8_textrank_summary", lambda: with_ctes(textrank_ctes(100), top_summary_body(3)))
+@query("S8_textrank_summary", _every_document(lambda: with_ctes(textrank_ctes(100), top_summary_body(3))))
 def s8(spark, sf):
     return SM.summarize_textrank(_docs(spark, sf), n=3)
 
@@ -318,8 +324,8 @@ ch AS (SELECT doc_id, sent_id, chunk, count(*) AS h, max(pos) - min(pos) + 1 AS
 SELECT doc_id, sent_id, max(CAST(h * h AS DOUBLE) / span) AS score FROM ch GROUP BY 1, 2"""
 
 
-@query("S14_luhn_summary", lambda: with_ctes(base_ctes("clean") + [("scores", LUHN_SCORES)],
-                                             top_summary_body(3)))
+@query("S14_luhn_summary", _every_document(lambda: with_ctes(
+    base_ctes("clean") + [("scores", LUHN_SCORES)], top_summary_body(3))))
 def s14(spark, sf):
     return SM.summarize_luhn(_docs(spark, sf), n=3)
 
@@ -438,20 +444,20 @@ def s1(spark, sf):
 from tessera.plans.text_sql import sumbasic_ctes, top_ratio_body  # noqa: E402
 
 
-@query("S12_ratio_summary", lambda: with_ctes(textrank_ctes(100), top_ratio_body(0.2)))
+@query("S12_ratio_summary", _every_document(lambda: with_ctes(textrank_ctes(100), top_ratio_body(0.2))))
 def s12(spark, sf):
     return SM.summarize_ratio(_docs(spark, sf), ratio=0.2)
 
 
 @query("S16_lexrank_summary",
-       lambda: with_ctes(textrank_ctes(100, weight="similarity"), top_summary_body(3)))
+       _every_document(lambda: with_ctes(textrank_ctes(100, weight="similarity"), top_summary_body(3))))
 def s16(spark, sf):
     return SM.summarize_lexrank(_docs(spark, sf), n=3)
 
 
-@query("S17_sumbasic_summary", lambda: with_ctes(sumbasic_ctes(3), """
+@query("S17_sumbasic_summary", _every_document(lambda: with_ctes(sumbasic_ctes(3), """
 SELECT s.doc_id, string_agg(s.sentence, ' ' ORDER BY s.sent_id) AS summary
-FROM pick3 p JOIN sents s ON s.doc_id = p.doc_id AND s.sent_id = p.sent_id GROUP BY 1"""))
+FROM pick3 p JOIN sents s ON s.doc_id = p.doc_id AND s.sent_id = p.sent_id GROUP BY 1""")))
 def s17(spark, sf):
     return SM.summarize_sumbasic(_docs(spark, sf), n=3)
 
@@ -482,8 +488,8 @@ LEFT JOIN kh ON u.doc_id = kh.doc_id AND u.sent_id = kh.sent_id
 LEFT JOIN ts ON u.doc_id = ts.doc_id LEFT JOIN mx ON u.doc_id = mx.doc_id"""
 
 
-@query("S13_feature_summary", lambda: with_ctes(base_ctes("clean") + [("scores", FEATURES)],
-                                                top_summary_body(5)))
+@query("S13_feature_summary", _every_document(lambda: with_ctes(
+    base_ctes("clean") + [("scores", FEATURES)], top_summary_body(5))))
 def s13(spark, sf):
     return SM.summarize_features(_docs(spark, sf), n=5)
 
