@@ -39,6 +39,8 @@ _U = np.uint64
 KEYS_PER_TASK = 2_000_000
 #: Sets of one key that are compared within one task at most.
 CHUNK = 2048
+#: Keys of at most so many sets have their pairs listed, without the sketches.
+SMALL = 16
 
 
 class Threshold:
@@ -329,12 +331,53 @@ def unsettled(keys: DataFrame, heads: int = 0) -> DataFrame:
     return keys.join(found, "key")
 
 
+def small_key_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of one key, of different components, for keys of at most
+    ``SMALL`` rows: each row meets the next ones of its key, whole batches at a
+    time; pairs that share several keys are merged."""
+    shape = arrow_schema("a long, b long")
+
+    def pairs(key, cls, label):
+        left, right = [], []
+        for d in range(1, SMALL):
+            same = key[d:] == key[:-d]
+            if not same.any():
+                break
+            ok = same & (label[d:] != label[:-d])
+            left.append(cls[:-d][ok])
+            right.append(cls[d:][ok])
+        if not left:
+            return
+        x, y = np.concatenate(left), np.concatenate(right)
+        order = np.lexsort((y, x))
+        x, y = x[order], y[order]
+        new = np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])) if len(x) else np.empty(0, bool)
+        if len(x):
+            yield pa.RecordBatch.from_arrays([pa.array(x[new]), pa.array(y[new])], schema=shape)
+
+    def run(batches):
+        held = [np.empty(0, np.int64)] * 3
+        for batch in batches:
+            held = [np.concatenate((h, c.to_numpy(zero_copy_only=False))) for h, c in zip(held, batch.columns)]
+            if len(held[0]) > 200_000:
+                cut = int(np.flatnonzero(held[0] != held[0][-1])[-1]) + 1 if (held[0] != held[0][-1]).any() else 0
+                yield from pairs(*[h[:cut] for h in held])
+                held = [h[cut:] for h in held]
+        yield from pairs(*held)
+
+    return (rows.select("key", "cls", "label").repartition("key").sortWithinPartitions("key", "cls")
+            .mapInArrow(run, "a long, b long").distinct())
+
+
 def remaining_pairs(rows: DataFrame, table: DataFrame, threshold: Threshold) -> DataFrame:
     """Pairs (a, b) of one key, of different components, whose sketches allow a link.
 
-    A key's rows are dealt by hash into chunks of about ``CHUNK``; each pair of
-    chunks is a group of its own, so no task gets a large key whole.
+    The rows of a key beyond ``SMALL`` are dealt by hash into chunks of about
+    ``CHUNK``; each pair of chunks is a group of its own, so no task gets a large
+    key whole, and only pairs that the sketches allow leave it.
     """
+    small = sketch_filter(small_key_pairs(rows.where(F.col("size") <= SMALL)), table, threshold)
+    rows = rows.where(F.col("size") > SMALL)
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
     own = F.pmod(F.xxhash64("cls"), chunks).cast("int")
     dealt = (rows.withColumn("chunks", chunks).withColumn("own", own)
@@ -382,7 +425,7 @@ def remaining_pairs(rows: DataFrame, table: DataFrame, threshold: Threshold) ->
                     h.append(v)
         yield from done()
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return small.union(dealt.mapInArrow(run, "a long, b long")).distinct()
 
 
 def classes_and_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, num: int = 90,

@@ -243,6 +243,7 @@ def test_embedding_chunks(spark, monkeypatch):
 
 def test_ngram_join_chunks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "CHUNK", 4)
+    monkeypatch.setattr(ngram_join, "SMALL", 1)
     words = [f"w{k}" for k in range(300)]
     docs = [(k, " ".join(words[:k * 3] + ["x%d" % k] + words[k * 3:])) for k in range(40)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
