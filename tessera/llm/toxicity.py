@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Shared, arrow_schema, factory, filter_rows, map_texts
+from tessera.llm.common import Shared, arrow_schema, bounded_sample, factory, filter_rows, map_texts
 
 #: Letters of the model; anything else is a boundary (0), other letters are 63.
 LETTERS = "abcdefghijklmnopqrstuvwxyzäöüßéèêëàâáçîïíìôóòûùúñœæ"
@@ -328,9 +328,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chars = CharModel(trigram_counts(docs, text_col))
     spark = docs.sparkSession
     shared = Shared(spark, chars)
-    chosen = (labels.where(labels[label_col].isin(0, 1) & labels[id_col].isNotNull() & ~held_out(labels[id_col]))
-              .select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("y"))
-              .orderBy(F.xxhash64("id"), "id", "y").limit(sample))
+    chosen = bounded_sample(
+        labels.where(labels[label_col].isin(0, 1) & labels[id_col].isNotNull() & ~held_out(labels[id_col]))
+        .select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("y")), sample, "id", "y")
     rows = (docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
             .join(F.broadcast(chosen), "id").select("id", "y", "text"))     # at most `sample` small rows
 
