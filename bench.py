@@ -17,7 +17,7 @@ HEADLINE = [
     "A1_stacked_value_counts", "A4_scaled_counts", "A5_histogram_equal_width",
     "A6_describe_exact", "A7_corr_matrix", "J2_asof_fridays", "W9_centered_ma",
     "T7_detect_language", "T14_tfidf_smooth_sentences", "T15_tfidf_log2_documents",
-    "S7_frequency_summary", "S8_textrank_summary", "S14_luhn_summary",
+    "S7_frequency_summary", "S14_luhn_summary",
     "G4_core_numbers", "G6_local_clustering", "G12_pagerank_weighted_bipartite",
     "C1_pairwise_euclidean", "C5_silhouette_euclidean", "M6_knn_classify",
     "Z2_seasonal_decompose", "Z4_acf",
