@@ -123,49 +123,81 @@ def g4b(spark, sf):
     return G.core_numbers(T.copurchase(spark, sf))
 
 
-def _bfs_sql(body, extra=""):
+PARTS = "nodes JOIN part ON p_partkey = id AND p_size = 50"
+
+
+def _bfs_sql(body, extra="", view="copurchase_sparse", sources=PARTS):
     """Breadth-first search from the sources; ends when no node is new."""
-    return f"""WITH RECURSIVE e AS (SELECT src, dst FROM ({VIEWS['copurchase_sparse']}) v
+    return f"""WITH RECURSIVE e AS (SELECT src, dst FROM ({VIEWS[view]}) v
                                     WHERE src <> dst),
 und AS (SELECT src AS a, dst AS b FROM e UNION SELECT dst, src FROM e),
 nodes AS (SELECT DISTINCT a AS id FROM und),
 paths(source, id, dist) USING KEY (source, id) AS (
-  SELECT id, id, 0 FROM nodes JOIN part ON p_partkey = id AND p_size = 50
+  SELECT id, id, 0 FROM {sources}
   UNION
   SELECT w.source, u.b, w.dist + 1 FROM paths w JOIN und u ON w.id = u.a
   LEFT JOIN recurring.paths r ON r.source = w.source AND r.id = u.b WHERE r.id IS NULL){extra}
 {body}"""
 
 
-@query("G7_shortest_paths", _bfs_sql("SELECT source, id, dist FROM paths"))
+_NATIONS = dict(view="nation_trade", sources="nodes")
+_PATHS = ("SELECT source, id, dist FROM paths",)
+
+
+@query("G7_shortest_paths", _bfs_sql(*_PATHS))
 def g7(spark, sf):
     return G.shortest_paths(T.copurchase_sparse(spark, sf), T.path_sources(spark, sf))
 
 
-@query("G8_distance_summary", _bfs_sql("""
+@query("G7_shortest_paths_nations", _bfs_sql(*_PATHS, **_NATIONS))
+def g7n(spark, sf):
+    return G.shortest_paths(T.nation_trade(spark, sf))
+
+
+_SUMMARY = ("""
 SELECT max(ecc) AS diameter, min(ecc) AS radius,
        CAST(sum(CASE WHEN ecc = (SELECT min(ecc) FROM ecc) THEN 1 ELSE 0 END) AS BIGINT) AS n_center,
        CAST(sum(CASE WHEN ecc = (SELECT max(ecc) FROM ecc) THEN 1 ELSE 0 END) AS BIGINT)
          AS n_periphery,
        round((SELECT avg(dist) FROM paths WHERE dist > 0), 6) AS avg_path_length
 FROM ecc""", """,
-ecc AS (SELECT source AS id, max(dist) AS ecc FROM paths GROUP BY 1)"""))
+ecc AS (SELECT source AS id, max(dist) AS ecc FROM paths GROUP BY 1)""")
+
+
+def _distances(paths):
+    return G.distance_summary(paths).withColumn("avg_path_length", r6("avg_path_length"))
+
+
+@query("G8_distance_summary_estimate", _bfs_sql(*_SUMMARY))
 def g8(spark, sf):
-    s = G.distance_summary(G.shortest_paths(T.copurchase_sparse(spark, sf), T.path_sources(spark, sf)))
-    return s.withColumn("avg_path_length", r6("avg_path_length"))
+    return _distances(G.shortest_paths(T.copurchase_sparse(spark, sf), T.path_sources(spark, sf)))
 
 
-@query("G9_closeness", _bfs_sql("""
+@query("G8_distance_summary_nations", _bfs_sql(*_SUMMARY, **_NATIONS))
+def g8n(spark, sf):
+    return _distances(G.shortest_paths(T.nation_trade(spark, sf)))
+
+
+_CLOSENESS = ("""
 SELECT id, round(CASE WHEN tot > 0 THEN (r - 1) / tot * ((r - 1) / (n - 1)) ELSE 0.0 END, 6)
          AS closeness
 FROM (SELECT source AS id, count(*) AS r, sum(dist) AS tot FROM paths GROUP BY 1) p,
-     (SELECT count(*) AS n FROM nodes) c"""))
+     (SELECT count(*) AS n FROM nodes) c""",)
+
+
+@query("G9_closeness", _bfs_sql(*_CLOSENESS))
 def g9(spark, sf):
     e = T.copurchase_sparse(spark, sf)
     return G.closeness(G.shortest_paths(e, T.path_sources(spark, sf)), G.nodes_of(e)).withColumn(
         "closeness", r6("closeness"))
 
 
+@query("G9_closeness_nations", _bfs_sql(*_CLOSENESS, **_NATIONS))
+def g9n(spark, sf):
+    e = T.nation_trade(spark, sf)
+    return G.closeness(G.shortest_paths(e), G.nodes_of(e)).withColumn("closeness", r6("closeness"))
+
+
 def _eig_sql(iters=100, tol=1e-6):
     ctes = [ADJ, ("nodes", "SELECT DISTINCT a AS id FROM adj"),
             ("x0", "SELECT id, 1.0 / (SELECT count(*) FROM nodes) AS x, false AS fz FROM nodes")]
@@ -254,18 +286,29 @@ def g13(spark, sf):
     return c3.unionByName(c4).select("k", "n")
 
 
-@query("G15_compare_metrics", _bfs_sql("""
+_METRICS = ("""
 SELECT 'degree' AS a, 'closeness' AS b, round(corr(degree, closeness), 6) AS corr FROM m""", """,
 clo AS (SELECT source AS id, CASE WHEN sum(dist) > 0 THEN (count(*) - 1) / sum(dist)
                * ((count(*) - 1) / ((SELECT count(*) FROM nodes) - 1)) ELSE 0.0 END AS c
         FROM paths GROUP BY 1),
 dg AS (SELECT a AS id, count(*) AS d FROM und GROUP BY a),
 m AS (SELECT dg.id, CAST(dg.d AS DOUBLE) AS degree, clo.c AS closeness
-      FROM dg JOIN clo ON dg.id = clo.id)"""))
+      FROM dg JOIN clo ON dg.id = clo.id)""")
+
+
+@query("G15_compare_metrics_estimate", _bfs_sql(*_METRICS))
 def g15(spark, sf):
-    e = T.copurchase_sparse(spark, sf)
+    return _compared(T.copurchase_sparse(spark, sf), T.path_sources(spark, sf))
+
+
+@query("G15_compare_metrics_nations", _bfs_sql(*_METRICS, **_NATIONS))
+def g15n(spark, sf):
+    return _compared(T.nation_trade(spark, sf))
+
+
+def _compared(e, sources=None):
     d = G.degrees(e).select("id", F.col("degree").cast("double").alias("degree"))
-    c = G.closeness(G.shortest_paths(e, T.path_sources(spark, sf)), G.nodes_of(e))
+    c = G.closeness(G.shortest_paths(e, sources), G.nodes_of(e))
     m = d.join(c, "id")
     return m.agg(r6(F.corr("degree", "closeness")).alias("corr")).select(
         F.lit("degree").alias("a"), F.lit("closeness").alias("b"), "corr")
@@ -302,10 +345,9 @@ def g21(spark, sf):
                           "quad_class")
 
 
-def _betweenness_sql(levels=16):
+def _betweenness_sql(levels=16, view="copurchase_sparse", sources=PARTS):
     ctes = [ADJ, ("nodes", "SELECT DISTINCT a AS id FROM adj"),
-            ("lv0", "SELECT id AS s, id AS v, 1.0 AS sigma FROM nodes JOIN part ON p_partkey = id "
-                    "AND p_size = 50"),
+            ("lv0", f"SELECT id AS s, id AS v, 1.0 AS sigma FROM {sources}"),
             ("vis0", "SELECT s, v FROM lv0")]
     for i in range(levels):
         ctes += [
@@ -331,15 +373,20 @@ def _betweenness_sql(levels=16):
                   / (((SELECT count(*) FROM nodes) - 1) * ((SELECT count(*) FROM nodes) - 2)), 6)
                   AS betweenness
                FROM nodes n LEFT JOIN ({alld}) d ON d.v = n.id GROUP BY n.id"""
-    return _sql("copurchase_sparse", ctes, body)
+    return _sql(view, ctes, body)
 
 
-@query("G10_betweenness", _betweenness_sql)
+@query("G10_betweenness_estimate_lower_bound", _betweenness_sql)
 def g10(spark, sf):
     return G.betweenness(T.copurchase_sparse(spark, sf), T.path_sources(spark, sf)).withColumn(
         "betweenness", r6("betweenness"))
 
 
+@query("G10_betweenness_nations", lambda: _betweenness_sql(**_NATIONS))
+def g10n(spark, sf):
+    return G.betweenness(T.nation_trade(spark, sf)).withColumn("betweenness", r6("betweenness"))
+
+
 def _communities_sql(rounds=30):
     ctes = [TRI,
             ("cl", "SELECT p || ',' || q || ',' || r AS cid, p, q, r FROM tri"),

@@ -77,6 +77,20 @@ def path_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.explode(F.array("src", "dst")).alias("id")).distinct().join(parts, "id", "left_semi")
 
 
+def nation_trade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Undirected graph of nations: two nations are linked if they share at
+    least as many line items (customer in one, supplier in the other) as trading
+    pairs of nations do on average.  Every line item between two nations counts,
+    and the nodes are so few at any size that paths start from all of them."""
+    pairs = (actor_events(spark, sf_dir).filter(F.col("actor1_country") != F.col("actor2_country"))
+             .groupBy(F.least("actor1_country", "actor2_country").alias("src"),
+                      F.greatest("actor1_country", "actor2_country").alias("dst"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    mean = pairs.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("pairs"))
+    return (pairs.crossJoin(F.broadcast(mean)).filter(F.col("n") * F.col("pairs") >= F.col("total"))
+            .select("src", "dst"))
+
+
 def cust_supp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bipartite customer -- supplier graph, weight = number of line items."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
