@@ -67,7 +67,7 @@ HARMLESS = {
 }
 _PLACEHOLDER = re.compile(
     r"(?i)^(?:x+|\*+|\.+|-+|none|null|nil|true|false|undefined|string|str|int|todo|tbd|change.?me|changeit|example.*|"
-    r"sample.*|dummy.*|test|your.*|my.?(?:password|secret|token|key)|placeholder.*|redacted|<.*>|\$\{?.*|%.*%|\{+.*\}+|"
+    r"sample.*|dummy.*|test|your.*|my.?(?:password|secret|token|key)|placeholder.*|redacted|<.*>|\$\{?.*|%.*%|\{.*\}|"
     r"os\.environ.*|process\.env.*|getenv.*|env\..*)$")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 #: A text without any of these has no sensitive name.
@@ -77,10 +77,13 @@ _HINT = re.compile(r"(?i)passw|pwd|passphrase|passcode|pass|secret|token|key|cre
 #: Without one of these there is no pair.
 _SYNTAX = re.compile(r"[=:]|--|</")
 
-#: Lexemes.  A string may hold escapes but no line break, and is bounded.
+#: A string may hold escapes but no line break, and is of any length.
+_STRING = {q: re.compile(p, re.S) for q, p in (
+    ('"', r'"(?:[^"\\\n]|\\.)*+'), ("'", r"'(?:[^'\\\n]|\\.)*+"), ("`", r"`[^`\n]*+"))}
+
+#: Lexemes other than strings.
 _LEX = re.compile(r"""
     (?P<space>[\x20\t]+) | (?P<line>\r?\n)
-  | (?P<string>"(?:[^"\\\n]|\\.){0,4096}" | '(?:[^'\\\n]|\\.){0,4096}' | `[^`\n]{0,4096}`)
   | (?P<xml></?[A-Za-z_][\w.:-]{0,128}>)
   | (?P<op>:=|=>|===?|!==?|<=|>=|[=:+])
   | (?P<flag>--[A-Za-z][\w-]{0,128})
@@ -105,7 +108,24 @@ class Pair(NamedTuple):
 
 
 def lex(text: str) -> Iterator[Lexeme]:
-    for m in _LEX.finditer(text):
+    """Lexemes of the text, spaces left out.
+
+    A quote that is never closed is a lexeme by itself, and so are all quotes of
+    its kind up to where the search for its end stopped: a search from them would
+    stop there too.  So no part is searched twice for the same quote.
+    """
+    at, n, unclosed = 0, len(text), dict.fromkeys(_STRING, 0)
+    while at < n:
+        quote = text[at]
+        if quote in unclosed and at >= unclosed[quote]:
+            end = _STRING[quote].match(text, at).end()
+            if end < n and text[end] == quote:
+                yield Lexeme("string", text[at:end + 1], at, end + 1)
+                at = end + 1
+                continue
+            unclosed[quote] = end
+        m = _LEX.match(text, at)
+        at = m.end()
         if m.lastgroup != "space":
             yield Lexeme(m.lastgroup, m[0], *m.span())
 
@@ -120,6 +140,13 @@ def _name(t: Lexeme) -> str | None:
     return None
 
 
+def _target(tokens: list[Lexeme], k: int) -> str | None:
+    """Name of what ends with lexeme k; of ``a["name"]``, what is inside."""
+    if tokens[k].text == "]" and k > 2 and tokens[k - 2].text == "[":
+        k -= 1
+    return _name(tokens[k])
+
+
 def _literal(t: Lexeme) -> tuple[int, int, str, bool] | None:
     if t.kind == "string":
         return t.start + 1, t.end - 1, t.text[1:-1], True
@@ -149,9 +176,9 @@ def pairs(text: str) -> tuple[list[Pair], dict[str, list[str]]]:
             continue
         if t.kind != "op" or t.text not in ("=", ":", ":=", "=>") or not 0 < k < n - 1:
             continue
-        name = _name(tokens[k - 1])
+        name = _target(tokens, k - 1)
         if tokens[k - 1].text in ("str", "String", "string") and k > 2 and tokens[k - 2].text == ":":
-            name = _name(tokens[k - 3])             # name: str = literal
+            name = _target(tokens, k - 3)           # name: str = literal
         if not name or len(name) > 256:
             continue
         j = k + 1
