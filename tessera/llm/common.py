@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -76,6 +76,34 @@ def bounded_sample(rows: DataFrame, n: int, *cols: str) -> DataFrame:
     return rows.orderBy(hashed, *cols).limit(n)
 
 
+def shares(counts: dict, n: int) -> dict:
+    """How many of each key's rows to take, at most ``n`` together: all of the
+    rarer keys, and as many of each of the others."""
+    out = {}
+    for k, key in enumerate(sorted(counts, key=lambda key: (counts[key], str(key)))):
+        out[key] = min(counts[key], (n - sum(out.values())) // (len(counts) - k))
+    return out
+
+
+def bounded_samples(rows: DataFrame, n: int, key: str, *cols: str) -> list[Row]:
+    """At most ``n`` different rows, shared out among the values of ``key``: of
+    each those with the smallest hashes of ``cols`` (``key`` is one of them), by
+    hash; the same for the same rows, however often each is repeated.  Tasks send
+    about 1.5 n rows together."""
+    rows = rows.select(*cols).withColumn("__hash", F.xxhash64(*cols))
+    counts = {r[0]: r[1] for r in rows.select(key, "__hash").distinct().groupBy(key).count().collect()}
+    left, low = shares(counts, n), F.lit(False)
+    for value, total in counts.items():
+        low |= F.col(key).eqNullSafe(F.lit(value)) & (
+            F.pmod("__hash", F.lit(1 << 31)) < min(1 << 31, int((1 << 31) * (1.5 * left[value] + 50) / total)))
+    out = []
+    for r in sorted(rows.where(low).distinct().collect(), key=lambda r: (r["__hash"] % (1 << 31), *map(str, r))):
+        if left[r[key]] > 0:
+            left[r[key]] -= 1
+            out.append(r)
+    return out
+
+
 class Shared:
     """A value broadcast to the tasks, its classes by value like all code here."""
 
