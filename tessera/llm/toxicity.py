@@ -36,13 +36,13 @@ LEET = {
     "*": _ANY, "#": _ANY, "%": _ANY,
 }
 _SYMBOLS = re.escape("".join(LEET))
-#: What makes a stretch suspect: a symbol or separator before a letter (the whole
-#: token is read then), single letters apart, a letter three times in a row.
-_INSIDE = re.compile(rf"[{_SYMBOLS}._~-](?=[^\W\d_])")
+#: What makes a stretch suspect: a symbol or separator before a letter or a symbol
+#: after one (the whole token is read then), single letters apart, a letter three
+#: times in a row.
+_INSIDE = re.compile(rf"[{_SYMBOLS}._~-](?=[^\W\d_])|(?<=[^\W\d_])[{_SYMBOLS}]")
 _APART = re.compile(r"(?<!\w)[^\W_](?:[\x20._*~-][^\W_])(?:[\x20._*~-][^\W_])+(?!\w)")
 _THRICE = re.compile(r"([^\W\d_])\1\1", re.I)
-#: So far around a symbol a token is read to either side.
-REACH = 64
+_TOKEN = re.compile(r"\S*")
 
 
 def stretches(text: str) -> list[str]:
@@ -52,11 +52,9 @@ def stretches(text: str) -> list[str]:
         i = m.start()
         if i < end:
             continue
-        lo, end = i, i + 1
-        while lo and i - lo < REACH and not text[lo - 1].isspace():
+        lo, end = i, _TOKEN.match(text, i).end()
+        while lo and not text[lo - 1].isspace():
             lo -= 1
-        while end < len(text) and end - i < REACH and not text[end].isspace():
-            end += 1
         out.append(text[lo:end])
     out += [m[0] for m in _APART.finditer(text)]
     end = 0
@@ -64,9 +62,9 @@ def stretches(text: str) -> list[str]:
         if m.start() < end:
             continue
         lo, end = m.span()
-        while lo and m.start() - lo < REACH and text[lo - 1].isalpha():
+        while lo and text[lo - 1].isalpha():
             lo -= 1
-        while end < len(text) and end - m.start() < REACH and text[end].isalpha():
+        while end < len(text) and text[end].isalpha():
             end += 1
         out.append(text[lo:end])
     return out
@@ -75,7 +73,8 @@ def stretches(text: str) -> list[str]:
 _WORD = re.compile(r"[^\W\d_]+")
 
 #: Costs of the channel, in nats: reading a symbol as a letter, as nothing; a
-#: separator as nothing, as a boundary; a doubled letter as one.
+#: separator as nothing, as a boundary; a doubled letter as one.  Of the symbols
+#: at the end of a stretch those that prose ends with are nothing at no cost.
 AS_LETTER, AS_NOTHING, JOINED, APART, ONCE = 1.0, 8.0, 0.5, 3.0, 1.5
 
 
@@ -132,7 +131,8 @@ class CharModel:
 def lattice(stretch: str) -> list[list[tuple[str, float]]]:
     """Per position the readings (characters, cost); a run of one letter is one
     position."""
-    out, low = [], stretch.lower().rstrip("!*#%$.,;:?|+-~_\"')")
+    low = stretch.lower().rstrip(".,;:?-~_\"')")
+    out, tail = [], len(low.rstrip("!*#%|+(.,;:?-~_\"')"))
     spaced = re.fullmatch(r"(?:[^\W_][\x20._*~-])+[^\W_]", low) is not None
     k = 0
     while k < len(low):
@@ -147,10 +147,12 @@ def lattice(stretch: str) -> list[list[tuple[str, float]]]:
             one, two = (AS_LETTER, 99.0) if n == 1 else (AS_LETTER + ONCE, AS_LETTER)
             if len(LEET[c]) > 2:
                 one += AS_LETTER
-            ways = [(x, one) for x in LEET[c]] + [("", AS_NOTHING)]
+            ways = [(x, one) for x in LEET[c]] + [("", AS_NOTHING if k < tail else 0.0)]
             if n > 1:
                 ways += [(x + x, two) for x in LEET[c]]
             out.append(ways)
+        elif k >= tail:
+            out.append([("", 0.0)])
         else:
             out.append([("", JOINED), (" ", APART)])
         k = run
@@ -159,8 +161,8 @@ def lattice(stretch: str) -> list[list[tuple[str, float]]]:
 
 def decode(stretch: str, model: CharModel) -> str:
     """The Viterbi path.  A state is the last two characters, so the work grows
-    with the length of the stretch."""
-    log = model.log
+    with the length of the stretch; what all paths share is kept as text."""
+    log, out = model.log, []
     states = {(0, 0): (0.0, None)}          # -> (cost, back pointer)
     for ways in lattice(stretch) + [[(" ", 0.0)]]:
         new: dict = {}
@@ -177,12 +179,21 @@ def decode(stretch: str, model: CharModel) -> str:
                 if old is None or total < old[0]:
                     new[x, y] = (total, (back, chars))
         states = new
+        if len(states) == 1:
+            (key, (cost, back)), = states.items()
+            out.append(_path(back))
+            states = {key: (cost, None)}
     _, back = min(states.values(), key=lambda s: s[0])
+    return "".join([*out, _path(back)]).strip()
+
+
+def _path(back) -> str:
+    """The characters that a back pointer leads over."""
     out = []
     while back:
         back, chars = back
         out.append(chars)
-    return "".join(reversed(out)).strip()
+    return "".join(reversed(out))
 
 
 class Restorer:
@@ -199,7 +210,9 @@ class Restorer:
             if got is None:
                 if len(self.known) > self.keep:
                     self.known.clear()
-                got = self.known[s] = tuple(_WORD.findall(decode(s, self.model)))
+                got = tuple(_WORD.findall(decode(s, self.model)))
+                if len(s) <= 128:
+                    self.known[s] = got
             out.update(got)
         return out
 
