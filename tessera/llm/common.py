@@ -156,6 +156,24 @@ def ascii_words(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+def join_unique(rows: DataFrame, small: DataFrame, key: str, size: str, heavy: int = 1000) -> DataFrame:
+    """``rows`` left-joined with ``small``, which has one row per ``key`` and in
+    ``size`` the number of rows that have it.
+
+    Keys of more than a ``heavy``-th of all rows, so fewer than ``heavy`` keys,
+    are joined by broadcast; no other key brings more than that many rows to a task.
+    """
+    small = cut_lineage(small)
+    limit = small.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] // heavy
+    hot = small.where(F.col(size) > limit).select(F.col(key).alias("__key"), F.lit(True).alias("__hot"), *[
+        F.col(c).alias(f"__{c}") for c in small.columns if c != key])
+    got = rows.join(F.broadcast(hot), F.col(key) == F.col("__key"), "left")
+    others = [c for c in small.columns if c != key]
+    found = got.where("__hot").select(*rows.columns, *[F.col(f"__{c}").alias(c) for c in others])
+    rest = got.where("__hot is null").select(*rows.columns)
+    return found.union(rest.join(small, key, "left").select(*rows.columns, *others))
+
+
 def _stars(e: DataFrame) -> bool:
     """Whether each node is the larger end of one edge, or the smaller end of
     some, but not both."""

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontam, embed_dedup, lines, ngram_join, pii, secrets, toxicity, urls, warc
+from tessera.llm import bpe, decontam, embed_dedup, exact_dedup, lines, ngram_join, pii, secrets, toxicity, urls, warc
 from tessera.llm.common import table
 
 
@@ -86,8 +86,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_boilerplate(docs).select("doc_id", "source", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), all_digests=True)
+    return got.withColumnsRenamed({"id": "doc_id", "digest": "text_sha256"})
+
+
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_url_filters, op3_warc, op4_decontamination, op5_toxicity, op6_pii,
-                                   op7_byte_bpe, op8_secrets, op9_embedding_near_dedup, op10_line_dedup)}
+                                   op7_byte_bpe, op8_secrets, op9_embedding_near_dedup, op10_line_dedup, op12_exact_dedup)}
 
 _URL_PARTS = """
 SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -159,4 +164,8 @@ k AS (SELECT doc_id, string_agg(l.line, chr(10) ORDER BY k) AS text FROM l
 SELECT d.doc_id, d.source, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
        length(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END) AS n_chars
 FROM documents d LEFT JOIN k ON d.doc_id = k.doc_id""",
+    "op12_exact_dedup": """
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS body FROM documents),
+g AS (SELECT body, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY body)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(n.body) AS text_sha256 FROM n JOIN g ON n.body = g.body""",
 }
