@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontam, embed_dedup, exact_dedup, lines, ngram_join, pii, secrets, toxicity, urls, warc
+from tessera.llm import bpe, decontam, embed_dedup, exact_dedup, hard_negatives, lines, ngram_join, pii, secrets, toxicity, urls, warc
 from tessera.llm.common import table
 
 
@@ -91,8 +91,14 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.withColumnsRenamed({"id": "doc_id", "digest": "text_sha256"})
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(vectors, F.col("vec_id") % 100 == 0, label)
+
+
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_url_filters, op3_warc, op4_decontamination, op5_toxicity, op6_pii,
-                                   op7_byte_bpe, op8_secrets, op9_embedding_near_dedup, op10_line_dedup, op12_exact_dedup)}
+                                   op7_byte_bpe, op8_secrets, op9_embedding_near_dedup, op10_line_dedup, op12_exact_dedup, op13_hard_negatives)}
 
 _URL_PARTS = """
 SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -168,4 +174,18 @@ FROM documents d LEFT JOIN k ON d.doc_id = k.doc_id""",
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS body FROM documents),
 g AS (SELECT body, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY body)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(n.body) AS text_sha256 FROM n JOIN g ON n.body = g.body""",
+    "op13_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same,
+             CAST(list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+p AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS INTEGER) AS rank,
+       s.b AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON p.a = s.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+QUALIFY row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) <= 5""",
 }
