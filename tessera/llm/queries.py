@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontam, embed_dedup, exact_dedup, hard_negatives, lines, ngram_join, pii, secrets, toxicity, urls, warc
+from tessera.llm import bpe, decontam, embed_dedup, exact_dedup, hard_negatives, lines, ngram_join, pii, prefix_trie, secrets, toxicity, urls, warc
 from tessera.llm.common import table
 
 
@@ -86,6 +86,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_boilerplate(docs).select("doc_id", "source", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), all_digests=True)
     return got.withColumnsRenamed({"id": "doc_id", "digest": "text_sha256"})
@@ -98,7 +102,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_url_filters, op3_warc, op4_decontamination, op5_toxicity, op6_pii,
-                                   op7_byte_bpe, op8_secrets, op9_embedding_near_dedup, op10_line_dedup, op12_exact_dedup, op13_hard_negatives)}
+                                   op7_byte_bpe, op8_secrets, op9_embedding_near_dedup, op10_line_dedup, op11_prefix_trie, op12_exact_dedup, op13_hard_negatives)}
 
 _URL_PARTS = """
 SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -119,6 +123,11 @@ def _pattern_sql(rule: str) -> str:
     return f"(contains(lower(host), '{rule}') OR contains(lower(path), '{rule}'))"
 
 
+#: Unsigned CRC-32 of the text ?, bit by bit: a byte is added, then -1 eight times shifts.
+_CRC32_SQL = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(?, ''),
+    lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295::BIGINT)"""
+
 _longest_first = sorted(urls.SITE_RULES, key=lambda r: -len(r[1]))
 
 ORACLE_SQL = {
@@ -170,6 +179,28 @@ k AS (SELECT doc_id, string_agg(l.line, chr(10) ORDER BY k) AS text FROM l
 SELECT d.doc_id, d.source, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
        length(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END) AS n_chars
 FROM documents d LEFT JOIN k ON d.doc_id = k.doc_id""",
+    "op11_prefix_trie": f"""
+WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                  sha256(coalesce(text, ''))) AS pos, coalesce(role, '') AS role, coalesce(text, '') AS text
+           FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT DISTINCT c, c - c % 20 AS base, {_CRC32_SQL.replace('?', 'CAST(c AS VARCHAR)')} % 4 AS h FROM t),
+b AS (SELECT h.c, t.pos AS k, role, text FROM h JOIN t ON t.c = h.base AND t.pos <= h.h
+      UNION ALL SELECT h.c, t.pos + 10, role, text FROM h JOIN t ON t.c = h.c AND t.pos > h.h),
+d AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY k) AS d, sha256(length(role) || ':' || role || text) AS turn,
+             len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words FROM b),
+p AS (SELECT c, d, string_agg(turn, ',') OVER (PARTITION BY c ORDER BY d) AS path, words FROM d
+      UNION ALL SELECT c, 0, '', 0 FROM h),
+l AS (SELECT c, max(d) AS n FROM p GROUP BY c),
+g AS (SELECT path, p.d, min(p.c) AS c, count(*) AS n, min(words) AS words, max(l.n > p.d) AS inner_node,
+             coalesce(string_agg(CASE WHEN l.n = p.d THEN CAST(p.c AS VARCHAR) END, ',' ORDER BY p.c), '') AS ends
+      FROM p JOIN l ON p.c = l.c GROUP BY path, p.d),
+s AS (SELECT a.path, CAST(sum(CAST(NOT u.inner_node AS INTEGER)) AS BIGINT) AS n_leaves,
+             CAST(sum((u.n - 1) * u.words) AS BIGINT) AS saved,
+             count(CASE WHEN u.d = a.d + 1 THEN 1 END) AS n_children
+      FROM g u JOIN p a ON a.c = u.c AND a.d <= u.d GROUP BY a.path)
+SELECT g.c AS conv_id, CAST(g.d AS BIGINT) AS depth, f.c AS parent_conv_id, g.n AS n_convs, n_children, n_leaves, saved AS saved_tokens,
+       sha256(g.ends) AS ends_sha256
+FROM g JOIN s ON g.path = s.path LEFT JOIN p q ON q.c = g.c AND q.d = g.d - 1 LEFT JOIN g f ON f.path = q.path""",
     "op12_exact_dedup": """
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS body FROM documents),
 g AS (SELECT body, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY body)

@@ -36,7 +36,7 @@ def test_sql(spark, name):
 def test_registered():
     have = E.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(have)
-    assert [int(re.match(r"op(\d+)_", k)[1]) for k in queries.QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", k)[1]) for k in queries.QUERIES] == list(range(1, 14))
 
 
 def shingles(text, width):
