@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from itertools import accumulate
 from typing import Iterator, NamedTuple
@@ -84,9 +84,9 @@ _STRING = {q: re.compile(p, re.S) for q, p in (
 #: Lexemes other than strings.
 _LEX = re.compile(r"""
     (?P<space>[\x20\t]+) | (?P<line>\r?\n)
-  | (?P<xml></?[A-Za-z_][\w.:-]{0,128}>)
+  | (?P<xml></?[A-Za-z_][\w.:-]*+>)
   | (?P<op>:=|=>|===?|!==?|<=|>=|[=:+])
-  | (?P<flag>--[A-Za-z][\w-]{0,128})
+  | (?P<flag>--[A-Za-z][\w-]*+)
   | (?P<word>[A-Za-z0-9_$.@/\\%{}*!^&~?#+-]+)
   | (?P<other>.)
 """, re.X | re.S)
@@ -112,11 +112,19 @@ def lex(text: str) -> Iterator[Lexeme]:
 
     A quote that is never closed is a lexeme by itself, and so are all quotes of
     its kind up to where the search for its end stopped: a search from them would
-    stop there too.  So no part is searched twice for the same quote.
+    stop there too.  So no part is searched twice for the same quote.  Of a string
+    in triple quotes the lexeme has the innermost ones only.
     """
-    at, n, unclosed = 0, len(text), dict.fromkeys(_STRING, 0)
+    at, n, unclosed, triples = 0, len(text), dict.fromkeys(_STRING, 0), {"\"", "'"}
     while at < n:
         quote = text[at]
+        if quote in triples and text.startswith(quote * 3, at):
+            end = text.find(quote * 3, at + 3)
+            if end >= 0:
+                yield Lexeme("string", text[at + 2:end + 1], at + 2, end + 1)
+                at = end + 3
+                continue
+            triples.discard(quote)
         if quote in unclosed and at >= unclosed[quote]:
             end = _STRING[quote].match(text, at).end()
             if end < n and text[end] == quote:
@@ -155,14 +163,44 @@ def _literal(t: Lexeme) -> tuple[int, int, str, bool] | None:
     return None
 
 
+_BLOCK = re.compile(r"[+0-9-]*[\x20\t]*\r?\n")
+_LINE = re.compile(r"(\x20*)([^\n]*)\n?")
+
+
+class Blocks:
+    """Block literals: the lines after a key's that are indented further than it;
+    blank ones between them belong to them."""
+
+    def __init__(self, text: str):
+        self.starts, self.spans, self.last = [], [], []      # of the lines that are not blank
+        below: list[int] = []                                # those whose block is still open
+        for m in _LINE.finditer(text):
+            if not m[2].strip():
+                continue
+            k, indent = len(self.starts), len(m[1])
+            self.starts.append(m.start())
+            self.spans.append((m.end(1), m.start(2) + len(m[2].rstrip()), indent))
+            self.last.append(k)
+            while below and self.spans[below[-1]][2] >= indent:
+                self.last[below.pop()] = k - 1
+            below.append(k)
+        for k in below:
+            self.last[k] = len(self.starts) - 1
+
+    def of(self, key: int) -> tuple[int, int] | None:
+        """Start and end of the block of the line that ``key`` is on."""
+        k = bisect_right(self.starts, key) - 1
+        return (self.spans[k + 1][0], self.spans[self.last[k]][1]) if k >= 0 and self.last[k] > k else None
+
+
 def pairs(text: str) -> tuple[list[Pair], dict[str, list[str]]]:
     """Pairs of a name and a literal, and the names each constant is given to.
 
-    A literal is a string, several strings joined by ``+``, or the bare rest of
-    a word.  An unquoted value that looks like a name also counts as a reference
+    A literal is a string, several strings joined by ``+``, a block of indented
+    lines after ``: |`` or ``: >``, or the bare rest of a word.  An unquoted value that looks like a name also counts as a reference
     to a constant of that name.
     """
-    found, uses = [], {}
+    found, uses, blocks, lines = [], {}, [], None
     tokens = list(lex(text))
     n = len(tokens)
     for k, t in enumerate(tokens):
@@ -179,7 +217,14 @@ def pairs(text: str) -> tuple[list[Pair], dict[str, list[str]]]:
         name = _target(tokens, k - 1)
         if tokens[k - 1].text in ("str", "String", "string") and k > 2 and tokens[k - 2].text == ":":
             name = _target(tokens, k - 3)           # name: str = literal
-        if not name or len(name) > 256:
+        if not name:
+            continue
+        if t.text == ":" and tokens[k + 1].text in ("|", ">"):
+            if _BLOCK.match(text, tokens[k + 1].end):
+                lines = lines or Blocks(text)
+                got = lines.of(tokens[k - 1].start)
+                if got:
+                    blocks.append((name, *got))
             continue
         j = k + 1
         while j < n:
@@ -193,6 +238,9 @@ def pairs(text: str) -> tuple[list[Pair], dict[str, list[str]]]:
                 j += 2
             else:
                 break
+    # a block that holds pairs of its own is no literal
+    inner = sorted([p.start for p in found] + [a for _, a, _ in blocks])
+    found += [Pair(name, a, b, text[a:b], True) for name, a, b in blocks if bisect_left(inner, b) == bisect_right(inner, a)]
     return found, uses
 
 
@@ -226,21 +274,36 @@ def quality(value: str, quoted: bool) -> float:
     return score
 
 
+def reached(names: set[str], uses: dict[str, list[str]]) -> dict[str, float]:
+    """The highest sensitivity of each name and of those that its value is given
+    to, through any number of assignments.
+
+    Names are visited by falling sensitivity, and the assignments walked backwards
+    from each; what was reached before keeps what it has, so every assignment is
+    walked once."""
+    best = {n: sensitivity(n) for n in names.union(uses, *uses.values())}
+    givers: dict[str, list[str]] = {}
+    for giver, takers in uses.items():
+        for taker in takers:
+            givers.setdefault(taker, []).append(giver)
+    settled = set()
+    for name in sorted(best, key=best.get, reverse=True):
+        todo = [name]
+        while todo:
+            at = todo.pop()
+            if at not in settled:
+                settled.add(at)
+                best[at] = max(best[at], best[name])
+                todo += givers.get(at, ())
+    return best
+
+
 def added_spans(text: str, base: list[Span], threshold: float = 2.2) -> list[Span]:
     """Literals that score at least ``threshold`` and meet no base span."""
     if not _SYNTAX.search(text) or not _HINT.search(text):
         return []
     found, uses = pairs(text)
-    # names a constant reaches, through any number of assignments
-    targets: dict[str, set[str]] = {}
-    for start in {p.name for p in found} & uses.keys():
-        reached, todo = set(), [start]
-        while todo:
-            for name in uses.get(todo.pop(), ()):
-                if name not in reached:
-                    reached.add(name)
-                    todo.append(name)
-        targets[start] = reached
+    best = reached({p.name for p in found}, uses)
     starts = sorted(b.start for b in base)
     ends = list(accumulate((b.end for b in sorted(base, key=lambda b: b.start)), max))
     out, taken = [], set()
@@ -248,8 +311,7 @@ def added_spans(text: str, base: list[Span], threshold: float = 2.2) -> list[Spa
         k = bisect_left(starts, p.end)              # base spans that begin before p ends
         if p.start in taken or (k and ends[k - 1] > p.start):
             continue
-        best = max(map(sensitivity, {p.name, *targets.get(p.name, ())}))
-        if best >= 1.5 and best + quality(p.value, p.quoted) >= threshold:
+        if best[p.name] >= 1.5 and best[p.name] + quality(p.value, p.quoted) >= threshold:
             out.append(Span("assign", p.start, p.end))
             taken.add(p.start)
     return out
