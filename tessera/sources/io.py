@@ -32,8 +32,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 # ------------------------------------------------------------ IO1 / IO2 / IO3 / IO4
 
+#: Timestamps are written with all their microseconds.
+TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> str:
-    df.write.mode("overwrite").option("sep", sep).option("header", header).csv(path)
+    (df.write.mode("overwrite").option("sep", sep).option("header", header)
+     .option("timestampFormat", TIME_FORMAT).option("timestampNTZFormat", TIME_FORMAT).csv(path))
     return path
 
 
