@@ -48,21 +48,32 @@ def map_texts(df: DataFrame, fn: Callable, schema: str, piece: int = 4 << 20, ra
                 yield pa.RecordBatch.from_pydict(
                     {f.name: out[f.name].cast(f.type) if isinstance(out[f.name], pa.Array) else out[f.name]
                      for f in shape}, shape)
+    small_batches(df)
     return df.mapInArrow(run, schema)
 
 
 def filter_rows(df: DataFrame, column: str, fn: Callable) -> DataFrame:
     """The rows of ``df`` that ``fn(values of the column) -> list of bool`` keeps,
-    with all their columns; ``fn`` may be a factory."""
-    at = df.columns.index(column)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    with all their columns; ``fn`` may be a factory.  Only the column goes to Python,
+    only truth values come back; the rows themselves stay in the JVM."""
+    @F.arrow_udf("boolean")
+    def kept(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         keep = fn() if getattr(fn, "factory", False) else fn
-        for b in batches:
-            for k in range(0, b.num_rows, 1024):
-                part = b.slice(k, 1024)
-                yield part.filter(pa.array(keep(part.column(at).to_pylist()), pa.bool_()))
-    return df.mapInArrow(run, df.schema)
+        for values in batches:
+            out = []
+            for k in range(0, len(values), 256):
+                out += keep(values.slice(k, 256).to_pylist())
+            yield pa.array(out, pa.bool_())
+    small_batches(df)
+    return df.where(kept(df[column]))
+
+
+def small_batches(df: DataFrame, rows: int = 2000) -> None:
+    """Lets Arrow batches of texts have no more than ``rows`` rows from now on, so
+    that the copies of a batch on both sides stay small."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(name)) <= rows:
+        df.sparkSession.conf.set(name, rows)
 
 
 def bounded_sample(rows: DataFrame, n: int, *cols: str) -> DataFrame:

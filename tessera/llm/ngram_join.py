@@ -32,11 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import (ShingleHasher, arrow_schema, ascii_words, connected, cut_lineage, factory, map_texts,
-                                mix64)
+                                mix64, small_batches)
 
 _U = np.uint64
 #: Join keys that a task of the key join holds at most, on average.
-KEYS_PER_TASK = 2_000_000
+KEYS_PER_TASK = 1_000_000
+#: Join keys that a task packs at once.
+PIECE = 250_000
+#: Classes of one key that a task sends to be met; of more, the key is known to be shared.
+SPREAD = 64
 #: Sets of one key that are compared within one task at most.
 CHUNK = 2048
 #: Keys of at most so many sets have their pairs listed, without the sketches.
@@ -69,6 +73,11 @@ class Threshold:
             out.append((j - 1, *self._blocks(j - 1)))
         return [b for b in out if b[1]]
 
+    def keys_per_element(self) -> float:
+        """No set of 20 elements or more has more join keys than this for each."""
+        sizes = np.unique(np.geomspace(20, 1e6, 200).astype(int)).tolist()
+        return max(sum(k for _, k, _ in self.bands(n)) / n for n in sizes)
+
     def _blocks(self, j: int) -> tuple[int, int]:
         """A linked pair whose smaller set is of band j agrees on at least
         spare + 1 of the blocks; no blocks where only equal sets link."""
@@ -152,61 +161,110 @@ def members(rows: DataFrame, width: int, words: Callable) -> DataFrame:
     return map_texts(rows, make, f"id {kind}, n long, cls long")
 
 
+class Often:
+    """Join keys that a task has met with more than ``SPREAD`` classes.
+
+    Keys count that come ``SPREAD`` / 8 times in one piece, so a task has few; of
+    the rest it sends fewer than that many classes a piece."""
+
+    def __init__(self):
+        self.seen: dict[int, int] = {}
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """Of sorted keys, which belong to one that is met often, its first
+        entry left out: that one still says that the key exists."""
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        sizes = np.diff(np.append(starts, len(keys)))
+        out = np.zeros(len(keys), bool)
+        for k in np.flatnonzero(sizes >= SPREAD // 8).tolist():
+            at, n, key = int(starts[k]), int(sizes[k]), int(keys[starts[k]])
+            self.seen[key] = self.seen.get(key, 0) + n
+            if self.seen[key] > SPREAD:
+                out[at + 1:at + n] = True
+        if len(self.seen) > 200_000:
+            self.seen = {k: n for k, n in self.seen.items() if n > SPREAD}
+        return out
+
+
 def shared_keys(rows: DataFrame, width: int, words: Callable, threshold: Threshold, total: int) -> DataFrame:
     """(key, cls): keys that at least two different classes have, and these.
 
     A map task sends, for each receiving task, one row of packed keys and
-    classes per Arrow batch; a class that repeats within a map task is sent once.
-    The number of receivers grows with the ``total`` number of elements.
+    classes per piece; a class that repeats within a map task is sent once.  The
+    number of receivers grows with the ``total`` number of elements.  What is known
+    to be shared where it is made, most classes of a hot key, is dealt out evenly
+    and only handed on: a receiver never holds a hot key whole.
     """
     spark = rows.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total * 0.45 / KEYS_PER_TASK))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                math.ceil(total * threshold.keys_per_element() / KEYS_PER_TASK))
     fine = 4 * parts
     ddl = "part int, keys binary, classes binary"
     shape = arrow_schema(ddl)
 
+    def packed(k, c, part, first):
+        """Rows of a part each, numbered from ``first``."""
+        order = part.argsort(kind="stable")
+        k, c = k[order], c[order]
+        ends = np.bincount(part, minlength=fine).cumsum()
+        at_part = np.flatnonzero(np.diff(ends, prepend=0))
+        cuts = [(int(ends[p - 1]) if p else 0, int(ends[p])) for p in at_part]
+        return pa.RecordBatch.from_arrays(
+            [pa.array((at_part + first).astype(np.int32)), pa.array([k[x:y].tobytes() for x, y in cuts], pa.binary()),
+             pa.array([c[x:y].tobytes() for x, y in cuts], pa.binary())], schema=shape)
+
     def send(batches):
-        sets, seen = _hasher(width, words), set()
+        sets, seen, often = _hasher(width, words), set(), Often()
+        keys, classes, size = [], [], 0
+
+        def piece():
+            k, c = np.concatenate(keys), np.concatenate(classes)
+            order = k.argsort(kind="stable")
+            k, c = k[order], c[order]
+            known = often(k)
+            if known.any():
+                yield packed(k[known], c[known], (mix64(k[known] ^ c[known].view(_U)) % _U(fine)).astype(np.int64), fine)
+                k, c = k[~known], c[~known]
+            yield packed(k, c, (mix64(k) % _U(fine)).astype(np.int64), 0)
+
         for b in batches:
-            keys, classes, at = [], [], 0
-            if len(seen) > 500_000:
-                seen.clear()
-            while at < b.num_rows:
-                for t in b.column(0).slice(at, 256).to_pylist():
+            for at in range(0, b.num_rows, 64):
+                for t in b.column(0).slice(at, 64).to_pylist():
                     s = sets(t)
                     cls = set_class(s) if len(s) else None
                     if cls is not None and cls not in seen:
+                        if len(seen) > 500_000:
+                            seen.clear()
                         seen.add(cls)
                         keys.append(block_keys(s, threshold))
                         classes.append(np.full(len(keys[-1]), cls, np.int64))
-                at += 256
-                if at >= b.num_rows or sum(map(len, keys)) > 1_000_000:
-                    if not keys:
-                        continue
-                    k, c = np.concatenate(keys), np.concatenate(classes)
-                    keys, classes = [], []
-                    part = (mix64(k) % _U(fine)).astype(np.int64)
-                    order = part.argsort(kind="stable")
-                    k, c = k[order], c[order]
-                    ends = np.bincount(part, minlength=fine).cumsum()
-                    at_part = np.flatnonzero(np.diff(ends, prepend=0))
-                    cuts = [(int(ends[p - 1]) if p else 0, int(ends[p])) for p in at_part]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(at_part.astype(np.int32)), pa.array([k[x:y].tobytes() for x, y in cuts], pa.binary()),
-                         pa.array([c[x:y].tobytes() for x, y in cuts], pa.binary())], schema=shape)
+                        size += len(keys[-1])
+                if size > PIECE:
+                    yield from piece()
+                    keys, classes, size = [], [], 0
+        if size:
+            yield from piece()
 
     out_ddl = "key long, cls long"
     out_shape = arrow_schema(out_ddl)
 
+    def rows_of(k, c):
+        for x in range(0, len(k), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(k[x:x + 100_000]), pa.array(c[x:x + 100_000])], schema=out_shape)
+
     def meet(batches):
-        keys, classes = [], []
+        held = []
         for b in batches:
-            keys += [np.frombuffer(x, np.int64) for x in b.column(1).to_pylist()]
-            classes += [np.frombuffer(x, np.int64) for x in b.column(2).to_pylist()]
-        if not keys:
+            for part, k, c in zip(*[x.to_pylist() for x in b.columns]):
+                k, c = np.frombuffer(k, np.int64), np.frombuffer(c, np.int64)
+                if part >= fine:
+                    yield from rows_of(k, c)
+                else:
+                    held.append((k, c))
+        if not held:
             return
-        k, c = np.concatenate(keys), np.concatenate(classes)
-        del keys, classes
+        k, c = map(np.concatenate, zip(*held))
+        held.clear()
         order = k.argsort(kind="stable")
         k, c = k[order], c[order]
         same = k[1:] == k[:-1]
@@ -218,10 +276,9 @@ def shared_keys(rows: DataFrame, width: int, words: Callable, threshold: Thresho
         k, c = k[new], c[new]
         same = k[1:] == k[:-1]
         more = np.append(False, same) | np.append(same, False) if len(k) else new[new]
-        k, c = k[more], c[more]
-        for x in range(0, len(k), 500_000):
-            yield pa.RecordBatch.from_arrays([pa.array(k[x:x + 500_000]), pa.array(c[x:x + 500_000])], schema=out_shape)
+        yield from rows_of(k[more], c[more])
 
+    small_batches(rows)
     sent = rows.select("text").mapInArrow(send, ddl)
     return sent.repartition(parts, "part").mapInArrow(meet, out_ddl)
 

@@ -199,7 +199,7 @@ def _path(back) -> str:
 class Restorer:
     """Restored words of a text; readings are remembered, up to ``keep``."""
 
-    def __init__(self, model: CharModel, keep: int = 200_000):
+    def __init__(self, model: CharModel, keep: int = 100_000):
         self.model, self.keep, self.known = model, keep, {}
 
     def words(self, text: str) -> set[str]:
@@ -374,7 +374,7 @@ def scorer(model: Model):
 
     def rate(text: str | None) -> float:
         found, shared = set(), {}
-        if len(known) > 400_000:
+        if len(known) > 150_000:
             known.clear()
         for w in restore.words(text) if text else ():
             f = known.get(w)
