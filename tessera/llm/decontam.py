@@ -10,6 +10,9 @@ misses at most q - ceil(t*q), so s = 1 + the largest such miss in the
 partition makes the search exact, not likely.  Candidates are verified by exact
 shingle containment against the whole document.
 
+An item of fewer words than a shingle is one shingle as wide as itself, and
+documents are read with shingles of that width too.
+
 Items travel to the tasks in blocks of a bounded number of shingles; documents
 are never shuffled and every text is read whole, once for each block.
 """
@@ -40,7 +43,7 @@ def least(q: int, threshold: float) -> int:
 
 
 class Sketches:
-    """Sketches of one block of items, joined over its size partitions."""
+    """Sketches of items of one shingle width, joined over their size partitions."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]], threshold: float):
         self.threshold, self.items = threshold, items
@@ -79,16 +82,42 @@ class Sketches:
                     yield item, len(own), n
 
 
+class Search:
+    """Items of one block by their shingle width."""
+
+    def __init__(self, items: list[tuple[int, int, np.ndarray]], threshold: float):
+        self.by_width = {w: Sketches([(i, s) for i, width, s in items if width == w], threshold)
+                         for w in sorted({width for _, width, _ in items})}
+
+    def reader(self):
+        """Function from a text to its (item id, shingles of it, how many are held)."""
+        readers = [(w, ShingleHasher(w, words), sketches) for w, sketches in self.by_width.items()]
+
+        def found(text):
+            for w, hasher, sketches in readers:
+                yield from sketches.verified(hasher(text))
+        return found
+
+
 def item_shingles(items: DataFrame, item_col: str, text_col: str, width: int) -> DataFrame:
-    """(item_id, shingles): sorted distinct shingle hashes of each item."""
+    """(item_id, width, shingles): sorted distinct shingle hashes of each item,
+    of ``width`` words or of all that it has."""
     @factory
     def make():
-        hasher = ShingleHasher(width, words)
-        return lambda key, text: {"item_id": key, "shingles": [np.unique(hasher(t)).view(np.int64) for t in text]}
+        hashers = {w: ShingleHasher(w, words) for w in range(1, width + 1)}
+
+        def work(key, text):
+            out = {"item_id": key, "width": [], "shingles": []}
+            for t in text:
+                w = min(width, max(1, len(words(t or ""))))
+                out["width"].append(w)
+                out["shingles"].append(np.unique(hashers[w](t)).view(np.int64))
+            return out
+        return work
 
     kind = items.schema[item_col].dataType.simpleString()
     return map_texts(items.select(items[item_col].alias("item_id"), items[text_col].alias("text")), make,
-                     f"item_id {kind}, shingles array<long>")
+                     f"item_id {kind}, width int, shingles array<long>")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -98,8 +127,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     the document holds at least ``threshold`` of the item's distinct shingles.
 
     Words are runs of letters and digits in lower case, shingles ``width`` words;
-    a text with fewer words has one shingle of all of them, so such an item is
-    found only in documents that consist of it.  Items or documents without
+    an item with fewer words has one shingle of all of them, which a document
+    holds if these words stand in it one after another.  Items or documents without
     words (null and empty ones) are in no pair.  Rows that repeat, in either
     table, give a row each.  Items are dealt by hash into blocks of about
     ``block_shingles`` hashes (16 MB), the most that the driver and a task hold
@@ -109,15 +138,15 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     kind = rows.schema["doc_id"].dataType.simpleString()
     item_kind = items.schema[item_col].dataType.simpleString()
     out = None
-    for shared in sketches_of(items, item_col, item_text_col, width, threshold, block_shingles):
+    for shared in searches(items, item_col, item_text_col, width, threshold, block_shingles):
         @factory
         def make(shared=shared):
-            hasher, sketches = ShingleHasher(width, words), shared.value
+            found = shared.value.reader()
 
             def work(ids, texts):
                 out = {"doc_id": [], "item_id": [], "item_shingles": [], "shared": []}
                 for i, t in zip(ids, texts):
-                    for row in sketches.verified(hasher(t)):
+                    for row in found(t):
                         for column, v in zip(out.values(), (i, *row)):
                             column.append(v)
                 return out
@@ -128,16 +157,16 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     return out
 
 
-def sketches_of(items: DataFrame, item_col: str, text_col: str, width: int, threshold: float,
+def searches(items: DataFrame, item_col: str, text_col: str, width: int, threshold: float,
                 block_shingles: int) -> Iterator[Shared]:
-    """The sketches of one block of items after another, sent to the tasks."""
+    """The search of one block of items after another, sent to the tasks."""
     sets = item_shingles(items, item_col, text_col, width).where(F.size("shingles") > 0)
     total = sets.agg(F.coalesce(F.sum(F.size("shingles")), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(total / block_shingles))
     for k in range(blocks):
-        own = [(r[0], np.sort(np.array(r[1], np.int64).view(np.uint64)))
+        own = [(r[0], r[1], np.sort(np.array(r[2], np.int64).view(np.uint64)))
                for r in sets.where(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(blocks)) == k).collect()]
-        yield Shared(items.sparkSession, Sketches(own, threshold))
+        yield Shared(items.sparkSession, Search(own, threshold))
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
@@ -145,11 +174,11 @@ def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "tex
                          block_shingles: int = 2_000_000) -> DataFrame:
     """The rows of ``docs`` that hold no test item, with all their columns; the
     definitions are those of ``contaminated``."""
-    for shared in sketches_of(items, item_col, item_text_col, width, threshold, block_shingles):
+    for shared in searches(items, item_col, item_text_col, width, threshold, block_shingles):
         @factory
         def make(shared=shared):
-            hasher, sketches = ShingleHasher(width, words), shared.value
-            return lambda texts: [not any(True for _ in sketches.verified(hasher(t))) for t in texts]
+            found = shared.value.reader()
+            return lambda texts: [not any(True for _ in found(t)) for t in texts]
 
         docs = filter_rows(docs, text_col, make)
     return docs

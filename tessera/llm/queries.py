@@ -149,12 +149,14 @@ FROM f""",
     "op4_decontamination": """
 WITH w AS (SELECT 'd' AS side, doc_id AS id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS words FROM documents
            UNION ALL SELECT 'i', item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') FROM benchmark),
-s AS (SELECT DISTINCT side, id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
-             ELSE list_transform(range(1, len(words) - 3), lambda k: array_to_string(words[k:k + 4], ' ')) END) AS shingle
-      FROM w),
+k AS (SELECT side, id, words, least(5, len(words)) AS width FROM w WHERE side = 'i' AND len(words) > 0),
+r AS (SELECT * FROM k UNION ALL SELECT w.side, id, words, u.width FROM w, (SELECT DISTINCT width FROM k) u
+      WHERE side = 'd' AND len(words) >= u.width),
+s AS (SELECT DISTINCT side, id, width, unnest(list_transform(range(1, len(words) - width + 2),
+             lambda k: array_to_string(words[k:k + width - 1], ' '))) AS shingle FROM r),
 q AS (SELECT id, count(*) AS n FROM s WHERE side = 'i' GROUP BY id),
 h AS (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared
-      FROM s d JOIN s i ON d.side = 'd' AND i.side = 'i' AND d.shingle = i.shingle GROUP BY ALL)
+      FROM s d JOIN s i ON d.side = 'd' AND i.side = 'i' AND d.shingle = i.shingle AND d.width = i.width GROUP BY ALL)
 SELECT doc_id, item_id, n AS item_shingles, shared FROM h JOIN q ON h.item_id = q.id
 WHERE shared * 5 >= n * 4""",
     "op9_embedding_near_dedup": """

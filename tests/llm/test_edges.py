@@ -188,6 +188,17 @@ def test_decontam(spark, docs, none):
                   decontam.contaminated(docs, items, block_shingles=1).collect()) == got
 
 
+def test_decontam_short_items(spark):
+    """Items of fewer words than a shingle are found inside longer documents."""
+    docs = spark.createDataFrame([(1, "we say Hello, World! twice a day"), (2, "hello there world"), (3, "hello world"),
+                                  (4, "x yes"), (5, ""), (6, None), (7, "one two three four five six seven")], "doc_id long, text string")
+    items = spark.createDataFrame([(10, "hello world"), (11, "YES"), (12, ""), (13, None), (14, "two three four five"),
+                                   (15, "two three four five six"), (16, "seven eight")], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.item_shingles, r.shared) for r in decontam.contaminated(docs, items).collect())
+    assert got == [(1, 10, 1, 1), (3, 10, 1, 1), (4, 11, 1, 1), (7, 14, 1, 1), (7, 15, 1, 1)]
+    assert sorted(r.doc_id for r in decontam.without_contaminated(docs, items).collect()) == [2, 5, 6]
+
+
 def test_decontam_scattered_and_partial(spark):
     rng = np.random.default_rng(4)
     item = [f"i{k}" for k in range(44)]
