@@ -1,8 +1,7 @@
 """Supervised learning helpers and model evaluation (M1--M18).
 
 Splits are deterministic arithmetic on keys (no global row numbers); the
-k-nearest-neighbour join broadcasts nothing that grows with the data: it is
-a partitioned theta join followed by a per-query top-k (WindowGroupLimit).
+k-nearest-neighbour join visits cells of nearby rows (``neighbours``).
 Model fitting uses Spark ML estimators.
 """
 
@@ -11,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions import vectors as V
+from tessera.operators.neighbours import k_nearest
 from tessera.operators.relational import attach_row
 
 
@@ -58,18 +57,9 @@ def time_splits(df: DataFrame, ts: str, n_splits: int = 5) -> DataFrame:
 
 def knn_join(queries: DataFrame, base: DataFrame, k: int, metric: str = "euclidean",
              qid="id", bid="id", vec="vec", exclude_self: bool = True) -> DataFrame:
-    """Exact k nearest neighbours ``(qid, bid, d, rank)`` by brute force;
-    ties are broken by the base id.  The top-k filter runs per task before
-    the final shuffle (WindowGroupLimit)."""
-    dim = V.vector_dim(base, vec)
-    extra = [c for c in base.columns if c not in (bid, vec)]
-    q = V.spread(queries, vec, dim, "q", [F.col(qid).alias("qid")])
-    b = V.spread(base, vec, dim, "b", [F.col(bid).alias("bid"), *extra])
-    cond = F.col("qid") != F.col("bid") if exclude_self else F.lit(True)
-    p = q.join(b, cond).select("qid", "bid", V.col_distance(metric, "q", "b", dim).alias("d"),
-                               *extra)
-    w = Window.partitionBy("qid").orderBy("d", "bid")
-    return p.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    """Exact k nearest neighbours ``(qid, bid, d, rank)``, ties by the base
+    id; by pivot cells (``neighbours.k_nearest``)."""
+    return k_nearest(queries, base, k, metric, qid, bid, vec, exclude_self)
 
 
 def knn_classify(neigh: DataFrame, label: str = "label", weights: str = "distance") -> DataFrame:

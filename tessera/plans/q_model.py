@@ -114,6 +114,16 @@ def _knn(spark, sf):
     return v, M.knn_classify(nb, "label")
 
 
+@query("J6_nearest_neighbours", with_views([], """
+SELECT qid, bid, round(d, 6) AS d, label, CAST(rk AS INTEGER) AS rank FROM (
+  SELECT a.id AS qid, b.id AS bid, b.label, list_distance(a.vec, b.vec) AS d,
+         row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.vec, b.vec), b.id) AS rk
+  FROM vecs a JOIN vecs b ON a.id <> b.id) t WHERE rk <= 10""", [VECS]))
+def j6(spark, sf):
+    v = T.vectors(spark, sf)
+    return M.knn_join(v, v, 10).withColumn("d", r6("d"))
+
+
 @query("M6_knn_classify", with_views([], KNN + "SELECT qid, pred, round(votes, 6) AS votes FROM best",
                                      [VECS]))
 def m6(spark, sf):
