@@ -6,6 +6,8 @@ just those, so further columns (whatever their names) never reach the work.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import pickle
 from collections.abc import Callable, Iterator
 
@@ -27,6 +29,16 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
+def tidy() -> None:
+    """Gives memory that a task no longer needs back to the system: its worker
+    lives on, idle, beside those of later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_texts(df: DataFrame, fn: Callable, schema: str, piece: int = 4 << 20, raw: bool = False) -> DataFrame:
     """``fn(*columns as lists) -> {column: list or array}`` over the rows, in
     pieces of about ``piece`` bytes, so that a task holds little beyond its Arrow
@@ -48,6 +60,9 @@ def map_texts(df: DataFrame, fn: Callable, schema: str, piece: int = 4 << 20, ra
                 yield pa.RecordBatch.from_pydict(
                     {f.name: out[f.name].cast(f.type) if isinstance(out[f.name], pa.Array) else out[f.name]
                      for f in shape}, shape)
+                del out, part
+        work = b = None
+        tidy()
     small_batches(df)
     return df.mapInArrow(run, schema)
 
@@ -64,6 +79,8 @@ def filter_rows(df: DataFrame, column: str, fn: Callable) -> DataFrame:
             for k in range(0, len(values), 256):
                 out += keep(values.slice(k, 256).to_pylist())
             yield pa.array(out, pa.bool_())
+        keep = values = None
+        tidy()
     small_batches(df)
     return df.where(kept(df[column]))
 

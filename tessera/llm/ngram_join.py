@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import (ShingleHasher, arrow_schema, ascii_words, connected, cut_lineage, factory, map_texts,
-                                mix64, small_batches)
+                                mix64, small_batches, tidy)
 
 _U = np.uint64
 #: Join keys that a task of the key join holds at most, on average.
@@ -244,6 +244,9 @@ def shared_keys(rows: DataFrame, width: int, words: Callable, threshold: Thresho
                     keys, classes, size = [], [], 0
         if size:
             yield from piece()
+        del keys, classes
+        seen.clear()
+        tidy()
 
     out_ddl = "key long, cls long"
     out_shape = arrow_schema(out_ddl)
@@ -276,7 +279,11 @@ def shared_keys(rows: DataFrame, width: int, words: Callable, threshold: Thresho
         k, c = k[new], c[new]
         same = k[1:] == k[:-1]
         more = np.append(False, same) | np.append(same, False) if len(k) else new[new]
-        yield from rows_of(k[more], c[more])
+        k, c = k[more], c[more]
+        del same, more, new, order
+        yield from rows_of(k, c)
+        del k, c
+        tidy()
 
     small_batches(rows)
     sent = rows.select("text").mapInArrow(send, ddl)
@@ -502,7 +509,8 @@ def classes_and_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     near = (unsettled(with_label(keys, None), heads).select("cls", "label", F.explode("heads").alias("head"))
             .where("label <> head.label")
             .select(F.least("cls", "head.cls").alias("a"), F.greatest("cls", "head.cls").alias("b")).distinct())
-    links = cut_lineage(verified(sketch_filter(near, table, threshold), table, width, words, threshold))
+    near = cut_lineage(sketch_filter(near, table, threshold))    # so that no task has two Python workers
+    links = cut_lineage(verified(near, table, width, words, threshold))
     labels = connected(links)
     # then every pair of a key that is still apart
     rest = remaining_pairs(unsettled(with_label(keys, labels)), table, threshold)
