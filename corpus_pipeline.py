@@ -42,7 +42,8 @@ def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, n_bytes): the ids, and the length of their decoding."""
     import public_tokenizers
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe.decode(bpe.encode(docs, path), path).select(
+    ids = cut_lineage(bpe.encode(docs, path))       # so that no task has two Python workers
+    return bpe.decode(ids, path).select(
         F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.length("bytes").cast("long").alias("n_bytes"))
 
