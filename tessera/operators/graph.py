@@ -331,6 +331,147 @@ def k_cliques(edges: DataFrame, k: int) -> DataFrame:
     return cl.select(F.array_sort("nodes").alias("nodes"))
 
 
+def maximal_cliques(edges: DataFrame, max_size: int = 32, min_size: int = 2) -> DataFrame:
+    """All maximal cliques ``(nodes, size)``, sorted node arrays.
+
+    Cliques grow by a level a round, each once, by nodes greater than its last
+    one; a table of all common neighbours of each clique says which have none and
+    so are maximal.  With ``min_size`` the search runs inside the core of nodes with
+    that many neighbours, where larger cliques lie.  Raises if there are cliques of
+    more than ``max_size`` nodes."""
+    e = cut_lineage(canonical(edges).filter(F.col("src") != F.col("dst")))
+    if min_size > 2:
+        e = k_core(e, min_size - 1)
+    adj = cut_lineage(both_ways(e))
+    cliques = e.select(F.array("src", "dst").alias("nodes"))
+    # common neighbours of an edge are the third nodes of its triangles
+    tri = cut_lineage(triangles(e))
+    common = cut_lineage(tri.select(F.array("a", "b").alias("nodes"), F.col("c").alias("x")).unionByName(
+        tri.select(F.array("a", "c").alias("nodes"), F.col("b").alias("x"))).unionByName(
+        tri.select(F.array("b", "c").alias("nodes"), F.col("a").alias("x"))))
+    out, size = None, 2
+    while True:
+        own = cliques.join(common.select("nodes").distinct(), "nodes", "left_anti").select("nodes", F.lit(size).alias("size"))
+        if size >= min_size:
+            out = own if out is None else out.unionByName(own)
+        grown = common.filter(F.col("x") > F.element_at("nodes", -1))
+        if grown.isEmpty():
+            return cut_lineage(out) if out is not None else cliques.limit(0).select("nodes", F.lit(0).alias("size"))
+        if size == max_size:
+            raise RuntimeError(f"there are cliques of more than {max_size} nodes")
+        size += 1
+        longer = F.concat("nodes", F.array("x"))
+        # a common neighbour of the clique stays one of the larger clique if it knows the new node
+        common = cut_lineage(grown.join(common.withColumnRenamed("x", "y"), "nodes").filter(F.col("x") != F.col("y"))
+                             .join(adj.select(F.col("a").alias("x"), F.col("b").alias("y")), ["x", "y"], "left_semi")
+                             .select(longer.alias("nodes"), F.col("y").alias("x")))
+        cliques = cut_lineage(grown.select(longer.alias("nodes")))
+
+
+def clique_summary(cliques: DataFrame) -> DataFrame:
+    """Clique number, number of maximal cliques, and how many reach it."""
+    largest = cliques.agg(F.max("size").alias("_m"))
+    return attach_row(cliques, largest).agg(F.max("size").alias("clique_number"), F.count(F.lit(1)).alias("n_maximal"),
+                                            F.sum((F.col("size") == F.col("_m")).cast("bigint")).alias("n_maximum"))
+
+
+def reach(edges: DataFrame, lg_k: int = 10, max_hops: int = 100) -> DataFrame:
+    """G7, G8, G9 for every node at once: ``(id, hop, n)``, an approximation of
+    the number of nodes within ``hop`` steps of each node, itself included.
+
+    Each node has a HyperLogLog sketch of the nodes it reaches (2 ** lg_k
+    registers, relative error about 0.83 / sqrt(2 ** lg_k)); a hop unites it with
+    its neighbours' sketches, so a hub only receives partial unions and no
+    (source, node) row exists.  A node has a row for each hop at which its sketch
+    still grew, so its last hop is a lower bound of its eccentricity, and within the
+    sketches' error the value.  Ends when no sketch grows, raises after ``max_hops``."""
+    adj = cut_lineage(both_ways(canonical(edges)).filter(F.col("a") != F.col("b")))
+    state = cut_lineage(nodes_of(edges).groupBy("id").agg(F.hll_sketch_agg(F.col("id").cast("string"), F.lit(lg_k)).alias("sketch")))
+    out = [state.select("id", F.lit(0).alias("hop"), F.hll_sketch_estimate("sketch").alias("n"))]
+    for hop in range(1, max_hops + 1):
+        around = (adj.join(state.select(F.col("id").alias("b"), "sketch"), "b").select(F.col("a").alias("id"), "sketch")
+                  .unionByName(state.select("id", "sketch")).groupBy("id").agg(F.hll_union_agg("sketch").alias("sketch")))
+        new = (around.join(state.select("id", F.hll_sketch_estimate("sketch").alias("before")), "id")
+               .select("id", "sketch", F.hll_sketch_estimate("sketch").alias("n"), "before"))
+        state = cut_lineage(new)
+        grew = state.filter(F.col("n") > F.col("before"))
+        if grew.isEmpty():
+            rows = out[0]
+            for o in out[1:]:
+                rows = rows.unionByName(o)
+            return rows
+        out.append(grew.select("id", F.lit(hop).alias("hop"), "n"))
+    raise RuntimeError(f"paths are longer than {max_hops}")
+
+
+def distance_distribution(reached: DataFrame) -> DataFrame:
+    """``(dist, n_pairs)``: ordered pairs of nodes at each distance, from
+    ``reach``."""
+    w = Window.partitionBy("id").orderBy("hop")
+    step = reached.withColumn("new", F.col("n") - F.coalesce(F.lag("n").over(w), F.lit(0)))
+    return step.filter("hop > 0").groupBy(F.col("hop").alias("dist")).agg(F.sum("new").alias("n_pairs"))
+
+
+def reach_metrics(reached: DataFrame) -> DataFrame:
+    """``(id, ecc, reachable, closeness)`` of every node, from ``reach``."""
+    w = Window.partitionBy("id").orderBy("hop")
+    step = reached.withColumn("new", F.col("n") - F.coalesce(F.lag("n").over(w), F.lit(0)))
+    per = step.groupBy("id").agg(F.max("hop").alias("ecc"), F.max("n").alias("reachable"), F.sum(F.col("new") * F.col("hop")).alias("tot"))
+    n = per.agg(F.count(F.lit(1)).alias("_n"))
+    c = F.coalesce(F.try_divide(F.col("reachable") - 1, F.col("tot"))
+                   * F.least(F.lit(1.0), F.try_divide(F.col("reachable") - 1, F.col("_n") - 1)), F.lit(0.0))
+    return attach_row(per, n).select("id", "ecc", "reachable", c.alias("closeness"))
+
+
+def four_cycles(edges: DataFrame) -> DataFrame:
+    """Number of four-cycles of an undirected graph, one row ``(c4)``.
+
+    Nodes are ranked by degree, then id.  A cycle is counted at its node of highest
+    rank: over wedges from it by a node of lower rank to a third of lower rank,
+    c wedges between the same two ends are c (c - 1) / 2 cycles.  That is
+    O(m ** 1.5) wedges, and a hub is never the middle of one to a higher node."""
+    e = cut_lineage(canonical(edges).filter(F.col("src") != F.col("dst")))
+    rank = F.struct("degree", "id")
+    d = degrees(e).select("id", rank.alias("rank"))
+    adj = both_ways(e).join(d.select(F.col("id").alias("a"), F.col("rank").alias("ra")), "a").join(
+        d.select(F.col("id").alias("b"), F.col("rank").alias("rb")), "b")
+    adj = cut_lineage(adj)
+    down = adj.filter(F.col("ra") > F.col("rb")).select(F.col("a").alias("u"), "ra", F.col("b").alias("w"))
+    on = adj.select(F.col("a").alias("w"), F.col("b").alias("v"), F.col("rb").alias("rv"))
+    pairs = down.join(on, "w").filter(F.col("rv") < F.col("ra")).groupBy("u", "v").agg(F.count(F.lit(1)).alias("c"))
+    return pairs.agg(F.coalesce(F.sum(F.col("c") * (F.col("c") - 1) / 2), F.lit(0)).cast("bigint").alias("c4"))
+
+
+def robins_alexander(edges: DataFrame) -> DataFrame:
+    """Bipartite clustering of a whole graph, four times the four-cycles by
+    the paths of three edges: ``(c4, l3, coefficient)``; 0 without such paths."""
+    e = canonical(edges)
+    d = degrees(e).select("id", (F.col("degree") - 1).alias("rest"))
+    l3 = (e.join(d.withColumnRenamed("id", "src").withColumnRenamed("rest", "x"), "src")
+          .join(d.withColumnRenamed("id", "dst").withColumnRenamed("rest", "y"), "dst")
+          .agg(F.coalesce(F.sum(F.col("x") * F.col("y")), F.lit(0)).alias("l3")))
+    return four_cycles(e).crossJoin(l3).select("c4", "l3", F.coalesce(F.try_divide(4.0 * F.col("c4"), F.col("l3")), F.lit(0.0))
+                                               .alias("coefficient"))
+
+
+def bipartite_clustering(edges: DataFrame, max_pairs: int = 10 ** 9) -> DataFrame:
+    """Per node the mean over the nodes two steps away of shared neighbours
+    by neighbours of either (``(id, clustering)``, 0 without any).
+
+    Needs a row for every pair of nodes with a common neighbour, so the number
+    of two-step walks is counted first and ``max_pairs`` of them are allowed."""
+    adj = cut_lineage(both_ways(canonical(edges)).filter(F.col("a") != F.col("b")))
+    d = cut_lineage(adj.groupBy("a").agg(F.count(F.lit(1)).alias("d")))
+    walks = d.agg(F.coalesce(F.sum(F.col("d") * (F.col("d") - 1)), F.lit(0))).first()[0]
+    if walks > max_pairs:
+        raise RuntimeError(f"{walks} pairs with a common neighbour")
+    shared = (adj.alias("x").join(adj.alias("y"), F.col("x.b") == F.col("y.b")).filter(F.col("x.a") != F.col("y.a"))
+              .groupBy(F.col("x.a").alias("a"), F.col("y.a").alias("v")).agg(F.count(F.lit(1)).alias("c")))
+    part = (shared.join(d, "a").join(d.select(F.col("a").alias("v"), F.col("d").alias("dv")), "v")
+            .groupBy("a").agg(F.avg(F.col("c") / (F.col("d") + F.col("dv") - F.col("c"))).alias("cl")))
+    return d.select("a").join(part, "a", "left").select(F.col("a").alias("id"), F.coalesce("cl", F.lit(0.0)).alias("clustering"))
+
+
 def top_nodes(metric: DataFrame, nodes: DataFrame, score: str, n: int = 10) -> DataFrame:
     """Best ``n`` nodes by a metric with their attributes."""
     return metric.orderBy(F.desc(score), F.asc("id")).limit(n).join(nodes, "id", "left")
@@ -381,7 +522,8 @@ def betweenness(edges: DataFrame, sources: DataFrame | None = None,
     level-synchronous: a forward BFS per source carries shortest-path counts
     ``sigma`` level by level (join + aggregate per level); the backward pass
     accumulates ``delta(v) = sum_w sigma_v / sigma_w (1 + delta_w)`` from the
-    deepest level up.  ``sources`` restricts the sum to a set of sources."""
+    deepest level up.  ``sources`` restricts the sum to a set of sources and
+    scales it by nodes per source, an unbiased estimate if they are random."""
     adj = cut_lineage(both_ways(canonical(edges)).filter(F.col("a") != F.col("b")))
     nodes = nodes_of(edges)
     n = nodes.count()
@@ -420,6 +562,8 @@ def betweenness(edges: DataFrame, sources: DataFrame | None = None,
         return nodes.select("id", F.lit(0.0).alias("betweenness"))
     b = tot.groupBy(F.col("v").alias("id")).agg(F.sum("delta").alias("b"))
     scale = 1.0 / ((n - 1) * (n - 2)) if normalized and n > 2 else 0.5
+    if sources is not None:
+        scale *= n / max(1, src.count())
     return (nodes.join(b, "id", "left")
             .select("id", (F.coalesce("b", F.lit(0.0)) * scale).alias("betweenness")))
 

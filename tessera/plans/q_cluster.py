@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions import vectors as V
 from tessera.operators import cluster as C
+from tessera.operators import text as TO
+from tessera.operators import topics as TP
 from tessera.plans.catalog import query
 from tessera.plans.views_sql import with_views
 from tessera.sources import tables as T
@@ -101,6 +103,47 @@ def c12(spark, sf):
     return C.mapped_error(a.join(v.select("id", "label"), "id"), "label", "cluster")
 
 
+def _components(spark, sf):
+    """Vectors, and a third as many singular values and components as they have
+    dimensions."""
+    v = T.vectors(spark, sf)
+    long = v.select("id", F.posexplode("vec").alias("term", "w"))
+    values, rows, _ = TP.truncated_svd(long, max(1, V.vector_dim(v) // 3), "id")
+    reduced = rows.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("dim", "value"))).alias("x")).select(
+        "id", F.transform("x", lambda s: s["value"]).alias("vec"))
+    return v.select("id", "label"), values, reduced
+
+
+@query("C14_svd_singular_values")
+def c14(spark, sf):
+    return _components(spark, sf)[1]
+
+
+@query("C14_svd_kmeans_error")
+def c14k(spark, sf):
+    labels, _, reduced = _components(spark, sf)
+    _, a = C.kmeans(reduced, 10, seeds=(1,))
+    return C.mapped_error(a.join(labels, "id"), "label", "cluster")
+
+
+@query("C14_svd_bisecting_error")
+def c14b(spark, sf):
+    labels, _, reduced = _components(spark, sf)
+    return C.mapped_error(C.bisecting(reduced, 10).join(labels, "id"), "label", "cluster")
+
+
+@query("C14_svd_of_texts_kmeans_error")
+def c14t(spark, sf):
+    """TF-IDF of whole documents, ten components, clusters against languages."""
+    docs = T.table(spark, sf, "documents")
+    _, clean, _ = TO.clean_sentence_tokens(docs.select("doc_id", "text"))
+    _, rows, _ = TP.truncated_svd(TO.tfidf_log2(TO.bag_of_words(clean)), 10)
+    reduced = rows.groupBy(F.col("doc_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("dim", "value"))).alias("x")).select(
+        "id", F.transform("x", lambda s: s["value"]).alias("vec"))
+    _, a = C.kmeans(reduced, 4, seeds=(1,))
+    return C.mapped_error(a.join(docs.select(F.col("doc_id").alias("id"), "lang"), "id"), "lang", "cluster")
+
+
 @query("C13_label_distribution", _q([CEN, ASSIGN], """
 SELECT coalesce(t.label, p.label) AS label, coalesce(n_true, 0) AS n_true,
        coalesce(n_pred, 0) AS n_pred

@@ -52,12 +52,12 @@ def g3(spark, sf):
     return G.degree_histogram(T.copurchase(spark, sf))
 
 
-@query("G5_graph_stats", _sql("copurchase_sparse", [DEG], """
+@query("G5_graph_stats", _sql("copurchase", [DEG], """
 SELECT n, m, round(m / n, 6) AS m_per_n, round(2 * m / n, 6) AS avg_degree,
        round(2 * m / (n * (n - 1)), 6) AS density
 FROM (SELECT count(*) AS n FROM deg) a, (SELECT count(*) AS m FROM e) b"""))
 def g5(spark, sf):
-    s = G.graph_stats(T.copurchase_sparse(spark, sf))
+    s = G.graph_stats(T.copurchase(spark, sf))
     return s.select("n", "m", *[r6(c).alias(c) for c in ("m_per_n", "avg_degree", "density")])
 
 
@@ -126,7 +126,7 @@ def g4b(spark, sf):
 PARTS = "nodes JOIN part ON p_partkey = id AND p_size = 50"
 
 
-def _bfs_sql(body, extra="", view="copurchase_sparse", sources=PARTS):
+def _bfs_sql(body, extra="", view="copurchase", sources=PARTS):
     """Breadth-first search from the sources; ends when no node is new."""
     return f"""WITH RECURSIVE e AS (SELECT src, dst FROM ({VIEWS[view]}) v
                                     WHERE src <> dst),
@@ -146,7 +146,7 @@ _PATHS = ("SELECT source, id, dist FROM paths",)
 
 @query("G7_shortest_paths", _bfs_sql(*_PATHS))
 def g7(spark, sf):
-    return G.shortest_paths(T.copurchase_sparse(spark, sf), T.path_sources(spark, sf))
+    return G.shortest_paths(T.copurchase(spark, sf), T.path_sources(spark, sf))
 
 
 @query("G7_shortest_paths_nations", _bfs_sql(*_PATHS, **_NATIONS))
@@ -170,7 +170,7 @@ def _distances(paths):
 
 @query("G8_distance_summary_estimate", _bfs_sql(*_SUMMARY))
 def g8(spark, sf):
-    return _distances(G.shortest_paths(T.copurchase_sparse(spark, sf), T.path_sources(spark, sf)))
+    return _distances(G.shortest_paths(T.copurchase(spark, sf), T.path_sources(spark, sf)))
 
 
 @query("G8_distance_summary_nations", _bfs_sql(*_SUMMARY, **_NATIONS))
@@ -187,7 +187,7 @@ FROM (SELECT source AS id, count(*) AS r, sum(dist) AS tot FROM paths GROUP BY 1
 
 @query("G9_closeness", _bfs_sql(*_CLOSENESS))
 def g9(spark, sf):
-    e = T.copurchase_sparse(spark, sf)
+    e = T.copurchase(spark, sf)
     return G.closeness(G.shortest_paths(e, T.path_sources(spark, sf)), G.nodes_of(e)).withColumn(
         "closeness", r6("closeness"))
 
@@ -211,12 +211,12 @@ def _eig_sql(iters=100, tol=1e-6):
                           f"fz OR (SELECT sum(abs(xn - x)) FROM z{k}) < "
                           f"(SELECT count(*) FROM nodes) * {tol} AS fz FROM z{k}"),
         ]
-    return _sql("copurchase_sparse", ctes, f"SELECT id, round(x, 6) AS eigenvector FROM x{iters}")
+    return _sql("copurchase", ctes, f"SELECT id, round(x, 6) AS eigenvector FROM x{iters}")
 
 
 @query("G11_eigenvector_centrality", _eig_sql)
 def g11(spark, sf):
-    return G.eigenvector(T.copurchase_sparse(spark, sf)).withColumn("eigenvector",
+    return G.eigenvector(T.copurchase(spark, sf)).withColumn("eigenvector",
                                                                     r6("eigenvector"))
 
 
@@ -253,12 +253,12 @@ LEFT JOIN (SELECT en.dst AS id, sum(en.p * x.x) AS inflow FROM en JOIN x{k} x ON
 
 def _pr_unweighted():
     ctes, last = _pr_sql("SELECT src, dst, 1.0 AS w FROM e")
-    return _sql("copurchase_sparse", ctes, f"SELECT id, round(x, 6) AS rank FROM {last}")
+    return _sql("copurchase", ctes, f"SELECT id, round(x, 6) AS rank FROM {last}")
 
 
 @query("G12_pagerank", _pr_unweighted)
 def g12(spark, sf):
-    return G.pagerank(T.copurchase_sparse(spark, sf)).withColumn("rank", r6("rank"))
+    return G.pagerank(T.copurchase(spark, sf)).withColumn("rank", r6("rank"))
 
 
 def _pr_weighted():
@@ -298,7 +298,7 @@ m AS (SELECT dg.id, CAST(dg.d AS DOUBLE) AS degree, clo.c AS closeness
 
 @query("G15_compare_metrics_estimate", _bfs_sql(*_METRICS))
 def g15(spark, sf):
-    return _compared(T.copurchase_sparse(spark, sf), T.path_sources(spark, sf))
+    return _compared(T.copurchase(spark, sf), T.path_sources(spark, sf))
 
 
 @query("G15_compare_metrics_nations", _bfs_sql(*_METRICS, **_NATIONS))
@@ -345,7 +345,7 @@ def g21(spark, sf):
                           "quad_class")
 
 
-def _betweenness_sql(levels=16, view="copurchase_sparse", sources=PARTS):
+def _betweenness_sql(levels=16, view="copurchase", sources=PARTS):
     ctes = [ADJ, ("nodes", "SELECT DISTINCT a AS id FROM adj"),
             ("lv0", f"SELECT id AS s, id AS v, 1.0 AS sigma FROM {sources}"),
             ("vis0", "SELECT s, v FROM lv0")]
@@ -369,16 +369,16 @@ def _betweenness_sql(levels=16, view="copurchase_sparse", sources=PARTS):
         ]
     alld = " UNION ALL ".join(f"SELECT v, delta FROM d{i}" for i in range(1, levels + 1))
     body = f"""SELECT n.id, round(CASE WHEN (SELECT count(*) FROM lv{levels}) > 0 THEN error('more levels needed')
-                  ELSE coalesce(sum(d.delta), 0.0) END
+                  ELSE coalesce(sum(d.delta), 0.0) END * (SELECT count(*) FROM nodes) / (SELECT count(*) FROM lv0)
                   / (((SELECT count(*) FROM nodes) - 1) * ((SELECT count(*) FROM nodes) - 2)), 6)
                   AS betweenness
                FROM nodes n LEFT JOIN ({alld}) d ON d.v = n.id GROUP BY n.id"""
     return _sql(view, ctes, body)
 
 
-@query("G10_betweenness_estimate_lower_bound", _betweenness_sql)
+@query("G10_betweenness_estimate", _betweenness_sql)
 def g10(spark, sf):
-    return G.betweenness(T.copurchase_sparse(spark, sf), T.path_sources(spark, sf)).withColumn(
+    return G.betweenness(T.copurchase(spark, sf), T.path_sources(spark, sf)).withColumn(
         "betweenness", r6("betweenness"))
 
 
@@ -405,9 +405,75 @@ def _communities_sql(rounds=30):
                JOIN lab{rounds} l ON cl.cid = l.cid, unnest([cl.p, cl.q, cl.r]) AS t(id)
                WHERE CASE WHEN EXISTS (SELECT 1 FROM lab{rounds} a JOIN lab{rounds - 1} b ON a.cid = b.cid
                                        WHERE a.label <> b.label) THEN error('more rounds needed') ELSE true END"""
-    return _sql("copurchase_sparse", ctes, body)
+    return _sql("copurchase", ctes, body)
 
 
 @query("G14_clique_communities", _communities_sql)
 def g14(spark, sf):
-    return G.clique_communities(T.copurchase_sparse(spark, sf), 3)
+    return G.clique_communities(T.copurchase(spark, sf), 3)
+
+
+# ------------------------------------------------------------ all nodes at once
+
+@query("G7_distance_distribution_sketch")
+def g7s(spark, sf):
+    """Pairs at each distance over all nodes of ``copurchase``, by sketches: an
+    approximation (see ``graph.reach``)."""
+    return G.distance_distribution(G.reach(T.copurchase(spark, sf)))
+
+
+@query("G9_reach_metrics_sketch")
+def g9s(spark, sf):
+    """Eccentricity, reachable nodes and closeness of all nodes of ``copurchase``,
+    by sketches: an approximation."""
+    return G.reach_metrics(G.reach(T.copurchase(spark, sf)))
+
+
+def _maximal_sql(most=7):
+    """Cliques as n1 < n2 < ...; maximal if no node knows all of their nodes."""
+    ctes = [ADJ, ("c2", "SELECT src AS n1, dst AS n2 FROM e")]
+    for k in range(3, most + 1):
+        old = ", ".join(f"c.n{i}" for i in range(1, k))
+        rest = " ".join(f"JOIN e e{i} ON e{i}.src = c.n{i} AND e{i}.dst = x.dst" for i in range(1, k - 1))
+        ctes.append((f"c{k}", f"SELECT {old}, x.dst AS n{k} FROM c{k - 1} c JOIN e x ON x.src = c.n{k - 1} {rest}"))
+    for k in range(2, most):
+        known = " ".join(f"JOIN adj a{i} ON a{i}.a = c.n{i} AND a{i}.b = a1.b" for i in range(2, k + 1))
+        nodes = ", ".join(f"c.n{i}" for i in range(1, k + 1))
+        ctes.append((f"x{k}", f"SELECT DISTINCT {nodes} FROM c{k} c JOIN adj a1 ON a1.a = c.n1 {known}"))
+    rows = " UNION ALL ".join(f"SELECT {k} AS size, (SELECT count(*) FROM c{k}) - (SELECT count(*) FROM x{k}) AS n"
+                              for k in range(2, most))
+    return _sql("copurchase", ctes, f"""SELECT CAST(size AS INTEGER) AS size, n FROM ({rows}) t
+        WHERE n > 0 AND CASE WHEN (SELECT count(*) FROM c{most}) > 0 THEN error('larger cliques') ELSE true END""")
+
+
+@query("G13_maximal_cliques", _maximal_sql)
+def g13m(spark, sf):
+    return G.maximal_cliques(T.copurchase(spark, sf)).groupBy("size").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("G13_clique_number", lambda: f"""
+SELECT max(size) AS clique_number, CAST(sum(n) AS BIGINT) AS n_maximal, CAST(max_by(n, size) AS BIGINT) AS n_maximum
+FROM ({_maximal_sql()}) t""")
+def g13n(spark, sf):
+    return G.clique_summary(G.maximal_cliques(T.copurchase(spark, sf)))
+
+
+@query("G20_robins_alexander", with_views(["cust_supp"], """
+WITH du AS (SELECT cust, count(*) - 1 AS x FROM cust_supp GROUP BY 1), dv AS (SELECT supp, count(*) - 1 AS y FROM cust_supp GROUP BY 1),
+l AS (SELECT CAST(sum(x * y) AS BIGINT) AS l3 FROM cust_supp c JOIN du ON c.cust = du.cust JOIN dv ON c.supp = dv.supp),
+p AS (SELECT count(*) AS c FROM cust_supp a JOIN cust_supp b ON a.cust = b.cust AND a.supp < b.supp GROUP BY a.supp, b.supp),
+q AS (SELECT CAST(sum(c * (c - 1) / 2) AS BIGINT) AS c4 FROM p)
+SELECT c4, l3, round(4.0 * c4 / l3, 6) AS coefficient FROM q, l"""))
+def g20(spark, sf):
+    e = T.cust_supp(spark, sf).select(F.col("cust").alias("src"), (-F.col("supp")).alias("dst"))
+    return G.robins_alexander(e).withColumn("coefficient", r6("coefficient"))
+
+
+@query("G20_bipartite_clustering_nations", with_views(["nation_sides"], """
+WITH adj AS (SELECT src AS a, dst AS b FROM nation_sides UNION ALL SELECT dst, src FROM nation_sides),
+d AS (SELECT a, count(*) AS d FROM adj GROUP BY 1),
+s AS (SELECT x.a, y.a AS v, count(*) AS c FROM adj x JOIN adj y ON x.b = y.b AND x.a <> y.a GROUP BY 1, 2),
+m AS (SELECT s.a, avg(c / (du.d + dv.d - c)) AS cl FROM s JOIN d du ON s.a = du.a JOIN d dv ON s.v = dv.a GROUP BY 1)
+SELECT d.a AS id, round(coalesce(cl, 0.0), 6) AS clustering FROM d LEFT JOIN m ON d.a = m.a"""))
+def g20n(spark, sf):
+    return G.bipartite_clustering(T.nation_sides(spark, sf)).withColumn("clustering", r6("clustering"))

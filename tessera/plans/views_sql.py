@@ -21,9 +21,6 @@ VIEWS = {
         SELECT DISTINCT least(a.l_partkey, b.l_partkey) AS src, greatest(a.l_partkey, b.l_partkey) AS dst
         FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1
         WHERE a.l_partkey <> b.l_partkey""",
-    "copurchase_sparse": """
-        SELECT DISTINCT src, dst FROM (SELECT min(l_partkey) AS src, max(l_partkey) AS dst
-                                       FROM lineitem GROUP BY l_orderkey) t WHERE src <> dst""",
     "nation_trade": """
         SELECT a AS src, b AS dst
         FROM (SELECT a, b, n, sum(n) OVER () AS total, count(*) OVER () AS pairs
@@ -32,6 +29,13 @@ VIEWS = {
                     JOIN supplier ON l_suppkey = s_suppkey
                     WHERE c_nationkey <> s_nationkey GROUP BY 1, 2) t) t
         WHERE n * pairs >= total""",
+    "nation_sides": """
+        SELECT src, dst FROM (
+          SELECT src, dst, n, sum(n) OVER () AS total, count(*) OVER () AS pairs FROM (
+            SELECT c_nationkey AS src, -1 - s_nationkey AS dst, count(*) AS n
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+            JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2) t) t
+        WHERE n * pairs >= total""",
     "cust_supp": """
         SELECT o.o_custkey AS cust, l.l_suppkey AS supp, count(*) AS weight
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey

@@ -61,18 +61,11 @@ def copurchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pairs(li.withColumnRenamed("l_partkey", "a").join(nxt, ["l_orderkey", "l_linenumber"]))
 
 
-def copurchase_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sparser graph: the parts with the least and the greatest key of each
-    order, over all of ``lineitem``: at most one edge per order."""
-    li = table(spark, sf_dir, "lineitem")
-    return _pairs(li.groupBy("l_orderkey").agg(F.min("l_partkey").alias("a"), F.max("l_partkey").alias("b")))
-
-
 def path_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources of the path queries, their documented parameter: parts of size 50
-    (about one in fifty) that are nodes of ``copurchase_sparse``.  Paths from
+    (about one in fifty) that are nodes of ``copurchase``.  Paths from
     every node would be a row for each pair of nodes."""
-    e = copurchase_sparse(spark, sf_dir)
+    e = copurchase(spark, sf_dir)
     parts = table(spark, sf_dir, "part").filter("p_size = 50").select(F.col("p_partkey").alias("id"))
     return e.select(F.explode(F.array("src", "dst")).alias("id")).distinct().join(parts, "id", "left_semi")
 
@@ -91,6 +84,16 @@ def nation_trade(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("src", "dst"))
 
 
+def nation_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bipartite graph of nations as customers (0, 1, ..) and as suppliers
+    (-1, -2, ..), linked by at least the mean number of line items of the pairs."""
+    pairs = (actor_events(spark, sf_dir).groupBy(F.col("actor1_country").alias("src"), (-1 - F.col("actor2_country")).alias("dst"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    mean = pairs.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("pairs"))
+    return (pairs.crossJoin(F.broadcast(mean)).filter(F.col("n") * F.col("pairs") >= F.col("total"))
+            .select("src", "dst"))
+
+
 def cust_supp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bipartite customer -- supplier graph, weight = number of line items."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")

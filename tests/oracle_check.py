@@ -99,7 +99,7 @@ def main(argv):
     prefixes = argv[2:]
     from tessera.session import get_spark
     from tessera.plans import catalog
-    spark = get_spark("local[8]", 8)
+    spark = get_spark("local[4]", 8)
     qs = catalog.queries()
     sqls = catalog.oracle_sql()
     con = duck(sf_dir)
