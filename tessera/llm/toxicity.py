@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Shared, arrow_schema, bounded_sample, factory, filter_rows, map_texts
+from tessera.llm.common import Shared, arrow_schema, bounded_sample, factory, filter_rows, map_texts, tidy
 
 #: Letters of the model; anything else is a boundary (0), other letters are 63.
 LETTERS = "abcdefghijklmnopqrstuvwxyzäöüßéèêëàâáçîïíìôóòûùúñœæ"
@@ -275,11 +275,23 @@ def fit(ids: np.ndarray, sizes: np.ndarray, y: np.ndarray, rounds: int = 2, stag
     often = np.bincount(ids, minlength=MASK + 1) >= 5
     names, number = np.flatnonzero(often), np.cumsum(often, dtype=np.int32) - 1
     keep = often[ids]
-    col, doc = number[ids[keep]], np.repeat(np.arange(len(y), dtype=np.int32), sizes)[keep]
-    order = col.argsort(kind="stable")
-    col, doc = col[order], doc[order]
-    starts = np.searchsorted(col, np.arange(len(names) + 1))
+    # entries (feature, text) sorted by both, packed while they are sorted
+    entries = number[ids[keep]].astype(np.int64) << 32
+    entries |= np.repeat(np.arange(len(y), dtype=np.int32), sizes)[keep]
+    del ids, keep, often, number
+    entries.sort()
+    starts = np.searchsorted(entries, np.arange(len(names) + 1, dtype=np.int64) << 32)
+    doc = entries.astype(np.int32)
+    del entries
     ridge = 0.02
+    edges = np.unique(np.append(np.searchsorted(starts, np.arange(0, len(doc), 1 << 20)), len(names)))
+
+    def per_feature(values):
+        """Sums over the texts that hold each feature, some features at a time."""
+        out = np.empty(len(names))
+        for f, g in zip(edges[:-1], edges[1:]):
+            out[f:g] = np.add.reduceat(values[doc[starts[f]:starts[g]]], starts[f:g] - starts[f])
+        return out
 
     def columns(features):
         x = np.zeros((len(y), len(features)))
@@ -308,8 +320,8 @@ def fit(ids: np.ndarray, sizes: np.ndarray, y: np.ndarray, rounds: int = 2, stag
             x = columns(active)
             bias, w = newton(x, bias, w, 8)
             p = 1 / (1 + np.exp(-(bias + x @ w)))
-            g = np.bincount(col, (y - p)[doc], len(names))
-            chi = g * np.abs(g) / (np.bincount(col, (p * (1 - p))[doc], len(names)) + 1.0)
+            g = per_feature(y - p)
+            chi = g * np.abs(g) / (per_feature(p * (1 - p)) + 1.0)
             chi[banned] = 0                             # and only features that speak for the label
             chi[active] = 0
             best = int(chi.argmax())
@@ -319,7 +331,7 @@ def fit(ids: np.ndarray, sizes: np.ndarray, y: np.ndarray, rounds: int = 2, stag
             w = np.append(w, 0.0)
         chosen += active
         for f in active:
-            both = np.bincount(col, np.bincount(doc[starts[f]:starts[f + 1]], minlength=len(y))[doc], len(names))
+            both = per_feature(np.bincount(doc[starts[f]:starts[f + 1]], minlength=len(y)).astype(float))
             banned |= both >= 0.9 * np.maximum(df, df[f])
     bias, w = newton(columns(chosen), start, np.zeros(len(chosen)), 50)
     return float(bias), {int(names[k]): float(v) for k, v in zip(chosen, w)}
@@ -359,8 +371,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     kind = rows.schema["id"].dataType.simpleString()
     got = map_texts(rows, make, f"id {kind}, y int, f array<int>").toArrow().sort_by([("id", "ascending"), ("y", "ascending")])
     sizes = np.array([len(f) for f in got["f"]], np.int64)
+    y = got["y"].to_numpy()
     ids = np.concatenate([np.asarray(f.values) for f in got["f"]]) if len(sizes) else np.empty(0, np.int32)
-    return Model(chars, *fit(ids, sizes, got["y"].to_numpy()))
+    del got
+    tidy()
+    return Model(chars, *fit(ids, sizes, y))
 
 
 def scorer(model: Model):
