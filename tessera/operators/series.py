@@ -51,24 +51,45 @@ def box_cox_best(grid: DataFrame, series="series_id") -> DataFrame:
     return grid.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
 
 
+def _acf_lists(df: DataFrame, s, pos: str, x: str, lags: int) -> DataFrame:
+    """One row a series: ``_r``, its autocorrelations of lag 0 .. lags, and ``_n``.
+    The lagged values are columns of one window, their products one aggregate."""
+    every, order = Window.partitionBy(*s), Window.partitionBy(*s).orderBy(pos)
+    c = df.select(*s, pos, (F.col(x) - F.avg(x).over(every)).alias("_c"))
+    c = c.select(*s, "_c", *[F.lag("_c", k).over(order).alias(f"_c{k}") for k in range(1, lags + 1)])
+    den = F.sum(F.col("_c") * F.col("_c"))
+    g = c.groupBy(*s).agg(F.count(F.lit(1)).alias("_n"), F.array(F.try_divide(den, den), *[
+        F.try_divide(F.sum(F.col("_c") * F.col(f"_c{k}")), den) for k in range(1, lags + 1)]).alias("_r"))
+    return g.select(*s, "_n", F.slice("_r", F.lit(1), F.least(F.col("_n"), F.lit(lags + 1)).cast("int")).alias("_r"))
+
+
 def acf(df: DataFrame, series="series_id", pos="pos", x="x", lags: int = 50) -> DataFrame:
     """Autocorrelation ``sum (x_t - m)(x_{t+k} - m) / sum (x_t - m)^2``
-    for k = 0..lags with the 95 % band ``1.96 / sqrt(n)``; null for a
-    constant series."""
+    for k = 0..lags, as far as the series reaches, with the 95 % band
+    ``1.96 / sqrt(n)``; null for a constant series."""
     s = [series] if isinstance(series, str) else list(series)
-    st = df.groupBy(*s).agg(F.avg(x).alias("_m"), F.count(F.lit(1)).alias("_n"))
-    c = df.join(st, s).select(*s, pos, (F.col(x) - F.col("_m")).alias("_c"), "_n")
-    den = c.groupBy(*s).agg(F.sum(F.col("_c") * F.col("_c")).alias("_den"))
-    spark = df.sparkSession
-    ks = F.broadcast(spark.range(0, lags + 1).select(F.col("id").cast("int").alias("lag")))
-    a = c.select(*s, F.col(pos).alias("_p"), F.col("_c").alias("_a"), "_n").crossJoin(ks)
-    b = c.select(*s, F.col(pos).alias("_q"), F.col("_c").alias("_b"))
-    a = a.withColumn("_q", F.col("_p") + F.col("lag"))
-    num = (a.join(b, s + ["_q"])
-           .groupBy(*s, "lag").agg(F.sum(F.col("_a") * F.col("_b")).alias("_num"),
-                                   F.first("_n").alias("_n")))
-    return num.join(den, s).select(*s, "lag", F.try_divide("_num", "_den").alias("acf"),
-                                   (1.96 / F.sqrt("_n")).alias("band"))
+    return _acf_lists(df, s, pos, x, lags).select(*s, F.posexplode("_r").alias("lag", "acf"), (1.96 / F.sqrt("_n")).alias("band"))
+
+
+_SUM = "aggregate({}, 0D, (u, v) -> u + v)"
+
+
+def pacf(df: DataFrame, series="series_id", pos="pos", x="x", lags: int = 50) -> DataFrame:
+    """Partial autocorrelation for k = 0..lags by the Durbin-Levinson recursion
+    over the autocorrelations, with the same band; null for a constant series.
+
+    Per series the recursion runs inside one row: ``phi`` holds the coefficients of
+    the autoregression of order k - 1, the next one's last is the new value."""
+    s = [series] if isinstance(series, str) else list(series)
+    num = f"get(_r, k) - {_SUM.format('transform(a.phi, (p, i) -> p * get(_r, k - 1 - i))')}"
+    den = f"1D - {_SUM.format('transform(a.phi, (p, i) -> p * get(_r, i + 1))')}"
+    step = ("named_struct('phi', cast(concat(transform(a.phi, (p, i) -> p - q * get(a.phi, k - 2 - i)), array(q)) as array<double>), "
+            "'out', cast(concat(a.out, array(q)) as array<double>))")
+    start = "named_struct('phi', cast(array() as array<double>), 'out', cast(array(get(_r, 0)) as array<double>))"
+    out = F.expr(f"aggregate(if(size(_r) > 1, sequence(1, size(_r) - 1), cast(array() as array<int>)), {start}, (a, k) -> "
+                 f"transform(array(try_divide({num}, {den})), q -> {step})[0], a -> a.out)")
+    return _acf_lists(df, s, pos, x, lags).select(*s, "_n", out.alias("_o")).select(
+        *s, F.posexplode("_o").alias("lag", "pacf"), (1.96 / F.sqrt("_n")).alias("band"))
 
 
 def t_test(df: DataFrame, series="series_id", x="resid") -> DataFrame:

@@ -429,19 +429,14 @@ def g9s(spark, sf):
     return G.reach_metrics(G.reach(T.copurchase(spark, sf)))
 
 
-def _maximal_sql(most=7):
-    """Cliques as n1 < n2 < ...; maximal if no node knows all of their nodes."""
-    ctes = [ADJ, ("c2", "SELECT src AS n1, dst AS n2 FROM e")]
+def _maximal_sql(most=12):
+    """Cliques by their last node and their common neighbours; maximal without any."""
+    ctes = [ADJ, ("nb", "SELECT a, list(b) AS l FROM adj GROUP BY a"),
+            ("c2", "SELECT e.dst AS last, list_intersect(x.l, y.l) AS com FROM e JOIN nb x ON e.src = x.a JOIN nb y ON e.dst = y.a")]
     for k in range(3, most + 1):
-        old = ", ".join(f"c.n{i}" for i in range(1, k))
-        rest = " ".join(f"JOIN e e{i} ON e{i}.src = c.n{i} AND e{i}.dst = x.dst" for i in range(1, k - 1))
-        ctes.append((f"c{k}", f"SELECT {old}, x.dst AS n{k} FROM c{k - 1} c JOIN e x ON x.src = c.n{k - 1} {rest}"))
-    for k in range(2, most):
-        known = " ".join(f"JOIN adj a{i} ON a{i}.a = c.n{i} AND a{i}.b = a1.b" for i in range(2, k + 1))
-        nodes = ", ".join(f"c.n{i}" for i in range(1, k + 1))
-        ctes.append((f"x{k}", f"SELECT DISTINCT {nodes} FROM c{k} c JOIN adj a1 ON a1.a = c.n1 {known}"))
-    rows = " UNION ALL ".join(f"SELECT {k} AS size, (SELECT count(*) FROM c{k}) - (SELECT count(*) FROM x{k}) AS n"
-                              for k in range(2, most))
+        ctes.append((f"c{k}", f"""SELECT u.v AS last, list_intersect(com, nb.l) AS com
+            FROM (SELECT unnest(list_filter(com, lambda z: z > last)) AS v, com FROM c{k - 1}) u JOIN nb ON nb.a = u.v"""))
+    rows = " UNION ALL ".join(f"SELECT {k} AS size, count(*) AS n FROM c{k} WHERE len(com) = 0" for k in range(2, most))
     return _sql("copurchase", ctes, f"""SELECT CAST(size AS INTEGER) AS size, n FROM ({rows}) t
         WHERE n > 0 AND CASE WHEN (SELECT count(*) FROM c{most}) > 0 THEN error('larger cliques') ELSE true END""")
 
@@ -465,7 +460,7 @@ p AS (SELECT count(*) AS c FROM cust_supp a JOIN cust_supp b ON a.cust = b.cust
 q AS (SELECT CAST(sum(c * (c - 1) / 2) AS BIGINT) AS c4 FROM p)
 SELECT c4, l3, round(4.0 * c4 / l3, 6) AS coefficient FROM q, l"""))
 def g20(spark, sf):
-    e = T.cust_supp(spark, sf).select(F.col("cust").alias("src"), (-F.col("supp")).alias("dst"))
+    e = T.cust_supp(spark, sf).select(F.col("cust").alias("src"), (-1 - F.col("supp")).alias("dst"))
     return G.robins_alexander(e).withColumn("coefficient", r6("coefficient"))
 
 

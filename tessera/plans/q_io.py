@@ -7,6 +7,8 @@ test and returns what it read.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -154,12 +156,19 @@ SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS window_start,
        event_type, count(*) AS n
 FROM events GROUP BY 1, 2, 3""")
 def st1(spark, sf):
+    """Events land in four batches by time; the query runs after each of them,
+    resuming from its checkpoint, and once more after the closing row."""
     ev = TB.table(spark, sf, "events").select(*ST.EVENT_NAMES)
-    landing = IO.scratch_path(spark, "landing")
-    (ev.repartition(8, F.to_date("ts")).sortWithinPartitions("ts").write
-     .option("sep", "\t").option("header", False).csv(landing))
-    out = ST.run_window_counts(spark, landing, IO.scratch_path(spark, "stream-out"),
-                               IO.scratch_path(spark, "stream-ckpt"))
+    landing, out, state = (IO.scratch_path(spark, x) for x in ("landing", "stream-out", "stream-ckpt"))
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    steps = [lo + (hi - lo) * k / 4 for k in range(1, 4)]
+    for a, b in zip([None, *steps], [*steps, None]):
+        part = ev if a is None else ev.filter(F.col("ts") >= F.lit(a))
+        IO.write_delimited(part if b is None else part.filter(F.col("ts") < F.lit(b)), f"{landing}/{IO.uuid.uuid4().hex[:8]}",
+                           sep="\t", header=False)
+        ST.run_window_counts(spark, f"{landing}/*", out, state)
+    ST.close_windows(spark, f"{landing}/closing", str(hi + datetime.timedelta(days=1)))
+    out = ST.run_window_counts(spark, f"{landing}/*", out, state)
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"),
                       "event_type", "n")

@@ -64,22 +64,51 @@ def z3(spark, sf):
     return best.select("series_id", "lambda", r6("llf").alias("llf"))
 
 
+def _acf_ctes(table: str, x: str):
+    """Autocorrelations ``a`` (series_id, lag, acf, n) of a column."""
+    return [("st", f"SELECT series_id, avg({x}) AS m, count(*) AS n FROM {table} WHERE {x} IS NOT NULL GROUP BY 1"),
+            ("c", f"SELECT mo.series_id, mo.pos, mo.{x} - st.m AS c, st.n FROM {table} mo "
+                  f"JOIN st ON mo.series_id = st.series_id WHERE mo.{x} IS NOT NULL"),
+            ("den", "SELECT series_id, sum(c * c) AS den FROM c GROUP BY 1"),
+            ("num", "SELECT a.series_id, CAST(k.lag AS INTEGER) AS lag, sum(a.c * b.c) AS num, max(a.n) AS n "
+                    "FROM c a CROSS JOIN (SELECT i AS lag FROM range(0, 51) t(i)) k "
+                    "JOIN c b ON b.series_id = a.series_id AND b.pos = a.pos + k.lag GROUP BY 1, 2"),
+            ("a", "SELECT num.series_id, lag, num / den AS acf, n FROM num JOIN den ON num.series_id = den.series_id")]
+
+
 @query("Z4_acf", with_views(["monthly"], """
-WITH st AS (SELECT series_id, avg(x) AS m, count(*) AS n FROM monthly GROUP BY 1),
-c AS (SELECT mo.series_id, mo.pos, mo.x - st.m AS c, st.n FROM monthly mo
-      JOIN st ON mo.series_id = st.series_id),
-den AS (SELECT series_id, sum(c * c) AS den FROM c GROUP BY 1),
-num AS (SELECT a.series_id, CAST(k.lag AS INTEGER) AS lag, sum(a.c * b.c) AS num, max(a.n) AS n
-        FROM c a CROSS JOIN (SELECT i AS lag FROM range(0, 51) t(i)) k
-        JOIN c b ON b.series_id = a.series_id AND b.pos = a.pos + k.lag
-        GROUP BY 1, 2)
-SELECT num.series_id, lag, round(num / den, 6) AS acf, round(1.96 / sqrt(n), 6) AS band
-FROM num JOIN den ON num.series_id = den.series_id"""))
+SELECT series_id, lag, round(acf, 6) AS acf, round(1.96 / sqrt(n), 6) AS band FROM a""", _acf_ctes("monthly", "x")))
 def z4(spark, sf):
     a = Z.acf(T.monthly(spark, sf), lags=50)
     return a.select("series_id", "lag", r6("acf").alias("acf"), r6("band").alias("band"))
 
 
+@query("Z4_pacf", with_views(["monthly"], """
+, r AS (SELECT series_id, list(acf ORDER BY lag) AS r, max(n) AS n FROM a GROUP BY 1),
+p(series_id, k, phi, q) AS (
+  SELECT series_id, 0, CAST([] AS DOUBLE[]), CAST(1 AS DOUBLE) FROM r
+  UNION ALL
+  SELECT series_id, k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - t * phi[k + 1 - j]), t), t
+  FROM (SELECT p.series_id, k, phi,
+               (r[k + 2] - coalesce(list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k + 2 - j])), 0))
+               / (1 - coalesce(list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[j + 1])), 0)) AS t
+        FROM p JOIN r ON p.series_id = r.series_id WHERE k < len(r) - 1) x)
+SELECT p.series_id, CAST(k AS INTEGER) AS lag, round(q, 6) AS pacf, round(1.96 / sqrt(n), 6) AS band
+FROM p JOIN r ON p.series_id = r.series_id""", _acf_ctes("monthly", "x")).replace("WITH", "WITH RECURSIVE", 1).replace("\n\n,", ",", 1))
+def z4p(spark, sf):
+    a = Z.pacf(T.monthly(spark, sf), lags=50)
+    return a.select("series_id", "lag", r6("pacf").alias("pacf"), r6("band").alias("band"))
+
+
+@query("Z7_residual_acf", with_views(["monthly"], """
+SELECT series_id, lag, round(acf, 6) AS acf, round(1.96 / sqrt(n), 6) AS band, abs(acf) > 1.96 / sqrt(n) AND lag > 0 AS outside
+FROM a""", [TREND, DECOMP] + _acf_ctes("dec", "resid")))
+def z7a(spark, sf):
+    a = Z.acf(Z.decompose(T.monthly(spark, sf)).dropna(subset=["resid"]), x="resid", lags=50)
+    return a.select("series_id", "lag", r6("acf").alias("acf"), r6("band").alias("band"),
+                    ((F.abs("acf") > F.col("band")) & (F.col("lag") > 0)).alias("outside"))
+
+
 @query("Z1_adf")
 def z1(spark, sf):
     return Z.adf(T.monthly(spark, sf), max_lag=12)

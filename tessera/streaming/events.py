@@ -2,10 +2,12 @@
 
 Files landing in a folder (headerless, tab separated, all strings) are read
 as a stream; event time drives a watermark, duplicates of an event id within
-the watermark are dropped, and a tumbling-window count is maintained.  The
-result table is rewritten by ``foreachBatch`` into a parquet folder, and the
-query's checkpoint lives in shared storage, so a restarted query resumes
-where it stopped.
+the watermark are dropped, and tumbling windows are counted.  A window is sent
+out once, when the watermark has passed its end, and its state is freed then, so
+state holds the open windows only.  ``foreachBatch`` writes each epoch's windows
+into a folder of its own, overwritten if the epoch runs again, and the query's
+checkpoint lives in shared storage, so a restarted query resumes where it
+stopped and no window is written twice.
 """
 
 from __future__ import annotations
@@ -40,17 +42,26 @@ def window_counts(events: DataFrame, window: str = "15 minutes",
                     key, "n"))
 
 
+def close_windows(spark: SparkSession, landing: str, after: str) -> None:
+    """Lands a row without an event type at time ``after``: the watermark passes
+    all windows that end well before it, so that they are sent out."""
+    row = spark.createDataFrame([(None, after)], "event_id string, ts string")
+    names = [n for n in EVENT_NAMES if n not in row.columns]
+    row = row.select(*EVENT_NAMES[:2], *[F.lit(None).cast("string").alias(n) for n in names])
+    row.coalesce(1).write.mode("append").option("sep", "\t").option("header", False).csv(landing)
+
+
 def run_window_counts(spark: SparkSession, landing: str, out: str, checkpoint: str,
                       window: str = "15 minutes", late: str = "15 minutes",
                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """Process everything available now, then return the result table."""
+    """Process everything available now, then return all windows closed so far."""
     counts = window_counts(event_stream(spark, landing, max_files_per_trigger=max_files_per_trigger),
                            window, late)
 
-    def sink(batch: DataFrame, _epoch: int):
-        batch.write.mode("overwrite").parquet(out)
+    def sink(batch: DataFrame, epoch: int):
+        batch.filter(F.col("event_type").isNotNull()).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
-    q = (counts.writeStream.outputMode("complete").foreachBatch(sink)
+    q = (counts.writeStream.outputMode("append").foreachBatch(sink)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop("epoch")

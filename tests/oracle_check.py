@@ -31,7 +31,7 @@ def _norm(v):
     if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, (datetime.datetime, datetime.date, pd.Timestamp)):
-        return pd.Timestamp(v).strftime("%Y-%m-%d %H:%M:%S")
+        return pd.Timestamp(v).isoformat(sep=" ", timespec="microseconds")
     if isinstance(v, float):
         if math.isnan(v):
             return None
@@ -69,11 +69,29 @@ def _close(a, b):
     return str(a) == str(b) if not (isinstance(a, str) and isinstance(b, str)) else a == b
 
 
+#: Kinds of types of which a column has the same on both sides.
+KINDS = {"number": ("int", "long", "short", "byte", "bigint", "smallint", "tinyint", "hugeint", "double", "float", "decimal",
+                    "real", "ubigint", "uinteger"),
+         "text": ("string", "varchar"), "truth": ("bool",), "time": ("timestamp", "date"), "list": ("array",),
+         "bytes": ("binary", "blob")}
+
+
+def kind_of(type_name: str) -> str:
+    name = str(type_name).lower()
+    if name.endswith("[]"):
+        return "list"
+    return next((k for k, names in KINDS.items() if any(name.startswith(n) for n in names)), name)
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
-    sp = fn(spark, sf_dir).toPandas()
+    df = fn(spark, sf_dir)
+    spark_kinds = {f.name: kind_of(f.dataType.simpleString()) for f in df.schema}
+    sp = df.toPandas()
     t1 = time.time()
-    dk = con.execute(sql).df()
+    got = con.execute(sql)
+    duck_kinds = {d[0]: kind_of(d[1]) for d in got.description}
+    dk = got.df()
     t2 = time.time()
     res = {"name": name, "spark_s": round(t1 - t0, 2), "duck_s": round(t2 - t1, 2),
            "rows": (len(sp), len(dk))}
@@ -81,6 +99,11 @@ def compare(spark, con, name, fn, sql, sf_dir):
         res["ok"] = False
         res["why"] = f"columns {sorted(sp.columns)} vs {sorted(dk.columns)}"
         return res
+    other = {c: (k, duck_kinds[c]) for c, k in spark_kinds.items() if k != duck_kinds[c]}
+    if other:
+        res["ok"] = False
+        res["why"] = f"types {other}"
+        return res
     if len(sp) != len(dk):
         res["ok"] = False
         res["why"] = "row count"
