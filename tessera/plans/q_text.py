@@ -404,6 +404,16 @@ def s6(spark, sf):
     return TP.cosine_distance(w, pairs).withColumn("d", r6("d"))
 
 
+@query("S4_similar_documents", lambda: with_ctes(base_ctes("clean") + [("dlog", DOC_LOG2)], """
+SELECT x.doc_id AS a, y.doc_id AS b, round(sum(x.w * y.w), 6) AS cos
+FROM dlog x JOIN dlog y ON x.term = y.term AND x.doc_id < y.doc_id
+GROUP BY 1, 2 HAVING round(sum(x.w * y.w), 9) >= 0.5"""))
+def s4(spark, sf):
+    from tessera.operators import topics as TP
+    _, _, w = _doc_tfidf_log2(spark, sf)
+    return TP.similarity_pairs(w, 0.5).withColumn("cos", r6("cos"))
+
+
 def _s5_sql():
     q = base_ctes("clean", docs="SELECT item_id AS doc_id, text FROM benchmark", prefix="q_")
     return with_ctes(base_ctes("clean") + q + [("dlog", DOC_LOG2)], """
