@@ -163,13 +163,18 @@ def param_grid(spark: SparkSession, grid: dict) -> DataFrame:
 
 
 def keep_in(df: DataFrame, col: str, words: DataFrame, word_col: str = "word") -> DataFrame:
-    return df.join(F.broadcast(words.select(F.col(word_col).alias(col)).distinct()), col,
-                   "left_semi")
+    """Rows whose value is among the words; Spark broadcasts these if they are few."""
+    return df.join(words.select(F.col(word_col).alias(col)).distinct(), col, "left_semi")
 
 
 def drop_in(df: DataFrame, col: str, words: DataFrame, word_col: str = "word") -> DataFrame:
-    return df.join(F.broadcast(words.select(F.col(word_col).alias(col)).distinct()), col,
-                   "left_anti")
+    """Rows whose value is not among the words."""
+    return df.join(words.select(F.col(word_col).alias(col)).distinct(), col, "left_anti")
+
+
+def every_combination(*lists: DataFrame) -> DataFrame:
+    """Cartesian product of the distinct rows of small tables."""
+    return reduce(lambda x, y: x.crossJoin(y), [t.distinct() for t in lists])
 
 
 def score_sum(tokens: DataFrame, scores: DataFrame, on: str, by, score: str = "score",

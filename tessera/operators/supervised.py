@@ -36,6 +36,16 @@ def hash_split(df: DataFrame, key: str, frac: float = 0.7, seed: int = 0,
     return df.withColumn(name, F.when(b < int(round(frac * 100)), "train").otherwise("test"))
 
 
+def chronological_split(df: DataFrame, order, frac: float = 0.8, name: str = "split") -> DataFrame:
+    """M2: the first ``frac`` of the rows in the unique ``order`` are 'train', the
+    rest 'test', by range partitioning and partition offsets."""
+    from tessera.operators.relational import dense_index
+    total = df.agg(F.count(F.lit(1)).alias("_n"))
+    first = F.col("_r") < F.floor(F.col("_n") * F.lit(frac) + 1e-9)
+    return attach_row(dense_index(df, order, "_r"), total).withColumn(
+        name, F.when(first, "train").otherwise("test")).drop("_r", "_n")
+
+
 def time_splits(df: DataFrame, ts: str, n_splits: int = 5) -> DataFrame:
     """M4: expanding-window splits.  Rows are ranked by time into
     ``n_splits + 1`` equal blocks; fold f trains on blocks <= f and tests on

@@ -80,6 +80,18 @@ def m2(spark, sf):
     return s.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("M2_chronological_split", """
+WITH r AS (SELECT o_orderkey, o_orderdate, o_totalprice, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS rk,
+                  count(*) OVER () AS n FROM orders)
+SELECT CASE WHEN rk < floor(n * 0.8 + 1e-9) THEN 'train' ELSE 'test' END AS split, count(*) AS n, min(o_orderdate) AS first,
+       max(o_orderdate) AS last, round(avg(o_totalprice), 6) AS mean FROM r GROUP BY 1""")
+def m2c(spark, sf):
+    o = T.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    s = M.chronological_split(o, ["o_orderdate", "o_orderkey"])
+    return s.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderdate").alias("first"),
+                                  F.max("o_orderdate").alias("last"), r6(F.avg("o_totalprice")).alias("mean"))
+
+
 @query("M4_time_splits", with_views(["daily"], """
 WITH r AS (SELECT day, row_number() OVER (ORDER BY day) - 1 AS rk,
                   count(*) OVER () AS n FROM daily),

@@ -528,3 +528,60 @@ def o4(spark, sf):
 @query("O5_distinct", "SELECT DISTINCT user_id, event_type FROM events")
 def o5(spark, sf):
     return R.distinct_keys(T.table(spark, sf, "events"), ["user_id", "event_type"])
+
+
+# ------------------------------------------------------------ entries of their own
+
+@query("J5_every_combination", """
+WITH g AS (SELECT * FROM (SELECT DISTINCT o_orderpriority FROM orders), (SELECT DISTINCT o_orderstatus FROM orders),
+                         (SELECT DISTINCT c_mktsegment FROM customer)),
+n AS (SELECT o_orderpriority, o_orderstatus, c_mktsegment, count(*) AS n
+      FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3)
+SELECT g.o_orderpriority, g.o_orderstatus, g.c_mktsegment, coalesce(n, 0) AS n FROM g LEFT JOIN n
+ON g.o_orderpriority = n.o_orderpriority AND g.o_orderstatus = n.o_orderstatus AND g.c_mktsegment = n.c_mktsegment""")
+def j5(spark, sf):
+    o, c = T.table(spark, sf, "orders"), T.table(spark, sf, "customer")
+    keys = ["o_orderpriority", "o_orderstatus", "c_mktsegment"]
+    grid = R.every_combination(o.select(keys[0]), o.select(keys[1]), c.select(keys[2]))
+    n = o.join(c, o.o_custkey == c.c_custkey).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return grid.join(n, keys, "left").fillna(0, ["n"])
+
+
+@query("J7_membership", """
+SELECT 'in' AS side, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders
+WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
+UNION ALL SELECT 'out', count(*), round(sum(o_totalprice), 2) FROM orders
+WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey = o_custkey)""")
+def j7(spark, sf):
+    o = T.table(spark, sf, "orders").select("o_custkey", "o_totalprice")
+    c = T.table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'")
+    agg = [F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")]
+    sides = [R.keep_in(o, "o_custkey", c, "c_custkey").agg(*agg).withColumn("side", F.lit("in")),
+             R.drop_in(o, "o_custkey", c, "c_custkey").agg(*agg).withColumn("side", F.lit("out"))]
+    return sides[0].unionByName(sides[1]).select("side", "n", "total")
+
+
+@query("J8_score_per_order", """
+SELECT l_orderkey, round(sum(p_retailprice), 4) AS score FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""")
+def j8(spark, sf):
+    lines = T.table(spark, sf, "lineitem").select("l_orderkey", F.col("l_partkey").alias("p_partkey"))
+    scores = T.table(spark, sf, "part").select("p_partkey", F.col("p_retailprice").alias("score"))
+    return R.score_sum(lines, scores, "p_partkey", ["l_orderkey"]).withColumn("score", F.round("score", 4))
+
+
+@query("J9_align_predictions", with_views(["doc_class"], f"""
+SELECT doc_id, {_PRED} AS p, quality AS y, {_PRED} = quality AS hit FROM doc_class"""))
+def j9(spark, sf):
+    docs = T.table(spark, sf, "documents").select("doc_id", F.expr(_PRED).alias("p"))
+    truth = T.table(spark, sf, "labels").select("doc_id", F.col("quality").alias("y"))
+    return R.align(docs, truth, "doc_id").select("doc_id", "p", "y", (F.col("p") == F.col("y")).alias("hit"))
+
+
+@query("W8_top_lines_in_order", """
+WITH t AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) AS r FROM lineitem)
+SELECT l_orderkey, string_agg(CAST(l_linenumber AS VARCHAR), ' ' ORDER BY l_linenumber) AS lines FROM t WHERE r <= 3 GROUP BY 1""")
+def w8(spark, sf):
+    li = T.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    best = R.top_n_in_order(li, ["l_orderkey"], "l_extendedprice", "l_linenumber", 3)
+    return best.groupBy("l_orderkey").agg(F.concat_ws(" ", F.transform(
+        F.array_sort(F.collect_list("l_linenumber")), lambda x: x.cast("string"))).alias("lines"))
