@@ -199,7 +199,7 @@ def _path(back) -> str:
 class Restorer:
     """Restored words of a text; readings are remembered, up to ``keep``."""
 
-    def __init__(self, model: CharModel, keep: int = 100_000):
+    def __init__(self, model: CharModel, keep: int = 200_000):
         self.model, self.keep, self.known = model, keep, {}
 
     def words(self, text: str) -> set[str]:
@@ -378,9 +378,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return Model(chars, *fit(ids, sizes, y))
 
 
-def scorer(model: Model):
-    """Function from a text to its score."""
-    restore, weights, known = Restorer(model.chars), model.weights, {}
+def scorer(model: Model, readings: int = 200_000, words: int = 400_000):
+    """Function from a text to its score; it remembers so many readings and words."""
+    restore, weights, known = Restorer(model.chars, readings), model.weights, {}
 
     def carry(word):
         own, begins = word_features(word)
@@ -389,7 +389,7 @@ def scorer(model: Model):
 
     def rate(text: str | None) -> float:
         found, shared = set(), {}
-        if len(known) > 150_000:
+        if len(known) > words:
             known.clear()
         for w in restore.words(text) if text else ():
             f = known.get(w)
@@ -430,7 +430,7 @@ def without_toxic(docs: DataFrame, model: Model, limit: float = 0.5, text_col: s
 
     @factory
     def make():
-        rate = scorer(shared.value)
+        rate = scorer(shared.value, 100_000, 150_000)       # less memory: other stages share the executors
         return lambda texts: [rate(t) < limit for t in texts]
 
     return filter_rows(docs, text_col, make)
