@@ -1,8 +1,6 @@
 """The whole pipeline on empty tables, nulls, repeated rows and texts that its
 stages have to treat alike; effects of line dedup and BPE looked at in full."""
 
-import hashlib
-import re
 from collections import Counter
 
 import pytest
@@ -27,8 +25,9 @@ def test_empty(spark, tmp_path):
 def test_nulls_and_repeats(spark, tmp_path):
     import public_tokenizers
     import tiktoken
-    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={}, mergeable_ranks=tiktoken.load.load_tiktoken_bpe(
-        public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
+    from tessera.llm import bpe
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                            mergeable_ranks=bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
     words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omikron".split()
     rows = [(k, " ".join(words[(k * 7 + j * (k + 1)) % 15] + str((k * j) % 9) for j in range(30)) + "\nshared line", "a") for k in range(12)]
     rows += [(20, None, "a"), (21, "", "a"), (22, " \n", None), (20, None, "a"), (3, rows[3][1], "a"), (None, "one of a kind here now", None),
