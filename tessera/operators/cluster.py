@@ -3,15 +3,19 @@
 Points are rows ``(id, vec array<double>[, label])``.  Assignments to k
 centres broadcast the centre table, whose size is k x d (bounded by the
 number of clusters, never by the data).  Pairwise measures (C1, C5 plain
-Euclidean) are quadratic by definition; they run as a partitioned theta
-join with ``a.id < b.id`` and are meant for tables of moderate size --
+Euclidean) are quadratic by definition; they run as a join of blocks of rows
+with ``a.id < b.id`` and are meant for tables of moderate size --
 the at-scale alternatives are the centroid-based measures below (C3, C11,
-cosine silhouette via ``ClusteringEvaluator``).
+cosine silhouette via ``ClusteringEvaluator``).  Only C1 itself has a row per
+pair: what is made of pairs (C5, C7, C9) is reduced in the tasks that find them.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,19 +23,41 @@ from tessera.functions import vectors as V
 from tessera.operators.relational import attach_row
 
 
+#: Rows of a block of ``pairwise``; a task has two blocks in memory.
+BLOCK = 8192
+#: Edges that a task of ``lightest`` holds beside its forest.
+EDGES = 500_000
+
+
 def pairwise(df: DataFrame, id_col="id", vec="vec", metric="euclidean",
-             square: bool = False) -> DataFrame:
+             square: bool = False, keep=(), block: int = BLOCK) -> DataFrame:
     """Condensed pair table ``(i, j, d)`` with ``i < j``; ``square``
-    adds the mirrored pairs and a zero diagonal."""
-    dim = V.vector_dim(df, vec)
-    a = V.spread(df, vec, dim, "a", [F.col(id_col).alias("i")])
-    b = V.spread(df, vec, dim, "b", [F.col(id_col).alias("j")])
-    p = a.join(b, F.col("i") < F.col("j")).select(
-        "i", "j", V.col_distance(metric, "a", "b", dim).alias("d"))
+    adds the mirrored pairs and a zero diagonal.  ``keep`` names columns to
+    add for both ends (``label_i``, ``label_j``).
+
+    Rows are dealt by hash into blocks of about ``block``, and each pair of
+    blocks is a key of the join: rows are sent once for each block, pairs never."""
+    size = df.agg(F.max(F.size(vec)).alias("dim"), F.count(F.lit(1)).alias("n")).first()
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # enough blocks to keep the tasks busy, unless there are few rows
+    dim, blocks = int(size["dim"] or 0), max(1, math.ceil(size["n"] / block), min(math.isqrt(2 * parts), size["n"] // 256))
+    own = F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int")
+    each = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+
+    def side(prefix, name, mine, other):
+        rows = df.select(id_col, vec, *keep, own.alias(mine), each.alias(other))
+        return V.spread(rows, vec, dim, prefix, [F.col(id_col).alias(name), "ba", "bb",
+                                                 *[F.col(c).alias(f"{c}_{name}") for c in keep]])
+
+    ends = [f"{c}_{name}" for c in keep for name in "ij"]
+    left, right = side("a", "i", "ba", "bb").repartition(parts, "ba", "bb"), side("b", "j", "bb", "ba")
+    p = left.join(right, ["ba", "bb"]).filter(F.col("i") < F.col("j")).select(
+        "i", "j", V.col_distance(metric, "a", "b", dim).alias("d"), *ends)
     if square:
-        p = (p.unionByName(p.select(F.col("j").alias("i"), F.col("i").alias("j"), "d"))
-             .unionByName(df.select(F.col(id_col).alias("i"), F.col(id_col).alias("j"),
-                                    F.lit(0.0).alias("d"))))
+        p = (p.unionByName(p.select(F.col("j").alias("i"), F.col("i").alias("j"), "d",
+                                    *[F.col(f"{c}_{x}").alias(f"{c}_{y}") for c in keep for x, y in ("ji", "ij")]))
+             .unionByName(df.select(F.col(id_col).alias("i"), F.col(id_col).alias("j"), F.lit(0.0).alias("d"),
+                                    *[F.col(c).alias(f"{c}_{x}") for c in keep for x in "ij"])))
     return p
 
 
@@ -62,11 +88,17 @@ def silhouette(pairs: DataFrame, labels: DataFrame, id_col="id", label="label")
     """Silhouette per point from a condensed pair table and labels:
     ``a`` = mean distance inside the own cluster, ``b`` = smallest mean
     distance to another cluster, ``s = (b - a) / max(a, b)``; 0 for a point
-    alone in its cluster and where all distances are 0."""
-    lab = labels.select(F.col(id_col).alias("j"), F.col(label).alias("lj"))
-    both = pairs.select("i", "j", "d").unionByName(
-        pairs.select(F.col("j").alias("i"), F.col("i").alias("j"), "d"))
-    per = (both.join(lab, "j").groupBy("i", "lj").agg(F.avg("d").alias("md")))
+    alone in its cluster and where all distances are 0.
+
+    With the labels of both ends in the pair table (``pairwise(keep=[label])``)
+    the pairs are summed where they are found and never shuffled."""
+    if f"{label}_i" not in pairs.columns:
+        for end in "ij":
+            pairs = pairs.join(labels.select(F.col(id_col).alias(end), F.col(label).alias(f"{label}_{end}")), end)
+    both = pairs.select("d", F.explode(F.array(
+        F.struct(F.col("i").alias("i"), F.col(f"{label}_j").alias("lj")),
+        F.struct(F.col("j").alias("i"), F.col(f"{label}_i").alias("lj")))).alias("e"))
+    per = both.groupBy("e.i", "e.lj").agg(F.avg("d").alias("md"))
     own = labels.select(F.col(id_col).alias("i"), F.col(label).alias("li"))
     j = per.join(own, "i")
     ab = j.groupBy("i").agg(
@@ -267,19 +299,23 @@ def silhouette_cosine(assigned: DataFrame, vec="vec", cluster="cluster") -> floa
 # ---------------------------------------------------------------- single linkage
 
 def _components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Connected components ``(id, comp)`` by min-label propagation over an
-    undirected edge list ``(u, v)``; one join + aggregate per round."""
+    """Connected components ``(id, comp)`` over an undirected edge list
+    ``(u, v)``, named by the least id.  Each round a node and its parent take the
+    least grandparent around the node, so trees halve in depth and chains of any
+    length take a logarithm of rounds."""
     from tessera.session import cut_lineage
     adj = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"),
                                                           F.col("u").alias("v")))
     adj = cut_lineage(adj)
     lab = cut_lineage(nodes.select("id", F.col("id").alias("comp")))
     while True:
-        m = (adj.join(lab.select(F.col("id").alias("v"), F.col("comp").alias("cv")), "v")
+        up = cut_lineage(lab.join(lab.select(F.col("id").alias("comp"), F.col("comp").alias("up")), "comp"))
+        m = (adj.join(up.select(F.col("id").alias("v"), F.col("up").alias("cv")), "v")
              .groupBy(F.col("u").alias("id")).agg(F.min("cv").alias("m")))
-        new = cut_lineage(lab.join(m, "id", "left").select(
-            "id", F.least("comp", F.coalesce("m", "comp")).alias("comp"),
-            (F.coalesce("m", "comp") < F.col("comp")).alias("chg")))
+        near = cut_lineage(up.join(m, "id", "left").select("id", "comp", F.least("up", F.coalesce("m", "up")).alias("m")))
+        hook = near.groupBy(F.col("comp").alias("id")).agg(F.min("m").alias("h"))
+        least = F.least("comp", "m", F.coalesce("h", "comp"))
+        new = cut_lineage(near.join(hook, "id", "left").select("id", least.alias("comp"), (least < F.col("comp")).alias("chg")))
         done = new.filter("chg").isEmpty()
         lab = new.select("id", "comp")
         if done:
@@ -287,13 +323,110 @@ def _components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return lab
 
 
+def _merged(picked: DataFrame) -> DataFrame:
+    """``(comp, nc)``: the components that components ``u`` join by the edge each
+    picked to ``v``.  The picks form trees whose roots picked each other, so
+    following them from both ends of a step takes a logarithm of rounds."""
+    from tessera.session import cut_lineage
+    back = picked.select(F.col("u").alias("v"), F.col("v").alias("back"))
+    to = cut_lineage(picked.select("u", "v").join(back, "v").select(
+        F.col("u").alias("comp"), F.when((F.col("back") == F.col("u")) & (F.col("u") < F.col("v")), F.col("u")).otherwise(
+            F.col("v")).alias("nc")))
+    while True:
+        new = cut_lineage(to.join(to.select(F.col("comp").alias("nc"), F.col("nc").alias("up")), "nc").select(
+            "comp", F.col("up").alias("nc"), (F.col("up") != F.col("nc")).alias("chg")))
+        done = new.filter("chg").isEmpty()
+        to = new.select("comp", "nc")
+        if done:
+            return to
+
+
+def _forest(i: np.ndarray, j: np.ndarray, d: np.ndarray, null: np.ndarray):
+    """Minimum spanning forest of edges in the order (d, i, j), a null d first:
+    which edges are in it, the nodes, and their components."""
+    order = np.lexsort((j, i, d, ~null))
+    nodes, ends = np.unique(np.concatenate((i[order], j[order])), return_inverse=True)
+    u, v = ends.reshape(2, -1)
+    comp, left, chosen = np.arange(len(nodes)), np.arange(len(order)), np.zeros(len(order), bool)
+    while True:
+        left = left[comp[u[left]] != comp[v[left]]]
+        if not len(left):
+            break
+        best = np.full(len(nodes), len(order))
+        np.minimum.at(best, comp[u[left]], left)
+        np.minimum.at(best, comp[v[left]], left)
+        roots = np.flatnonzero(best < len(order))
+        edge = best[roots]
+        chosen[edge] = True
+        # each root points to the component at the other end of its edge; of two that chose the same edge the smaller stays
+        to = np.arange(len(nodes))
+        to[roots] = np.where(comp[u[edge]] == roots, comp[v[edge]], comp[u[edge]])
+        mutual = (to[to] == np.arange(len(nodes))) & (np.arange(len(nodes)) < to)
+        to[mutual] = np.flatnonzero(mutual)
+        while (to[to] != to).any():
+            to = to[to]
+        comp = to[comp]
+    return order[chosen], nodes, comp
+
+
+def lightest(pairs: DataFrame, edges: int = EDGES) -> DataFrame:
+    """Of ``(i, j, d)``, ``i <= j``, the edges that a minimum spanning forest in the
+    order (d, i, j) can have: each task keeps the forest of the pairs it finds, as
+    an edge outside of it is the last of a cycle.  So the rows left are in
+    proportion to the nodes, not to the pairs.  A pair of a node with itself stays."""
+    schema = pairs.select("i", "j", "d").schema
+
+    def run(batches):
+        shape, held, rows = None, [], 0
+        nodes = comp = most = None
+        selfs = None
+
+        def reduced():
+            nonlocal nodes, comp, most
+            i, j, d, null = (np.concatenate(c) for c in zip(*held))
+            at, nodes, comp = _forest(i, j, d, null)
+            i, j, d, null = i[at], j[at], d[at], null[at]
+            most = np.full(len(nodes), -np.inf)
+            np.maximum.at(most, comp[nodes.searchsorted(i)], np.where(null, -np.inf, d))
+            return [(i, j, d, null)]
+
+        for b in batches:
+            shape = b.schema
+            i, j = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            null = b.column(2).is_null().to_numpy(zero_copy_only=False)
+            d = b.column(2).cast(pa.float64()).fill_null(0.0).to_numpy(zero_copy_only=False)
+            loop = i == j
+            if loop.any():
+                own = pa.Table.from_batches([b.filter(pa.array(loop))])
+                selfs = (own if selfs is None else pa.concat_tables([selfs, own])).group_by(["i", "j"]).aggregate(
+                    [("d", "min")]).rename_columns(["i", "j", "d"]).select(["i", "j", "d"])
+            keep = ~loop
+            if nodes is not None:       # longer than all edges of the component it lies in
+                x, y = (np.minimum(nodes.searchsorted(e), len(nodes) - 1) for e in (i, j))
+                keep &= ~((nodes[x] == i) & (nodes[y] == j) & (comp[x] == comp[y]) & (d > most[comp[x]]) & ~null)
+            held.append((i[keep], j[keep], d[keep], null[keep]))
+            rows += int(keep.sum())
+            if rows > edges:
+                held[:] = reduced()
+                rows = 0
+        if held and sum(len(h[0]) for h in held):
+            i, j, d, null = reduced()[0]
+            yield pa.RecordBatch.from_arrays([pa.array(i, shape.field(0).type), pa.array(j, shape.field(1).type),
+                                              pa.array(d, pa.float64(), mask=null).cast(shape.field(2).type)], schema=shape)
+        if selfs is not None:
+            yield from selfs.cast(shape).to_batches()
+
+    return pairs.select("i", "j", "d").mapInArrow(run, schema)
+
+
 def minimum_spanning_tree(pairs: DataFrame) -> DataFrame:
     """Boruvka: every component picks its lightest outgoing edge (ties by
     the node ids), the picked edges join components; O(log n) rounds.
-    ``pairs`` = ``(i, j, d)``; returns the tree edges ``(i, j, d)``."""
+    ``pairs`` = ``(i, j, d)``; returns the tree edges ``(i, j, d)``.  Only the
+    ``lightest`` pairs are written."""
     from tessera.session import cut_lineage
-    e = cut_lineage(pairs.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"),
-                                 "d").filter(F.col("i") != F.col("j")))
+    e = cut_lineage(lightest(pairs.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"),
+                                          "d").filter(F.col("i") != F.col("j"))))
     both = cut_lineage(e.select(F.col("i").alias("u"), F.col("j").alias("v"), "d", "i", "j")
                        .unionByName(e.select(F.col("j").alias("u"), F.col("i").alias("v"),
                                              "d", "i", "j")))
@@ -312,13 +445,8 @@ def minimum_spanning_tree(pairs: DataFrame) -> DataFrame:
             break
         new_edges = picked.select("i", "j", "d").distinct()
         tree = new_edges if tree is None else tree.unionByName(new_edges)
-        tree = cut_lineage(tree.distinct())
-        cc = _components(comp.select(F.col("comp").alias("id")).distinct(),
-                         picked.select("u", "v"))
-        comp = cut_lineage(comp.join(cc.select(F.col("id").alias("comp"),
-                                               F.col("comp").alias("nc")), "comp")
-                           .select("id", F.col("nc").alias("comp")))
-    return tree
+        comp = cut_lineage(comp.join(_merged(picked), "comp").select("id", F.col("nc").alias("comp")))
+    return e.limit(0) if tree is None else tree
 
 
 def single_linkage(pairs: DataFrame, k: int | None = None):
@@ -326,6 +454,8 @@ def single_linkage(pairs: DataFrame, k: int | None = None):
     ``(step, height)``; with ``k``, also the flat clusters ``(id, cluster)``
     obtained by removing the k-1 heaviest tree edges."""
     from tessera.operators.relational import dense_index
+    from tessera.session import cut_lineage
+    pairs = cut_lineage(lightest(pairs.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "d")))
     tree = minimum_spanning_tree(pairs)
     heights = dense_index(tree, ["d", "i", "j"], "step").select(
         (F.col("step") + 1).alias("step"), F.col("d").alias("height"), "i", "j")

@@ -69,7 +69,7 @@ SELECT v.id, v.label,
 FROM vecs v LEFT JOIN ab ON v.id = ab.i"""))
 def c5(spark, sf):
     v = T.vectors(spark, sf)
-    s = C.silhouette(C.pairwise(v), v)
+    s = C.silhouette(C.pairwise(v, keep=["label"]), v)
     return s.withColumn("s", r6("s"))
 
 
