@@ -10,9 +10,10 @@ threshold bounds that difference by a share of the sizes.
    a linked pair agrees on a block that is not empty (pigeonhole).
 2. Blocks are the join keys.  They travel in packed arrays, many to a row, and
    only keys that two different sets share leave the tasks that meet them.
-3. Candidates of a key are first held against a few of its sets only, and the
-   links found are closed into components.  Then the pairs of a key whose
-   components still differ are compared, large keys in blocks.  Comparing means
+3. A set is first held against the one set that heads most of its keys, and where
+   components still differ against a few sets of each key; the links found are
+   closed into components each time.  Then the pairs of a key whose components still differ are compared,
+   large keys in blocks.  Comparing means
    the Hamming bound of the sets' bit sketches, then the exact sets.
 
 So a group of any size costs a number of comparisons in proportion to it as long
@@ -383,18 +384,31 @@ def with_label(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
             .select(*rows.columns, F.coalesce("root", "cls").alias("label")))
 
 
-def unsettled(keys: DataFrame, heads: int = 0) -> DataFrame:
-    """Rows (key, cls, label) of keys whose classes lie in different components,
-    with the number of the key's rows and, in ``heads`` random orders of the
-    classes, the key's first class and its component."""
-    first = [F.struct(F.min_by("cls", F.xxhash64("cls", F.lit(k))).alias("cls"),
-                      F.min_by("label", F.xxhash64("cls", F.lit(k))).alias("label")) for k in range(heads)]
-    found = (keys.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"),
-                                     F.array(*first).cast("array<struct<cls: bigint, label: bigint>>").alias("heads"))
-             .where("lo <> hi").drop("lo", "hi"))
+def unsettled(keys: DataFrame) -> DataFrame:
+    """Rows (key, cls, label) of keys whose classes lie in different components."""
+    found = keys.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
     return keys.join(found, "key")
 
 
+def main_heads(keys: DataFrame) -> DataFrame:
+    """Pairs (cls, head): of the first classes, in a random order, of a class's keys
+    the one that most of these have."""
+    first = keys.groupBy("key").agg(F.min(F.struct(F.xxhash64("cls", F.lit(0)).alias("h"), "cls")).alias("first"))
+    pairs = keys.join(first.select("key", F.col("first.cls").alias("head")), "key").where("cls <> head")
+    return (pairs.groupBy("cls", "head").agg(F.count("*").alias("n"))
+            .groupBy("cls").agg(F.max_by("head", F.struct("n", "head")).alias("head")))
+
+
+def more_heads(keys: DataFrame, heads: int) -> DataFrame:
+    """Pairs (cls, head) of a key and of different components; heads are the key's first
+    classes in further random orders, all but one of ``heads``."""
+    first = [F.struct(F.min_by("cls", F.xxhash64("cls", F.lit(k))).alias("cls"),
+                      F.min_by("label", F.xxhash64("cls", F.lit(k))).alias("label")) for k in range(1, heads)]
+    found = keys.groupBy("key").agg(F.array(*first).cast("array<struct<cls: bigint, label: bigint>>").alias("heads"))
+    return (keys.join(found, "key").select("cls", "label", F.explode("heads").alias("head")).where("label <> head.label")
+            .select("cls", F.col("head.cls").alias("head")))
+
+
 def small_key_pairs(rows: DataFrame) -> DataFrame:
     """Pairs (a, b) of one key, of different components, for keys of at most
     ``SMALL`` rows: each row meets the next ones of its key, whole batches at a
@@ -505,15 +519,23 @@ def classes_and_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     first = belongs.where("cls is not null").groupBy("cls").agg(F.min("id").alias("id"))
     need = first.join(keys.select("cls").distinct(), "cls")
     table = cut_lineage(candidates_of(rows, need, width, words, threshold))
-    # each key's heads against its other sets: enough to join most that belong together
-    near = (unsettled(with_label(keys, None), heads).select("cls", "label", F.explode("heads").alias("head"))
-            .where("label <> head.label")
-            .select(F.least("cls", "head.cls").alias("a"), F.greatest("cls", "head.cls").alias("b")).distinct())
-    near = cut_lineage(sketch_filter(near, table, threshold))    # so that no task has two Python workers
-    links = cut_lineage(verified(near, table, width, words, threshold))
+    # a set against the one head that most of its keys have, so that a large group is not
+    # compared with all the heads of its keys; then, where that left a key's sets apart,
+    # each of the key's heads: enough to join most that belong together
+    def joined(near):
+        near = near.select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b")).distinct()
+        near = cut_lineage(sketch_filter(near, table, threshold))    # so that no task has two Python workers
+        return cut_lineage(verified(near, table, width, words, threshold))
+
+    links = joined(main_heads(keys if heads else keys.limit(0)))
+    # keys that are settled now stay so
+    keys = cut_lineage(unsettled(with_label(keys, connected(links))))
+    links = links.union(joined(more_heads(keys, heads)))
     labels = connected(links)
     # then every pair of a key that is still apart
-    rest = remaining_pairs(unsettled(with_label(keys, labels)), table, threshold)
+    rest = unsettled(with_label(keys.select("key", "cls"), labels))
+    rest = rest.join(rest.groupBy("key").agg(F.count("*").alias("size")), "key")
+    rest = remaining_pairs(rest, table, threshold)
     more = cut_lineage(verified(rest, table, width, words, threshold))
     labels = connected(more.union(labels.select(F.col("id").alias("a"), F.col("root").alias("b"))))
     return belongs, links.union(more), labels
