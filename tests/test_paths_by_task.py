@@ -1,4 +1,4 @@
-"""Paths from a share of the sources are found in one task: a level is no join."""
+"""Paths and betweenness of a share of the sources are found in one task: a level is no join."""
 
 import random
 from collections import deque
@@ -70,6 +70,20 @@ def test_against_plain_search(spark, form):
         assert row.diameter == max(far) and abs(row.avg_path_length - sum(far) / len(far)) < 1e-12
 
 
+def test_betweenness_against_plain_search(spark, form):
+    pairs, near = graph()
+    edges = spark.createDataFrame(pairs, "src long, dst long")
+    for own in (sorted(near), [0, 5, 40, 70, 999]):
+        want = dict.fromkeys(near, 0.0)
+        for s in own:
+            for v, d in search(near, s)[1].items():
+                if v in want:
+                    want[v] += d
+        scale = len(near) / len(own) / (len(near) - 1) / (len(near) - 2)
+        got = {r.id: r.betweenness for r in G.betweenness(edges, spark.createDataFrame([(s,) for s in own], "id long")).collect()}
+        assert got.keys() == want.keys() and all(abs(got[v] - want[v] * scale) < 1e-12 for v in want)
+
+
 def test_a_level_writes_nothing(spark, monkeypatch):
     """A table or two for each of 59 levels before."""
     calls, cut = [], G.cut_lineage
@@ -77,12 +91,12 @@ def test_a_level_writes_nothing(spark, monkeypatch):
         monkeypatch.setattr(module, "cut_lineage", lambda df: calls.append(1) or cut(df))
     edges = spark.createDataFrame([(a, a + 1) for a in range(59)], "src long, dst long")
     src = spark.createDataFrame([(0,)], "id long")
-    assert G.shortest_paths(edges, src).count() == 60
+    assert G.shortest_paths(edges, src).count() == 60 and G.betweenness(edges, src).count() == 60
     assert len(calls) < 20
 
 
 def test_no_edges(spark):
     edges = spark.createDataFrame([], "src long, dst long")
-    assert G.shortest_paths(edges).count() == 0
+    assert G.shortest_paths(edges).count() == 0 and G.betweenness(edges).count() == 0
     alone = spark.createDataFrame([(7,)], "id long")
     assert [tuple(r) for r in G.shortest_paths(edges, alone).collect()] == [(7, 7, 0)]
